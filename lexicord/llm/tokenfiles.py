@@ -21,7 +21,6 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,22 +30,62 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexicord.llm.shared import shared_folder
-
-#: White space at which words are cut before the tokenizer sees them; it drops white space itself.
-CUTS = str.maketrans("\t\n\r", "   ")
+from lexicord.llm.textarrays import LOWER, pieces, range_hashes, spans
 
 #: Stands in `.docs` for a null id.
 NO_ID = -(1 << 63)
 
-#: Words whose ids a worker remembers at once.
-REMEMBERED = 500_000
+#: Units whose ids a worker remembers at once.
+REMEMBERED = 1_500_000
+
+SPACE, MARK, LETTER, OTHER = 0, 1, 2, 3
+CLASSES = np.full(256, OTHER, np.uint8)
+CLASSES[33:127] = MARK
+CLASSES[65:91] = CLASSES[97:123] = LETTER
+CLASSES[[9, 10, 13, 32]] = SPACE
+
+
+def byte_classes(body: np.ndarray) -> np.ndarray:
+    """Letters are A-Z, a-z and the two-byte Latin-1 letters; other bytes beyond ASCII and control bytes are OTHER."""
+    classes = CLASSES[body]
+    lead = np.flatnonzero(body[:-1] == 0xC3)
+    lead = lead[~np.isin(body[lead + 1], (0x97, 0xB7))]  # signs of multiplication and division
+    classes[lead] = classes[lead + 1] = LETTER
+    return classes
 
 
-class WordEncoder:
-    """Encodes texts with the tokenizers library, each distinct word once.
+def units(body: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Begins, ends and hashes of pieces of text that can be encoded apart, and where rows' pieces begin.
 
-    The tokenizer must drop white space and look at no word's neighbours, as
-    those with word ends do; then a text's ids are its words' ids in a row.
+    White space ends a piece, and so does a change between letters and marks,
+    unless the word holds an apostrophe (contractions), `<` (special tokens) or
+    an OTHER byte (marks that compose, unknown classes): such a word stays whole.
+    """
+    classes = byte_classes(body)
+    begins, ends, _ = spans(classes != SPACE, starts)
+    odd = np.zeros(len(body) + 1, np.int64)
+    np.cumsum((classes == OTHER) | (body == 39) | (body == 60), out=odd[1:])
+    whole = odd[ends] > odd[begins]
+    edges = np.zeros(len(body) + 1, np.int8)
+    edges[begins[whole]] += 1
+    edges[ends[whole]] -= 1
+    inside = np.cumsum(edges[:-1], dtype=np.int8).astype(bool)
+    cut = np.zeros(len(body), bool)
+    cut[1:] = (classes[1:] != classes[:-1]) & (classes[1:] != SPACE) & ~inside[1:]
+    cut[begins] = True
+    firsts = np.flatnonzero(cut)
+    word = np.searchsorted(begins, firsts, "right") - 1
+    lasts = np.minimum(np.append(firsts[1:], len(body)), ends[word])
+    hashes = range_hashes(np.where(inside, body, LOWER[body]), firsts, lasts)
+    hashes[inside[firsts]] ^= np.uint64(0xA5A5A5A5A5A5A5A5)
+    return firsts, lasts, hashes, np.searchsorted(firsts, starts)
+
+
+class UnitEncoder:
+    """Encodes texts with the tokenizers library, each distinct unit once.
+
+    The tokenizer must lower-case, drop white space, cut words where letters end
+    and mark word ends; then a text's ids are its units' ids in a row.
     """
 
     def __init__(self, path: str):
@@ -56,67 +95,104 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size()
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        cut = [t.translate(CUTS).split(" ") for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(set().union(*cut).difference(self.known))
-        self.known.update(zip(new, (tuple(x.ids) for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False))))
-        known = self.known
-        return [list(chain.from_iterable(map(known.__getitem__, words))) for words in cut]
-
-
-_encoders: dict[str, WordEncoder] = {}
+        self.final = np.zeros(self.size, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.final[i] = token.endswith("</w>")
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes, self.firsts, self.counts, self.ids = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
+
+    def library_ids(self, texts: list[bytes], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units, plain ones first, and each unit's count; plain units are letters alone and go to the library in a row."""
+        ids, counts = [], np.zeros(len(texts), np.int64)
+        rows = np.flatnonzero(plain)
+        for first in range(0, len(rows), 5_000):
+            own = rows[first : first + 5_000]
+            got = np.array(self.tokenizer.encode_batch_fast([b" ".join([texts[i] for i in own]).decode()], add_special_tokens=False)[0].ids, np.uint32)
+            stops = np.flatnonzero(self.final[got]) + 1
+            if len(stops) != len(own):
+                raise ValueError("a word of letters must give one word end")
+            counts[own] = np.diff(stops, prepend=0)
+            ids.append(got)
+        for i, x in zip((rows := np.flatnonzero(~plain)), self.tokenizer.encode_batch_fast([texts[i].decode() for i in rows], add_special_tokens=False)):
+            ids.append(np.array(x.ids, np.uint32))
+            counts[i] = len(ids[-1])
+        return np.concatenate(ids), counts
+
+    def learn(self, body: np.ndarray, begins: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> None:
+        raw = body.tobytes()
+        letters = np.zeros(len(body) + 1, np.int64)
+        np.cumsum(byte_classes(body) == LETTER, out=letters[1:])
+        plain = letters[ends] - letters[begins] == ends - begins
+        ids, counts = self.library_ids([raw[a:b] for a, b in zip(begins.tolist(), ends.tolist())], plain)
+        order = np.argsort(~plain, kind="stable")
+        firsts = np.empty(len(counts), np.int64)
+        firsts[order] = np.cumsum(counts[order]) - counts[order] + len(self.ids)
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes, self.firsts, self.counts = np.insert(self.hashes, at, hashes), np.insert(self.firsts, at, firsts), np.insert(self.counts, at, counts)
+        self.ids = np.concatenate([self.ids, ids])
+
+    def encode(self, body: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the rows in a row, and where each row's begin."""
+        begins, ends, hashes, firsts = units(body, starts)
+        if not len(hashes):
+            return np.empty(0, np.uint32), np.zeros(len(starts), np.int64)
+        if len(self.hashes) > REMEMBERED:
+            self.forget()
+        distinct, at, number = np.unique(hashes, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.hashes, distinct)
+        new = np.append(self.hashes, np.uint64(0))[place] != distinct
+        new |= place == len(self.hashes)
+        if new.any():
+            self.learn(body, begins[at[new]], ends[at[new]], distinct[new])
+        place = np.searchsorted(self.hashes, distinct)[number]
+        counts = self.counts[place]
+        run = np.zeros(len(counts) + 1, np.int64)
+        np.cumsum(counts, out=run[1:])
+        return self.ids[np.arange(run[-1]) + np.repeat(self.firsts[place] - run[:-1], counts)], run[firsts]
+
+
+_encoders: dict[str, UnitEncoder] = {}
 
 
 def opened(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system and path of a folder: a local path, or any address that pyarrow knows."""
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+    return fs.FileSystem.from_uri(uri) if ":" in uri.split("/")[0] else (fs.LocalFileSystem(), uri)
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str, id_col: str = "doc_id", text_col: str = "text") -> dict:
-    """Encode all texts and write them as token files to `folder`; returns the manifest, a few numbers a shard."""
-    kind = "<u2" if max(WordEncoder(tokenizer).size - 1, end_id) < 1 << 16 else "<u4"
-    width = int(kind[-1])
+    """Encode all texts and write them as token files to `folder`; returns the manifest, a few numbers a shard.
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer not in _encoders:
-            _encoders[tokenizer] = WordEncoder(tokenizer)
-        coder = _encoders[tokenizer]
-        for batch in batches:
-            texts, first = batch.column("text").to_pylist(), 0
-            while first < len(texts):
-                part, held = [], 0
-                while first + len(part) < len(texts) and held < 1_000_000:
-                    part.append(texts[first + len(part)] or "")
-                    held += len(part[-1])
-                ids = [np.array([*x, end_id], kind).tobytes() for x in coder.encode(part)]
-                yield pa.record_batch([batch.column("doc_id").slice(first, len(part)), batch.column("tie").slice(first, len(part)), pa.array(ids, pa.binary())], ["doc_id", "tie", "ids"])
-                first += len(part)
+    The texts are dealt by ranges of ids (one shuffle) and encoded where they
+    are written.
+    """
+    kind = "<u2" if max(UnitEncoder(tokenizer).size - 1, end_id) < 1 << 16 else "<u4"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        if tokenizer not in _encoders:
+            _encoders[tokenizer] = UnitEncoder(tokenizer)
         shard, (store, path), name, out = TaskContext.get().partitionId(), opened(folder), uuid.uuid4().hex, None
         store.create_dir(path, recursive=True)
-        ends, ids = [0], []
-        for batch in batches:
+        counts, ids = [], []
+        for batch, body, starts in pieces(batches):
             out = out or store.open_output_stream(f"{path}/{name}.tokens")
-            for i, body in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
-                out.write(body)
-                ends.append(ends[-1] + len(body) // width)
-                ids.append(NO_ID if i is None else i)
+            tokens, firsts = _encoders[tokenizer].encode(body, starts)
+            out.write(np.insert(tokens, firsts[1:], end_id).astype(kind).tobytes())
+            counts.append(np.diff(firsts) + 1)
+            ids.append(batch.column("doc_id").fill_null(NO_ID).to_numpy())
         if out:
             out.close()
-            for kind_of, body in (("offsets", np.array(ends, "<u8")), ("docs", np.array(ids, "<i8"))):
-                with store.open_output_stream(f"{path}/{name}.{kind_of}") as f:
+            counts, ids = np.concatenate(counts), np.concatenate(ids)
+            for what, body in (("offsets", np.append(0, np.cumsum(counts)).astype("<u8")), ("docs", ids.astype("<i8"))):
+                with store.open_output_stream(f"{path}/{name}.{what}") as f:
                     f.write(body.tobytes())
-            yield pa.record_batch([pa.array([shard], pa.int32()), pa.array([name]), pa.array([len(ids)]), pa.array([ends[-1]])], ["shard", "name", "docs", "tokens"])
+            yield pa.record_batch([pa.array([shard], pa.int32()), pa.array([name]), pa.array([len(ids)]), pa.array([int(counts.sum())])], ["shard", "name", "docs", "tokens"])
 
-    encoded = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text")).mapInArrow(encode, "doc_id long, tie long, ids binary")
-    told = encoded.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").mapInArrow(write, "shard int, name string, docs long, tokens long").collect()
+    dealt = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text")).repartitionByRange("doc_id", "tie")
+    told = dealt.sortWithinPartitions("doc_id", "tie").mapInArrow(write, "shard int, name string, docs long, tokens long").collect()
     base, shards = 0, []
     for row in sorted(told):
         shards.append({"name": row.name, "docs": row.docs, "tokens": row.tokens, "base": base})
