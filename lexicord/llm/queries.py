@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexicord.llm.bpe import encode_documents
+from lexicord.llm.quality import quality
 from lexicord.llm.shared import table
 from lexicord.llm.tokenfiles import token_files
+from lexicord.llm.toxicity import toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -23,15 +25,25 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=3, held_out=1, threshold=0.7)
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=5, held_out=0, threshold=0.3)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_files": op2_token_files,
+        "op6_toxicity": op6_toxicity,
         "op8_bpe": op8_bpe,
+        "op9_quality": op9_quality,
     }
 
 
