@@ -8,12 +8,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexicord.llm.bpe import encode_documents
+from lexicord.llm import secrets
+from lexicord.llm.linededup import line_dedup
 from lexicord.llm.quality import quality
-from lexicord.llm.shared import table
+from lexicord.llm.shared import table, written
 from lexicord.llm.tokenfiles import token_files
 from lexicord.llm.toxicity import toxicity
 
 
+# Spans of each kind from the matches and what stands between them; base_sha256 and spans as the operator renders them.
+OP5_SQL = """
+WITH rules(rank, kind, pat, least) AS (VALUES
+    (0, 'assign', '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\\x20*[:=]\\x20*["'']?[A-Za-z0-9+/_.=-]+', 6),
+    (1, 'access', 'AKIA[A-Z0-9]+', 20),
+    (2, 'hex', '[0-9a-f]+', 24)),
+cut AS (
+    SELECT doc_id, rank, kind, least, regexp_extract_all(coalesce(text, ''), pat) AS m, string_split_regex(coalesce(text, ''), pat) AS p
+    FROM documents, rules),
+spans AS (
+    SELECT doc_id, rank, kind, least, m[i] AS hit,
+        list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) AS a
+    FROM cut, unnest(generate_series(1, len(m))) AS t(i)),
+kept AS (
+    SELECT doc_id, rank, kind, CAST(a AS BIGINT) AS a, CAST(a + length(hit) AS BIGINT) AS b FROM spans
+    WHERE CASE kind WHEN 'assign' THEN length(regexp_replace(hit, '^[A-Za-z_]+["'']?\\x20*[:=]\\x20*["'']?', '')) ELSE length(hit) END >= least),
+told AS (
+    SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+        string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) AS spans
+    FROM kept GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN told USING (doc_id)
+"""
+
+
 def tokenizer_path(name: str) -> str:
     """Place of an installed vocabulary file; pass another path to the operators to use another."""
     import public_tokenizers
@@ -25,6 +53,12 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secrets.versions(table(spark, sf_dir, "documents"))
+    ledger = written(secrets.scan_unseen(rows, None))
+    return secrets.findings(rows, ledger).select(F.col("path").alias("doc_id"), "n_assign", "n_access", "n_hex", F.sha2(F.encode("spans", "UTF-8"), 256).alias("base_sha256"), "spans")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=3, held_out=1, threshold=0.7)
 
@@ -38,14 +72,21 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=5, held_out=0, threshold=0.3)
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_exact", "n_near", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_files": op2_token_files,
+        "op5_secrets": op5_secrets,
         "op6_toxicity": op6_toxicity,
         "op8_bpe": op8_bpe,
         "op9_quality": op9_quality,
+        "op10_line_dedup": op10_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_secrets": OP5_SQL}
