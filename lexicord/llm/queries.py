@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lexicord.llm.bpe import encode_documents
 from lexicord.llm import secrets
 from lexicord.llm.linededup import line_dedup
+from lexicord.llm.neardup import near_duplicates
 from lexicord.llm.quality import quality
 from lexicord.llm.shared import table, written
 from lexicord.llm.tokenfiles import token_files
@@ -63,6 +64,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=3, held_out=1, threshold=0.7)
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
@@ -82,6 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_files": op2_token_files,
         "op5_secrets": op5_secrets,
         "op6_toxicity": op6_toxicity,
+        "op7_near_dedup": op7_near_dedup,
         "op8_bpe": op8_bpe,
         "op9_quality": op9_quality,
         "op10_line_dedup": op10_line_dedup,
