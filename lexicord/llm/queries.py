@@ -11,6 +11,7 @@ from lexicord.llm.bpe import encode_documents
 from lexicord.llm import secrets
 from lexicord.llm.linededup import line_dedup
 from lexicord.llm.neardup import near_duplicates
+from lexicord.llm.ngramjoin import document_components
 from lexicord.llm.quality import quality
 from lexicord.llm.shared import table, written
 from lexicord.llm.tokenfiles import token_files
@@ -50,6 +51,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
 
@@ -84,6 +89,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_join": op1_ngram_join,
         "op2_token_files": op2_token_files,
         "op5_secrets": op5_secrets,
         "op6_toxicity": op6_toxicity,
