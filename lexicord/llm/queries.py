@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexicord.llm.bpe import encode_documents
 from lexicord.llm import secrets
+from lexicord.llm.decontam import contaminated
 from lexicord.llm.linededup import line_dedup
 from lexicord.llm.neardup import near_duplicates
 from lexicord.llm.ngramjoin import document_components
@@ -59,6 +60,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = secrets.versions(table(spark, sf_dir, "documents"))
     ledger = written(secrets.scan_unseen(rows, None))
@@ -91,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
         "op2_token_files": op2_token_files,
+        "op3_decontamination": op3_decontamination,
         "op5_secrets": op5_secrets,
         "op6_toxicity": op6_toxicity,
         "op7_near_dedup": op7_near_dedup,
