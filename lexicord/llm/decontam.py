@@ -4,7 +4,9 @@ Terms are word hashes in 2**18 buckets, weighted by inverse document frequency
 over all documents.  A distributed randomised SVD of the TF-IDF passages of the
 benchmark gives `rank` latent directions.  All passages of all documents
 (windows of three steps of `step` words, one step apart) are projected, and
-those whose cosine to an item reaches `cosine` are candidates.  A candidate is
+those whose cosine to an item reaches `cosine`, and whose part along it `share`
+of the item's length, are candidates.  Terms in more than `common` of all
+documents weigh nothing, except those of items with few others.  A candidate is
 checked on the words themselves: the longest common subsequence of the item and
 the window with an item's length around it, as a share of the item, and the same
 for the item's answer (its last sentence).  A document is contaminated by an
@@ -115,9 +117,10 @@ def randomised_svd(passages: DataFrame, wanted: np.ndarray, weights: np.ndarray,
             for batch in batches:
                 for row in batch.column("words").to_pylist():
                     b = buckets(np.array(row, np.int64).view(np.uint64))
+                    b = b[place[b] >= 0]
                     at, w = place[b], weights[b]
                     y = w @ q[at]
-                    size = np.sqrt((np.bincount(at, w) ** 2).sum())  # rows count with unit length
+                    size = np.sqrt((np.bincount(at, w) ** 2).sum()) if len(at) else 0  # rows count with unit length
                     y = y / max(size, 1e-9)
                     if last:
                         out += np.outer(y, y)
@@ -154,7 +157,7 @@ def longest_common(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, step: int = 16, rank: int = 128, cosine: float = 0.5, sure: float = 0.8, likely: float = 0.6, answer: float = 0.6, block: int = 50_000) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, step: int = 16, rank: int = 128, cosine: float = 0.4, share: float = 0.4, common: float = 0.03, sure: float = 0.8, likely: float = 0.6, answer: float = 0.6, block: int = 50_000) -> DataFrame:
     """(doc_id, item_id, cosine, lcs, answer): each document and item that contaminates it, with the best figures."""
     spark = docs.sparkSession
     asked = written(items(benchmark))
@@ -165,11 +168,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, step: int = 16, rank: in
     if not wanted.any():
         return empty
     frequency, n_docs = document_frequencies(docs, wanted)
-    weights = (np.log((1 + n_docs) / (1 + frequency)) * wanted).astype(np.float32)
-    directions = randomised_svd(asked, wanted, weights, rank)
-    latent = np.zeros((1 << BITS, 1), np.int32) - 1
-    latent[np.flatnonzero(wanted), 0] = np.arange(wanted.sum())
-    place = latent[:, 0]
+    rare = wanted & (frequency <= common * n_docs)
+    kept = spark.sparkContext.broadcast(rare)
+
+    def lacking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Terms of items with fewer than three rare terms."""
+        for batch in batches:
+            rows = [np.unique(buckets(np.array(row, np.int64).view(np.uint64))) for row in batch.column("words").to_pylist()]
+            yield pa.record_batch([pa.array(np.concatenate([b for b in rows if kept.value[b].sum() < 3] or [np.empty(0, np.int64)]))], ["bucket"])
+
+    rare[asked.select("words").mapInArrow(lacking, "bucket long").distinct().toPandas()["bucket"].astype(int)] = True
+    weights = (np.log((2 + n_docs) / (1 + frequency)) * rare).astype(np.float32)
+    directions = randomised_svd(asked, rare, weights, rank)
+    place = np.zeros(1 << BITS, np.int32)
+    place[np.flatnonzero(rare)] = np.arange(rare.sum())
     sent = spark.sparkContext.broadcast((place, weights, directions))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,12 +200,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, step: int = 16, rank: in
     for (part,) in numbered.select("block").distinct().collect():
         own = numbered.where(F.col("block") == part).toPandas()  # about `block` items
         vecs = np.stack([np.frombuffer(v, np.float32) for v in own["v"]])
-        vecs = vecs / np.maximum(np.linalg.norm(vecs, axis=1, keepdims=True), 1e-9)
-        block_sent = spark.sparkContext.broadcast((own["item_id"].to_numpy(), vecs, float(own["energy"].min()) * likely / 2))
+        sizes = np.maximum(np.linalg.norm(vecs, axis=1), 1e-9)
+        block_sent = spark.sparkContext.broadcast((own["item_id"].to_numpy(), vecs / sizes[:, None], sizes * share, float(own["energy"].min()) * likely / 2))
 
         def search(batches: Iterator[pa.RecordBatch], block_sent=block_sent) -> Iterator[pa.RecordBatch]:
             place, weights, directions = sent.value
-            item_ids, vecs, least = block_sent.value
+            item_ids, vecs, needed, least = block_sent.value
             for batch, body, starts in pieces(batches):
                 hashes, firsts, _ = term_words(body, starts)
                 b = buckets(hashes)
@@ -217,11 +229,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, step: int = 16, rank: in
                     latent = np.zeros((len(part), directions.shape[1]), np.float32)
                     cut = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
                     latent[of[cut]] = np.add.reduceat(directions[place[b[at]]] * w[at, None], cut)
-                    cos = (latent @ vecs.T) / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
-                    i, j = np.nonzero(cos >= cosine)
+                    along = latent @ vecs.T
+                    i, j = np.nonzero(along >= needed)
+                    cos = along[i, j] / np.maximum(np.linalg.norm(latent, axis=1)[i], 1e-9)
+                    i, j, cos = i[cos >= cosine], j[cos >= cosine], cos[cos >= cosine]
                     rows.append(part[i])
                     hits.append(j)
-                    scores.append(cos[i, j])
+                    scores.append(cos)
                 if not rows or not sum(map(len, rows)):
                     continue
                 at, hit, score = np.concatenate(rows), np.concatenate(hits), np.concatenate(scores)
