@@ -17,10 +17,12 @@ many documents share makes no key, for a segment takes tokens from everywhere.
 The work has two passes.  In the first, each document is compared with the
 document of least id that it shares most keys with: a group of any number of
 near copies is a star, not all pairs.  Components of what is linked are the
-groups, dealt into parts of about `part` members.  In the second pass only keys
-that still join different components count: their documents query the parts of
-the other components by the bound, and open those that qualify.  Links inside a
-component cannot change components, so no link between components is lost.
+groups.  In the second pass only keys that still join different components count.
+A document with many tokens of its own cannot link outside its component, and of
+two that link one has few (see `viable`); these light ones, dealt into parts of
+about `part` members of a component, are what documents of other components
+query by the bound, opening the parts that qualify.  Links inside a component
+cannot change components, so no link between components is lost.
 
 Edge cases: null, empty and blank texts have no tokens, link with nothing and are
 their own components; fewer than k words are one token.  Rows with one id count
@@ -118,7 +120,24 @@ def verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(linked(F.col("s"), F.col("t"), percent)).select("a", "b")
 
 
-def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: int = 32) -> DataFrame:
+def viable(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """(id, group, light) of the (id, group) that can link outside their group.
+
+    Tokens that no other group has are private.  With s common and p, q private
+    tokens, the similarity of two documents of different groups is s / (s + p + q)
+    at most, and s is no more than the tokens that are not private.  So a document
+    with too many private tokens links with nothing outside, and of two that link
+    one at least is light: has no more than half as many.
+    """
+    spread = rows.join(tokens, "id").select("id", "group", F.explode("tokens").alias("token"))
+    owners = spread.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("token")
+    common = spread.join(owners, "token").groupBy("id").agg(F.count("*").alias("common"))
+    told = rows.join(tokens.select("id", F.size("tokens").alias("n")), "id").join(common, "id")
+    private = F.col("n") - F.col("common")
+    return told.where(private * percent <= F.col("common") * (100 - percent)).select("id", "group", (private * 2 * percent <= F.col("common") * (100 - percent)).alias("light"))
+
+
+def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: int = 256) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     sets = written(token_sets(docs, k, percent))
     classes_ = sets.where("n > 0 and doc_id is not null").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("id"))
@@ -137,14 +156,15 @@ def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: in
     again = sets.select(F.col("doc_id").alias("id"), "f1", "n", "keys").join(ids, ["id", "f1"]).dropDuplicates(["id", "f1"]).select("id", "n", F.explode("keys").alias("key")).join(groups, "id")
     split = again.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("key")
     open_keys = written(again.join(split, "key"))
-    sizes = open_keys.select("id", "group").distinct().groupBy("group").agg(F.count("*").alias("size"))
-    members = written(open_keys.select("id", "group").distinct().join(sizes, "group").select("id", "group", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / part)).alias("part")))
-    unions = members.join(tokens, "id").groupBy("group", "part").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"), F.min(F.size("tokens")).alias("smallest"), F.max(F.size("tokens")).alias("largest"))
-    held = open_keys.select("key", "id", "n").join(members, "id")
-    asked = held.select("key", "id", "n", "group")
-    parts = held.groupBy("key", "group", "part").agg(F.min("n").alias("low_n"), F.max("n").alias("high_n")).withColumnRenamed("group", "other")
+    asking = written(viable(open_keys.select("id", "group").distinct(), tokens, percent))
+    sizes = asking.where("light").groupBy("group").agg(F.count("*").alias("size"))
+    members = written(asking.where("light").join(sizes, "group").select("id", "group", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / part)).alias("part")))
+    unions = members.join(tokens, "id").groupBy("group", "part").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"))
+    asked = open_keys.join(asking.select("id", "light"), "id").select("key", "id", "n", "group", "light")
+    parts = open_keys.join(members.select("id", "part"), "id").groupBy("key", F.col("group").alias("other"), "part").agg(F.min("n").alias("low_n"), F.max("n").alias("high_n"))
     fits = (F.col("n") * percent <= F.col("high_n") * 100) & (F.col("low_n") * percent <= F.col("n") * 100)
-    meets = asked.join(parts, "key").where((F.col("group") < F.col("other")) & fits).select("id", F.col("other").alias("group"), "part").distinct()
+    once = (F.col("group") != F.col("other")) & (~F.col("light") | (F.col("group") < F.col("other")))
+    meets = asked.join(parts, "key").where(once & fits).select("id", F.col("other").alias("group"), "part").distinct()
     bounded = meets.join(tokens, "id").join(unions, ["group", "part"]).where(F.size(F.array_intersect("tokens", "union")) * 100 >= F.size("tokens") * percent).select(F.col("id").alias("a"), "group", "part")
     opened = bounded.join(members.withColumnRenamed("id", "b"), ["group", "part"]).select("a", "b")
     late = written(verified(opened, tokens, percent))
