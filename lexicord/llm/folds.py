@@ -11,20 +11,26 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(0)) % folds
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int) -> DataFrame:
-    """(doc_id, half, label, text) of labelled documents outside the held-out fold; half deals the other folds into 0 and 1.
+def told(labels: DataFrame, label: str, folds: int, held_out: int) -> DataFrame:
+    """(doc_id, half, label) of labels 0 and 1 outside the held-out fold; half deals the other folds into 0 and 1.
 
     A document that is labelled more than once counts with its largest label.
     """
-    told = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label")).where("label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
     own = fold("doc_id", folds)
-    seen = docs.select("doc_id", ((own - (own > held_out).cast("long")) % 2).alias("half"), "text").where(own != held_out)
-    return seen.join(told.where(fold("doc_id", folds) != held_out), "doc_id")
+    rows = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1) & (own != held_out))
+    return rows.groupBy("doc_id").agg(F.max("label").alias("label")).select("doc_id", ((own - (own > held_out).cast("long")) % 2).alias("half"), "label")
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int) -> DataFrame:
+    """(doc_id, half, label, text) of all labelled documents outside the held-out fold."""
+    seen = docs.select("doc_id", "text").where(fold("doc_id", folds) != held_out)
+    return seen.join(told(labels, label, folds, held_out), "doc_id")
 
 
-def bounded(rows: DataFrame, most: int) -> DataFrame:
-    """At most `most` rows, those whose ids hash lowest; for fitting only."""
-    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+def sampled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, most: int) -> DataFrame:
+    """The same for at most `most` labels, those whose ids hash lowest; for fitting only.  The labels go to the texts."""
+    some = told(labels, label, folds, held_out).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")  # `most` rows
 
 
 def logistic(x, y, l2: float = 1e-3, rounds: int = 50):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexicord.llm.folds import fold, logistic
+from lexicord.llm.folds import fold, logistic, sampled
 from lexicord.llm.textarrays import BLANK, LOWER, pieces, range_hashes, spans
 
 
@@ -156,9 +156,7 @@ class Field:
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, most: int = 3_000, turns: int = 2) -> Field:
     """A field fitted on at most `most` labelled documents outside the held-out fold."""
-    told = labels.select(F.col("doc_id"), F.col("quality").cast("int").alias("label")).where("label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
-    sample = told.where(fold("doc_id", folds) != held_out).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # `most` rows
+    texts = sampled(docs, labels, "quality", folds, held_out, most)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, body, starts in pieces(batches):
