@@ -36,11 +36,11 @@ def line_words(line: Column) -> Column:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """(place, words, n, h1, h2) of all lines; h1 and h2 identify the words."""
+    """(place, line, words, n, h1, h2) of all lines; h1 and h2 identify the words."""
     places = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    words = places.select(F.struct("doc", "pos").alias("place"), line_words(F.col("line")).alias("words"))
+    words = places.select(F.struct("doc", "pos").alias("place"), "line", line_words(F.col("line")).alias("words"))
     joined = F.array_join("words", " ")
-    return words.select("place", "words", F.size("words").alias("n"), F.xxhash64(joined).alias("h1"), F.hash(joined).alias("h2"))
+    return words.select("place", "line", "words", F.size("words").alias("n"), F.xxhash64(joined).alias("h1"), F.hash(joined).alias("h2"))
 
 
 def halves(n: Column, words: Column) -> list[Column]:
@@ -57,10 +57,11 @@ def near_lines(kept: DataFrame, docs: DataFrame, near_words: int) -> DataFrame:
     """(h1, h2, near_first): lines with an earlier neighbour, and the neighbour's place."""
     long = kept.where(F.col("n") >= near_words)
     keys = long.select("h1", "h2", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
-    active = keys.join(shared, "key", "left_semi").select("h1", "h2").distinct().join(long.select("h1", "h2", "first"), ["h1", "h2"])
-    texts = lines(docs).where(F.col("n") >= near_words)
-    own = written(active.join(texts.select("h1", "h2", "place", "words", "n"), ["h1", "h2"]).where("place = first").select("h1", "h2", "first", "words", "n").dropDuplicates(["h1", "h2"]))
+    shared = keys.withColumn("times", F.count("*").over(Window.partitionBy("key"))).where("times > 1")
+    active = shared.select("h1", "h2").distinct().join(long.select("h1", "h2", "first"), ["h1", "h2"])
+    texts = lines(docs).where(F.col("n") >= near_words).select("h1", "h2", F.col("place").alias("first"), "line")
+    found = active.join(texts, ["h1", "h2", "first"]).dropDuplicates(["h1", "h2"])
+    own = written(found.select("h1", "h2", "first", line_words(F.col("line")).alias("words")).withColumn("n", F.size("words")))
 
     at = own.select("h1", "h2", "first", "n", F.posexplode("words").alias("i", "word")).select("h1", "h2", "first", "n", "i", F.xxhash64("word", "i").alias("c"), F.xxhash64("word", F.col("i") - 1).alias("d"))
     line = Window.partitionBy("h1", "h2")
