@@ -15,6 +15,7 @@ from lexicord.llm.neardup import near_duplicates
 from lexicord.llm.ngramjoin import document_components
 from lexicord.llm.quality import quality
 from lexicord.llm.shared import table, written
+from lexicord.llm.suffixdedup import repeated_strings
 from lexicord.llm.tokenfiles import token_files
 from lexicord.llm.toxicity import toxicity
 
@@ -64,6 +65,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeated_strings(table(spark, sf_dir, "documents"), length=50)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = secrets.versions(table(spark, sf_dir, "documents"))
     ledger = written(secrets.scan_unseen(rows, None))
@@ -97,6 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_ngram_join": op1_ngram_join,
         "op2_token_files": op2_token_files,
         "op3_decontamination": op3_decontamination,
+        "op4_suffix_dedup": op4_suffix_dedup,
         "op5_secrets": op5_secrets,
         "op6_toxicity": op6_toxicity,
         "op7_near_dedup": op7_near_dedup,

@@ -20,9 +20,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """The rows as a table in the shared folder: lineage ends there, and lost executors cost nothing."""
+    """The rows as a table in the shared folder: lineage ends there, and lost executors cost nothing.
+
+    Spark drops shuffle files once the driver has collected what refers to them;
+    asking for that here keeps the disk to what the next step needs.
+    """
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
