@@ -50,6 +50,12 @@ GROWTH = 1.6
 MISS = 1e-6
 
 
+def most_differing(percent: int, high: int) -> int:
+    """How many tokens two linked sets of fewer than `high` tokens can differ in."""
+    t = percent / 100
+    return int((1 - t) / (1 + t) * 2 * (high - 1) + 1e-9)
+
+
 def classes(percent: int) -> tuple[np.ndarray, list[int]]:
     """Least sizes of the classes, and the number of segments of each."""
     least = [1]
@@ -57,22 +63,26 @@ def classes(percent: int) -> tuple[np.ndarray, list[int]]:
         least.append(max(least[-1] + 1, int(least[-1] * GROWTH)))
     t, counts = percent / 100, []
     for low, high in zip(least, least[1:]):
-        differing = int((1 - t) / (1 + t) * 2 * (high - 1) + 1e-9)
+        differing = most_differing(percent, high)
         common = max(1, t * low)
         counts.append(max(differing + 1, ceil(differing * exp(-log(MISS) / common))) if differing else 1)
     return np.array(least), counts
 
 
-def segment_keys(tokens: np.ndarray, percent: int, least: np.ndarray, counts: list[int]) -> np.ndarray:
-    """Keys of a sorted token set: one for each segment that is not empty, in each size class where partners can be."""
-    n = len(tokens)
+def own_classes(n: int, percent: int, least: np.ndarray) -> list[int]:
+    """Size classes in which partners of a set of n tokens can be."""
+    return sorted({int(np.searchsorted(least, n, "right")) - 1, int(np.searchsorted(least, n * 100 // percent, "right")) - 1})
+
+
+def segment_keys(tokens: np.ndarray, percent: int, least: np.ndarray, counts: list[int]) -> list[np.ndarray]:
+    """Keys of a sorted token set in each of its classes: one for each segment that is not empty."""
     out = []
     mixed = mix(tokens ^ np.uint64(0x5851F42D4C957F2D))
-    for c in sorted({int(np.searchsorted(least, n, "right")) - 1, int(np.searchsorted(least, n * 100 // percent, "right")) - 1}):
+    for c in own_classes(len(tokens), percent, least):
         segment = ((tokens >> np.uint64(32)) * np.uint64(counts[c])) >> np.uint64(32)
         first = np.append(0, np.flatnonzero(segment[1:] != segment[:-1]) + 1)
         out.append(mix(np.add.reduceat(mixed, first) + mix(segment[first] * np.uint64(64) + np.uint64(c))))
-    return np.concatenate(out)
+    return out
 
 
 def token_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -84,7 +94,7 @@ def token_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
             sets = shingles(*words(body, starts), k)
             f1 = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64)
             f2 = np.array([mix(s + np.uint64(12345)).sum(dtype=np.uint64) for s in sets], np.uint64)
-            keys = [segment_keys(s, percent, least, counts) if len(s) else s for s in sets]
+            keys = [np.concatenate(segment_keys(s, percent, least, counts)) if len(s) else s for s in sets]
             ends = np.append(0, np.cumsum([len(x) for x in keys]))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys).view(np.int64)))
             yield pa.record_batch([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), lists], ["doc_id", "n", "f1", "f2", "keys"])
@@ -137,6 +147,38 @@ def viable(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     return told.where(private * percent <= F.col("common") * (100 - percent)).select("id", "group", (private * 2 * percent <= F.col("common") * (100 - percent)).alias("light"))
 
 
+def rare_keys(rows: DataFrame, percent: int) -> DataFrame:
+    """(key, id, n, group, light, size): the rarest keys of each document, enough for linked ones to share one.
+
+    Segments are three times finer here.  Linked sets differ in at most d of them,
+    so of the keys in each class, ordered by how many documents have them, the
+    first d + 1 of both hold a common one.  What most of a group of copies shares
+    is never among those of documents that differ from it.
+    """
+    least, _ = classes(percent)
+    differing = [most_differing(percent, int(high)) for high in least[1:]]
+    counts = [3 * d + 1 for d in differing]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, keys, class_, enough = [], [], [], []
+            for i, row in zip(batch.column("id").to_pylist(), batch.column("tokens")):
+                tokens = row.values.to_numpy().view(np.uint64)
+                for c, own in zip(own_classes(len(tokens), percent, least), segment_keys(tokens, percent, least, counts)):
+                    ids.append(np.full(len(own), i))
+                    keys.append(own.view(np.int64))
+                    class_.append(np.full(len(own), c, np.int32))
+                    enough.append(np.full(len(own), differing[c] + 1, np.int32))
+            if ids:
+                yield pa.record_batch([pa.array(np.concatenate(x)) for x in (ids, keys, class_, enough)], ["id", "key", "class", "enough"])
+
+    fine = rows.select("id", "tokens").mapInArrow(run, "id long, key long, class int, enough int")
+    held = fine.groupBy("key").agg(F.count("*").alias("times"))
+    order = F.row_number().over(Window.partitionBy("id", "class").orderBy("times", "key"))
+    first = fine.join(held, "key").withColumn("nth", order).where("nth <= enough and times > 1").select("id", "key")
+    return first.join(rows.select("id", F.size("tokens").alias("n"), "group", "light", "size"), "id")
+
+
 def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: int = 256) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     sets = written(token_sets(docs, k, percent))
@@ -157,13 +199,17 @@ def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: in
     split = again.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("key")
     open_keys = written(again.join(split, "key"))
     asking = written(viable(open_keys.select("id", "group").distinct(), tokens, percent))
-    sizes = asking.where("light").groupBy("group").agg(F.count("*").alias("size"))
-    members = written(asking.where("light").join(sizes, "group").select("id", "group", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / part)).alias("part")))
+    sizes = asking.groupBy("group").agg(F.count_if("light").alias("size"))
+    asking = asking.join(sizes, "group")
+    members = written(asking.where("light").select("id", "group", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / part)).alias("part")))
     unions = members.join(tokens, "id").groupBy("group", "part").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"))
-    asked = open_keys.join(asking.select("id", "light"), "id").select("key", "id", "n", "group", "light")
-    parts = open_keys.join(members.select("id", "part"), "id").groupBy("key", F.col("group").alias("other"), "part").agg(F.min("n").alias("low_n"), F.max("n").alias("high_n"))
+    keys = written(rare_keys(asking.join(tokens, "id"), percent))
+    asked = keys.select("key", "id", "n", "group", "light", "size")
+    parts = keys.join(members.select("id", "part"), "id").groupBy("key", F.col("group").alias("other"), "part").agg(F.min("n").alias("low_n"), F.max("n").alias("high_n"), F.max("size").alias("other_size"))
     fits = (F.col("n") * percent <= F.col("high_n") * 100) & (F.col("low_n") * percent <= F.col("n") * 100)
-    once = (F.col("group") != F.col("other")) & (~F.col("light") | (F.col("group") < F.col("other")))
+    # of two components with light documents, the smaller one asks
+    smaller = F.struct("size", "group") < F.struct("other_size", "other")
+    once = (F.col("group") != F.col("other")) & (~F.col("light") | smaller)
     meets = asked.join(parts, "key").where(once & fits).select("id", F.col("other").alias("group"), "part").distinct()
     bounded = meets.join(tokens, "id").join(unions, ["group", "part"]).where(F.size(F.array_intersect("tokens", "union")) * 100 >= F.size("tokens") * percent).select(F.col("id").alias("a"), "group", "part")
     opened = bounded.join(members.withColumnRenamed("id", "b"), ["group", "part"]).select("a", "b")
