@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Pre-tokens whose ids a worker remembers at once.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -169,11 +169,11 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def text_parts(texts: list[str | None], most: int = 1_000_000) -> Iterator[list[str]]:
+def text_parts(column: pa.Array, most: int = 500_000) -> Iterator[list[str]]:
     """Consecutive texts, about `most` characters at a time."""
     part, held = [], 0
-    for text in texts:
-        part.append(text or "")
+    for text in column:
+        part.append(text.as_py() or "")
         held += len(part[-1])
         if held > most:
             yield part
@@ -192,7 +192,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
         coder = encoder(vocabulary)
         for batch in batches:
             first = 0
-            for part in text_parts(batch.column("text").to_pylist()):
+            for part in text_parts(batch.column("text")):
                 ids = coder.encode(part)
                 yield pa.record_batch(
                     [batch.column("doc_id").slice(first, len(part)), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64()), pa.array([coder.decode(x) for x in ids], pa.string())],
