@@ -217,4 +217,4 @@ def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: in
 
     joined = components(edges.unionByName(late)).select("id", "component_id")
     told = sets.select("doc_id", "n", "f1", "f2").join(classes_, ["n", "f1", "f2"], "left").join(joined, "id", "left")
-    return told.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id", "doc_id").alias("component_id"))
+    return told.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "id", "doc_id")).alias("component_id"))

@@ -92,12 +92,11 @@ def shared_anchors(rows: DataFrame) -> DataFrame:
             h, d = batch.column("hash").to_numpy(), batch.column("doc").to_numpy()
             if held is not None:
                 h, d = np.append(held[0], h), np.append(held[1], d)
-            same = np.zeros(len(h), bool)
-            same[1:] = (h[1:] == h[:-1]) & (d[1:] != d[:-1])
-            follows = np.append(same[1:], False)
-            again = np.zeros(len(h), bool)
-            again[1:] = (h[1:] == h[:-1]) & (d[1:] == d[:-1])
-            hit = (same | follows) & ~again
+            new = np.ones(len(h), bool)  # rows of one id may repeat a hash
+            new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
+            h, d = h[new], d[new]
+            same = np.append(False, h[1:] == h[:-1])
+            hit = same | np.append(same[1:], False)
             if held is not None:
                 hit[0] |= held[2]
             yield pa.record_batch([pa.array(h[:-1][hit[:-1]]), pa.array(d[:-1][hit[:-1]])], ["hash", "doc"])
