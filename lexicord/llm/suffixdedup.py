@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexicord.llm.shared import written
-from lexicord.llm.textarrays import flat, mix, pieces
+from lexicord.llm.textarrays import mix, pieces
 
 ANCHOR = 16
 
@@ -297,17 +297,20 @@ def repeated_strings(docs: DataFrame, length: int = 50, block: int = 40_000, mos
     by_row = all_spans.unionByName(whole).groupBy("doc", "tie").agg(F.collect_list(F.struct("at", "size")).alias("spans"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            body, starts = flat(batch.column("text"))
+        for batch, body, starts in pieces(batches):
+            lists = batch.column("spans")
+            told = lists.flatten()
+            at, size = told.field("at").to_numpy(), told.field("size").to_numpy()
+            firsts = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy()))
             sizes, removed, runs, kept = np.diff(starts), [], [], []
-            for k, told in enumerate(batch.column("spans").to_pylist()):
-                found = merged(np.array([(s["at"], min(s["at"] + s["size"], sizes[k])) for s in told or ()], np.int64).reshape(-1, 2))
+            for k, (a, b) in enumerate(zip(firsts[:-1], firsts[1:])):
+                found = merged(np.stack([at[a:b], np.minimum(at[a:b] + size[a:b], sizes[k])], axis=1))
                 keep = np.ones(sizes[k], bool)
-                for a, b in found:
-                    keep[a:b] = False
+                for x, y in found:
+                    keep[x:y] = False
                 kept.append(body[starts[k] : starts[k + 1]][keep].tobytes())
                 removed.append(int(sizes[k]) - len(kept[-1]))
-                runs.append([{"start": int(a), "end": int(b)} for a, b in found])
+                runs.append([{"start": int(x), "end": int(y)} for x, y in found])
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.record_batch([batch.column("doc_id"), pa.array(sizes), pa.array(removed, pa.int64()), pa.array([len(r) for r in runs], pa.int64()), pa.array(runs, span), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
 
