@@ -31,16 +31,25 @@ from pyspark.sql.window import Window
 from lexicord.llm.shared import written
 
 
+BLANKS = " \t\r"
+
+
 def line_words(line: Column) -> Column:
-    return F.filter(F.split(line, "[ \t\r]+"), lambda w: w != "")
+    """Words of a line that has some."""
+    return F.split(F.btrim(line, F.lit(BLANKS)), f"[{BLANKS}]+")
+
 
+def document_key() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
 
-def lines(docs: DataFrame) -> DataFrame:
-    """(place, line, words, n, h1, h2) of all lines; h1 and h2 identify the words."""
-    places = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    words = places.select(F.struct("doc", "pos").alias("place"), "line", line_words(F.col("line")).alias("words"))
-    joined = F.array_join("words", " ")
-    return words.select("place", "line", "words", F.size("words").alias("n"), F.xxhash64(joined).alias("h1"), F.hash(joined).alias("h2"))
+
+def measured_lines(docs: DataFrame, exact_words: int, near_words: int) -> DataFrame:
+    """(place, n, h1, h2, k0..k3) of all lines of `exact_words` words or more; h1 and h2 identify the words, k are half keys."""
+    places = docs.select(document_key().alias("doc"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = places.select(F.struct("doc", "pos").alias("place"), F.regexp_replace(F.btrim("line", F.lit(BLANKS)), f"[{BLANKS}]+", " ").alias("line")).where("line != ''")
+    words = lines.select("place", "line", F.split("line", " ").alias("words")).withColumn("n", F.size("words")).where(F.col("n") >= exact_words)
+    keys = halves(F.col("n"), F.col("words"))
+    return words.select("place", "n", F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), *[F.when(F.col("n") >= near_words, k).alias(f"k{i}") for i, k in enumerate(keys)])
 
 
 def halves(n: Column, words: Column) -> list[Column]:
@@ -59,8 +68,11 @@ def near_lines(kept: DataFrame, docs: DataFrame, near_words: int) -> DataFrame:
     keys = long.select("h1", "h2", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"))
     shared = keys.withColumn("times", F.count("*").over(Window.partitionBy("key"))).where("times > 1")
     active = shared.select("h1", "h2").distinct().join(long.select("h1", "h2", "first"), ["h1", "h2"])
-    texts = lines(docs).where(F.col("n") >= near_words).select("h1", "h2", F.col("place").alias("first"), "line")
-    found = active.join(texts, ["h1", "h2", "first"]).dropDuplicates(["h1", "h2"])
+    by_doc = active.groupBy(F.col("first.doc").alias("doc")).agg(F.collect_list(F.struct("h1", "h2", F.col("first.pos").alias("pos"))).alias("wanted"))
+    texts = docs.select(document_key().alias("doc"), "text").join(by_doc, "doc")
+    parts = texts.select("doc", F.split("text", "\n").alias("parts"), F.explode("wanted").alias("w"))
+    found = parts.select("w.h1", "w.h2", F.struct("doc", "w.pos").alias("first"), F.get("parts", F.col("w.pos")).alias("line"))
+    found = found.where(F.xxhash64(F.regexp_replace(F.btrim("line", F.lit(BLANKS)), f"[{BLANKS}]+", " ")) == F.col("h1")).dropDuplicates(["h1", "h2"])
     own = written(found.select("h1", "h2", "first", line_words(F.col("line")).alias("words")).withColumn("n", F.size("words")))
 
     at = own.select("h1", "h2", "first", "n", F.posexplode("words").alias("i", "word")).select("h1", "h2", "first", "n", "i", F.xxhash64("word", "i").alias("c"), F.xxhash64("word", F.col("i") - 1).alias("d"))
@@ -105,10 +117,8 @@ def near_lines(kept: DataFrame, docs: DataFrame, near_words: int) -> DataFrame:
 
 def removals(docs: DataFrame, exact_words: int = 3, near_words: int = 10) -> DataFrame:
     """(doc, exact, near): places of the lines that go from each document, as sorted arrays."""
-    all_lines = lines(docs).where(F.col("n") >= exact_words)
-    keys = halves(F.col("n"), F.col("words"))
-    measured = all_lines.select("place", "n", "h1", "h2", *[F.when(F.col("n") >= near_words, k).alias(f"k{i}") for i, k in enumerate(keys)])
-    kept = written(measured.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count("*").alias("times"), F.max("n").alias("n"), *[F.max(f"k{i}").alias(f"k{i}") for i in range(4)]))
+    all_lines = written(measured_lines(docs, exact_words, near_words))
+    kept = written(all_lines.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count("*").alias("times"), F.max("n").alias("n"), *[F.max(f"k{i}").alias(f"k{i}") for i in range(4)]))
     near = near_lines(kept, docs, near_words)
     told = kept.select("h1", "h2", "first", "times").join(near, ["h1", "h2"], "left").where("times > 1 or near_first is not null")
     gone = all_lines.select("place", "h1", "h2").join(told, ["h1", "h2"]).where("first < place or near_first < place")
@@ -122,8 +132,7 @@ def line_dedup(docs: DataFrame, exact_words: int = 3, near_words: int = 10) -> D
     The three counts replace columns of the same names.
     """
     gone = removals(docs, exact_words, near_words)
-    id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
-    joined = docs.alias("d").join(gone.alias("g"), id_ == F.col("g.doc"), "left")
+    joined = docs.alias("d").join(gone.alias("g"), document_key() == F.col("g.doc"), "left")
     none = F.array().cast("array<int>")
     exact, near = F.coalesce("g.exact", none), F.coalesce("g.near", none)
     parts = F.split("d.text", "\n")
