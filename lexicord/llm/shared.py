@@ -19,16 +19,23 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/lexicord-{uuid.uuid4().hex}"
 
 
+#: With it Spark removes a statement's shuffle files when the statement ends.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame) -> DataFrame:
     """The rows as a table in the shared folder: lineage ends there, and lost executors cost nothing.
 
-    Spark drops shuffle files once the driver has collected what refers to them;
-    asking for that here keeps the disk to what the next step needs.
+    The shuffle files behind it go at once, so the disk holds what the next step needs.
     """
-    path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = shared_folder(spark), spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
