@@ -2,19 +2,22 @@
 
 Terms are word hashes in 2**18 buckets, weighted by inverse document frequency
 over all documents.  A distributed randomised SVD of the TF-IDF passages of the
-benchmark gives `rank` latent directions.  All passages of all documents
-(windows of three steps of `step` words, one step apart) are projected, and
-those whose cosine to an item reaches `cosine`, and whose part along it `share`
-of the item's length, are candidates.  Terms in more than `common` of all
-documents weigh nothing, except those of items with few others.  A candidate is
-checked on the words themselves: the longest common subsequence of the item and
-the window with an item's length around it, as a share of the item, and the same
-for the item's answer (its last sentence).  A document is contaminated by an
+benchmark gives `rank` latent directions.  An item of more than four steps is
+cut into passages of about a window's length, others are one passage.  All
+passages of all documents (windows of three steps of `step` words, one step
+apart) are projected, and those whose cosine to an item's passage reaches
+`cosine`, and whose part along it `share` of the passage's length, are
+candidates.  Terms in more than `common` of all documents weigh nothing, except
+those of passages with few others.  A candidate is checked on the words
+themselves: the longest common subsequence of the whole item and the window with
+an item's length (64 words at least) on both sides, as a share of the item, and
+the same for the item's answer (its last sentence).  Candidates of a long item
+within half its length of each other are checked as one.  A document is contaminated by an
 item if the subsequence reaches `sure`, or `likely` with the answer at `answer`
 or more; so dropped, added or replaced words do not hide a passage.
 
 Broadcast sizes: directions are 2**18 x rank floats at most (134 MB; rows exist
-for terms of the benchmark only), item vectors go out `block` items at a time.
+for terms of the benchmark only), passage vectors go out about `block` at a time.
 
 Edge cases: null and empty texts and items without words match nothing; a
 repeated document row gives its pairs once; items with equal text each match;
@@ -70,6 +73,23 @@ def items(benchmark: DataFrame) -> DataFrame:
     return benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null").mapInArrow(run, "item_id long, words array<long>, answer_from int").where(F.size("words") > 0)
 
 
+def item_passages(asked: DataFrame, step: int) -> DataFrame:
+    """(item_id, n, words): the passages of each item of n words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, sizes, rows = [], [], []
+            for i, row in zip(batch.column("item_id").to_pylist(), batch.column("words")):
+                words = row.values.to_numpy()
+                for part in np.array_split(words, -(-len(words) // (3 * step)) if len(words) > 4 * step else 1):
+                    ids.append(i)
+                    sizes.append(len(words))
+                    rows.append(part)
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(rows, pa.list_(pa.int64()))], ["item_id", "n", "words"])
+
+    return asked.select("item_id", "words").mapInArrow(run, "item_id long, n long, words array<long>")
+
+
 def document_frequencies(docs: DataFrame, wanted: np.ndarray) -> tuple[np.ndarray, int]:
     """In how many documents each wanted bucket occurs, over all documents; and the number of documents."""
     sent = docs.sparkSession.sparkContext.broadcast(wanted)  # 2**18 flags
@@ -170,20 +190,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, step: int = 16, rank: in
     frequency, n_docs = document_frequencies(docs, wanted)
     rare = wanted & (frequency <= common * n_docs)
     kept = spark.sparkContext.broadcast(rare)
+    searched = written(item_passages(asked, step))
 
     def lacking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Terms of items with fewer than three rare terms."""
+        """Terms of passages with fewer than three rare terms."""
         for batch in batches:
             rows = [np.unique(buckets(np.array(row, np.int64).view(np.uint64))) for row in batch.column("words").to_pylist()]
             yield pa.record_batch([pa.array(np.concatenate([b for b in rows if kept.value[b].sum() < 3] or [np.empty(0, np.int64)]))], ["bucket"])
 
-    rare[asked.select("words").mapInArrow(lacking, "bucket long").distinct().toPandas()["bucket"].astype(int)] = True
+    rare[searched.select("words").mapInArrow(lacking, "bucket long").distinct().toPandas()["bucket"].astype(int)] = True
     weights = (np.log((2 + n_docs) / (1 + frequency)) * rare).astype(np.float32)
-    directions = randomised_svd(asked, rare, weights, rank)
+    directions = randomised_svd(searched, rare, weights, rank)
     place = np.zeros(1 << BITS, np.int32)
     place[np.flatnonzero(rare)] = np.arange(rare.sum())
     sent = spark.sparkContext.broadcast((place, weights, directions))
 
+    def reached(at, ids, n, score, begins, ends, firsts, row, hashes):
+        """Windows, items, best cosines and surrounding words of the hits; those of a long item within half its length are one."""
+        order = np.lexsort((begins[at], n, ids, row[at]))
+        at, ids, n, score = at[order], ids[order], n[order], score[order]
+        heads, head = [], -1
+        for k in range(len(at)):
+            near = head >= 0 and n[k] > 4 * step and row[at[k]] == row[at[head]] and ids[k] == ids[head] and n[k] == n[head] and begins[at[k]] - begins[at[head]] <= n[k] // 2
+            if not near:
+                head = k
+                heads.append(k)
+        heads = np.array(heads)
+        lasts = np.append(heads[1:], len(at)) - 1
+        texts = []
+        for a, z in zip(heads, lasts):
+            reach, r = max(64, int(n[a])), row[at[a]]
+            texts.append(hashes[max(firsts[r], begins[at[a]] - reach) : min(firsts[r + 1], ends[at[z]] + reach)].view(np.int64))
+        return at[heads], ids[heads], np.maximum.reduceat(score, heads), texts
+
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, weights, directions = sent.value
         for batch in batches:
@@ -192,20 +231,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, step: int = 16, rank: in
                 b = buckets(np.array(row, np.int64).view(np.uint64))
                 rows.append((weights[b] @ directions[place[b]]).astype(np.float32).tobytes())
                 energy.append(float(weights[b].sum()))
-            yield pa.record_batch([batch.column("item_id"), pa.array(rows, pa.binary()), pa.array(energy)], ["item_id", "v", "energy"])
+            yield pa.record_batch([batch.column("item_id"), batch.column("n"), pa.array(rows, pa.binary()), pa.array(energy)], ["item_id", "n", "v", "energy"])
 
-    found = written(asked.select("item_id", "words").mapInArrow(vectors, "item_id long, v binary, energy double"))
+    found = written(searched.mapInArrow(vectors, "item_id long, n long, v binary, energy double"))
     numbered = written(found.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(-(-found.count() // block)))))
     candidates = None
     for (part,) in numbered.select("block").distinct().collect():
-        own = numbered.where(F.col("block") == part).toPandas()  # about `block` items
+        own = numbered.where(F.col("block") == part).toPandas()  # about `block` passages
         vecs = np.stack([np.frombuffer(v, np.float32) for v in own["v"]])
         sizes = np.maximum(np.linalg.norm(vecs, axis=1), 1e-9)
-        block_sent = spark.sparkContext.broadcast((own["item_id"].to_numpy(), vecs / sizes[:, None], sizes * share, float(own["energy"].min()) * likely / 2))
+        block_sent = spark.sparkContext.broadcast((own["item_id"].to_numpy(), own["n"].to_numpy(), vecs / sizes[:, None], sizes * share, float(own["energy"].min()) * likely / 2))
 
         def search(batches: Iterator[pa.RecordBatch], block_sent=block_sent) -> Iterator[pa.RecordBatch]:
             place, weights, directions = sent.value
-            item_ids, vecs, needed, least = block_sent.value
+            item_ids, lengths, vecs, needed, least = block_sent.value
             for batch, body, starts in pieces(batches):
                 hashes, firsts, _ = term_words(body, starts)
                 b = buckets(hashes)
@@ -217,7 +256,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, step: int = 16, rank: in
                 ends = np.minimum(begins + 3 * step, firsts[row + 1])
                 run = np.zeros(len(w) + 1)
                 np.cumsum(w, out=run[1:])
-                # a window that holds the likely share of an item holds that share's weight, or near half of it beside its neighbour
+                # a window that holds the likely share of a passage holds that share's weight, or near half of it beside its neighbour
                 full = np.flatnonzero(run[ends] - run[begins] >= least)
                 rows, hits, scores = [], [], []
                 for first in range(0, len(full), 4096):
@@ -239,9 +278,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, step: int = 16, rank: in
                 if not rows or not sum(map(len, rows)):
                     continue
                 at, hit, score = np.concatenate(rows), np.concatenate(hits), np.concatenate(scores)
-                reach = 64
-                texts = [hashes[max(firsts[row[k]], begins[k] - reach) : min(firsts[row[k] + 1], ends[k] + reach)].view(np.int64) for k in at]
-                yield pa.record_batch([batch.column("doc_id").take(pa.array(row[at])), pa.array(item_ids[hit]), pa.array(score.astype(float)), pa.array(texts, pa.list_(pa.int64()))], ["doc_id", "item_id", "cosine", "near"])
+                at, ids, scores, texts = reached(at, item_ids[hit], lengths[hit], score, begins, ends, firsts, row, hashes)
+                yield pa.record_batch([batch.column("doc_id").take(pa.array(row[at])), pa.array(ids), pa.array(scores.astype(float)), pa.array(texts, pa.list_(pa.int64()))], ["doc_id", "item_id", "cosine", "near"])
 
         hits = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").mapInArrow(search, "doc_id long, item_id long, cosine double, near array<long>")
         candidates = hits if candidates is None else candidates.unionByName(hits)

@@ -84,3 +84,27 @@ def test_decontamination_edges(spark, docs, none):
     real = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta")], "item_id long, text string")
     assert decontam.contaminated(none, real).count() == 0
     assert decontam.drop_contaminated(docs, real).count() == docs.count()
+
+
+def test_decontamination_finds_long_items(spark, sf_dir):
+    """Exact and edited copies of items far longer than a window; half an item is no copy."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("aeioubcdfgklmn") for _ in range(rng.randint(3, 8))) for _ in range(3000)]
+    items = {n: [rng.choice(words) for _ in range(n)] for n in (30, 150, 300, 1000)}
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    rows = [(k, " ".join(rng.choice(words) for _ in range(400))) for k in range(300)]
+    want = set()
+    for n, w in items.items():
+        for k in range(6):
+            copy = list(w)
+            if k:
+                for _ in range(n // 8):
+                    i = rng.randrange(len(copy))
+                    copy[i : i + 1] = rng.choice([[], ["qq" + copy[i]], [copy[i], "zz"]])
+            host = rng.choice(rows)[1].split()
+            at = rng.randrange(len(host) + 1)
+            rows.append((10 * n + k + 1000, " ".join(host[:at] + copy + host[at:])))
+            want.add((10 * n + k + 1000, n))
+        rows.append((10 * n + 1009, " ".join(w[: n // 2])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, bench).collect()} == want
