@@ -5,9 +5,9 @@ and returns a DataFrame; run() writes each result as Parquet in the shared
 folder and reads it again as the next stage's docs.
 
 1. quality: documents that the line field rejects go.
-2. lines: lines that repeat an earlier line, exactly or but for one word, go; a
-   document all of whose lines go is a copy and goes with them, unless its text
-   was empty before.
+2. lines: lines that repeat an earlier line, exactly (of any length) or but for
+   one word, go; a document of whose lines only blank ones stay is a copy and
+   goes with them, unless it had no others before.
 3. near_duplicates: of each group of documents linked by five-word shingles at a
    Jaccard similarity of 0.8 or more, the one with the least id stays.
 4. decontamination: documents that hold a passage of the benchmark go.
@@ -37,7 +37,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated lines; n_chars is counted anew."""
-    kept = line_dedup(docs).where((F.coalesce("text", F.lit("")) != "") | (F.col("n_exact") + F.col("n_near") == 0))
+    kept = line_dedup(docs, exact_words=1).where(F.coalesce("text", F.lit("")).rlike(r"[^ \t\r\n]") | (F.col("n_exact") + F.col("n_near") == 0))
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -17,7 +17,8 @@ neighbour (an edit leaves one half whole), so the others emit no variants.
 
 Edge cases: null texts have no lines; blank lines are always kept and never
 matched; white space around and between words does not count; lines shorter than
-`exact_words` words are kept.  Rows with the same id count as one document: equal
+`exact_words` words are kept (the queries pass 1, so every line that is not blank
+is compared).  Rows with the same id count as one document: equal
 places never remove each other.  A null id comes last.  Other columns, whatever
 their names, do not matter.
 """

@@ -94,7 +94,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup(table(spark, sf_dir, "documents"))
+    kept = line_dedup(table(spark, sf_dir, "documents"), exact_words=1)
     return kept.select("doc_id", "n_lines", "n_exact", "n_near", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
 
 

@@ -1,7 +1,7 @@
 import corpus_pipeline as C
 from pyspark.sql import functions as F
 
-from lexicord.llm import decontam, linededup, ngramjoin
+from lexicord.llm import decontam, linededup, ngramjoin, queries
 from lexicord.llm.shared import written
 
 
@@ -32,3 +32,16 @@ def test_stages_keep_what_they_should(spark, sf_dir):
 
 def test_run(spark, sf_dir):
     assert C.run(spark, sf_dir).count() > 100
+
+
+def test_line_stage_drops_copies_with_short_and_blank_lines(spark):
+    long = "the first line of a text that is long enough to count\nanother one follows it and has no word edit in common"
+    rows = [(1, f"Title\n\n{long}\n "), (2, f"Title\n\n{long}\n "), (3, f"\n{long}\n\n"), (4, f"Title\n{long}\nOwn"), (5, " \n"), (6, ""), (7, None), (8, "Own")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in C.line_stage(spark, docs, "").collect()}
+    assert got == {1: rows[0][1], 4: "Own", 5: " \n", 6: "", 7: None}
+
+
+def test_line_query_compares_lines_of_any_length(spark, tmp_path):
+    spark.createDataFrame([(1, "x\n\na b"), (2, "x\n\na b\ny")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.n_exact for r in queries.op10_line_dedup(spark, str(tmp_path)).collect()} == {1: 0, 2: 2}
