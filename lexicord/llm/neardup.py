@@ -8,8 +8,9 @@ on at least t of m projections, t being the largest count that a pair at the
 threshold reaches with the recall asked for.
 
 The first projection, sorted, cuts each label into blocks of rows; two blocks
-meet only if their value ranges come within the window, so the vectors of a
-label, however many, never come together.  Exact copies are one row until the
+meet only if their value ranges come within a wider window, so the vectors of a
+label, however many, never come together.  What a pair at the threshold can miss
+by that window (7e-6) is taken from the recall before the count is set.  Exact copies are one row until the
 end, so a vector of any number of copies makes no pairs.
 
 Edge cases: vectors that are null, empty or zero or that hold null or non-finite
@@ -32,11 +33,17 @@ from lexicord.llm.shared import written
 
 SEED = 20240229
 
+#: Half-width of the window in which blocks meet, in deviations of a pair at the threshold.
+MEET = 4.5
+
 
 def calibrated(threshold: float, projections: int, width: float, recall: float) -> tuple[float, int]:
-    """Half-width of the windows, in deviations `width` of a pair at the threshold, and the least count."""
+    """Half-width of the windows, in deviations `width` of a pair at the threshold, and the least count.
+
+    A pair that no blocks bring together counts as missed.
+    """
     p = erf(width / sqrt(2))
-    tail, count = 0.0, projections + 1
+    tail, count = erf(MEET / sqrt(2)) - 1, projections + 1
     while tail < recall:
         count -= 1
         tail += comb(projections, count) * p**count * (1 - p) ** (projections - count)
@@ -88,6 +95,7 @@ def near_pairs(a: np.ndarray, b: np.ndarray | None, threshold: float, half: floa
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98, projections: int = 20, width: float = 2.6, recall: float = 0.999, early: int = 6, block: int = 2_048) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row for each vector."""
     half, count = calibrated(threshold, projections, width, recall)
+    meeting = MEET * sqrt(2 - 2 * threshold)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label"), F.col("embedding").cast("array<double>").alias("v")).dropDuplicates(["vec_id", "label", "v"])
     sound = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce(F.forall("v", lambda x: x.isNotNull() & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False))
     copies = written(rows.where(sound).groupBy("label", "v").agg(F.min("vec_id").alias("id"), F.count("*").alias("times")))
@@ -123,9 +131,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, projections: in
     ordered = placed.repartitionByRange("label", "length", "at").sortWithinPartitions("label", "length", "at")
     blocks = written(ordered.mapInArrow(cut, f"label {label_type}, length int, low double, high double, block long, ids array<long>, m binary"))
     spans = blocks.select("label", "length", "block", "low", "high")
-    left = spans.select("*", F.explode(F.sequence(F.floor(F.col("low") / half), F.floor(F.col("high") / half) + 1)).alias("cell"))
-    right = spans.select("label", "length", F.col("block").alias("other"), F.col("low").alias("low2"), F.col("high").alias("high2"), F.explode(F.sequence(F.floor(F.col("low") / half), F.floor(F.col("high") / half))).alias("cell"))
-    meet = (F.col("low2") >= F.col("low")) & (F.col("low2") <= F.col("high") + half) & ((F.col("low2") > F.col("low")) | (F.col("other") >= F.col("block")))
+    left = spans.select("*", F.explode(F.sequence(F.floor(F.col("low") / meeting), F.floor(F.col("high") / meeting) + 1)).alias("cell"))
+    right = spans.select("label", "length", F.col("block").alias("other"), F.col("low").alias("low2"), F.col("high").alias("high2"), F.explode(F.sequence(F.floor(F.col("low") / meeting), F.floor(F.col("high") / meeting))).alias("cell"))
+    meet = (F.col("low2") >= F.col("low")) & (F.col("low2") <= F.col("high") + meeting) & ((F.col("low2") > F.col("low")) | (F.col("other") >= F.col("block")))
     pairs = left.join(right, ["label", "length", "cell"]).where(meet).select("block", "other").distinct()
     loaded = pairs.join(blocks.select("block", "length", "ids", "m"), "block").join(blocks.select(F.col("block").alias("other"), F.col("ids").alias("ids2"), F.col("m").alias("m2")), "other")
 

@@ -101,3 +101,28 @@ def test_near_duplicates(spark, block):
     assert got[200].component_id == got[201].component_id == got[209].component_id == 0 and not got[200].kept
     assert len(got) == len(rows)
     assert neardup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_near_duplicates_of_a_large_label(spark):
+    """Pairs planted at a cosine of 0.98 to 0.985 in one label of many blocks, first projections far apart or not."""
+    rng = np.random.default_rng(3)
+    turn = neardup.directions(8, 20)[:, 0]
+    turn = turn / np.linalg.norm(turn)
+    base = neardup.units(rng.standard_normal((3000, 8)))
+    cosine = rng.uniform(0.9801, 0.985, len(base))[:, None]
+    off = turn - (base @ turn)[:, None] * base  # the step that moves the first projection most
+    off[::2] = rng.standard_normal((len(base[::2]), 8))
+    off -= (off * base).sum(1, keepdims=True) * base
+    other = cosine * base + np.sqrt(1 - cosine**2) * neardup.units(off)
+    half, count = neardup.calibrated(0.98, 20, 2.6, 0.999)
+    turns = neardup.directions(8, 20)
+    within = (np.abs(base @ turns - other @ turns) <= half).sum(1) >= count
+    missed = np.abs((base - other) @ turns[:, 0]) > half
+    assert (missed & within).sum() > 50  # such pairs had no chance
+    rows = [(k, v.tolist(), 0) for k, v in enumerate(np.concatenate([base, other]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    links = {r.vec_id: r.n_links for r in neardup.near_duplicates(df, block=64).collect()}
+    units = neardup.units(np.concatenate([base, other]))
+    near = units @ units.T >= 0.98
+    for k in np.flatnonzero(missed & within):
+        assert links[k] >= 1 and (links[k] == near[k].sum() - 1 or links[k] >= 0.9 * (near[k].sum() - 1))
