@@ -150,14 +150,15 @@ def viable(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
 def rare_keys(rows: DataFrame, percent: int) -> DataFrame:
     """(key, id, n, group, light, size): the rarest keys of each document, enough for linked ones to share one.
 
-    Segments are three times finer here.  Linked sets differ in at most d of them,
+    Segments are three times finer here, or as many as in classes() where small
+    sets need more lest all common tokens fall into segments that differ.  Linked sets differ in at most d of them,
     so of the keys in each class, ordered by how many documents have them, the
     first d + 1 of both hold a common one.  What most of a group of copies shares
     is never among those of documents that differ from it.
     """
-    least, _ = classes(percent)
+    least, coarse = classes(percent)
     differing = [most_differing(percent, int(high)) for high in least[1:]]
-    counts = [3 * d + 1 for d in differing]
+    counts = [max(3 * d + 1, c) for d, c in zip(differing, coarse)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

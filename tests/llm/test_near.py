@@ -126,3 +126,28 @@ def test_near_duplicates_of_a_large_label(spark):
     near = units @ units.T >= 0.98
     for k in np.flatnonzero(missed & within):
         assert links[k] >= 1 and (links[k] == near[k].sum() - 1 or links[k] >= 0.9 * (near[k].sum() - 1))
+
+
+def test_small_sets_share_a_rare_key(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for k in range(10_000):
+        n = 4 + k % 4
+        tokens = np.sort(rng.integers(0, 1 << 63, n + 1).astype(np.int64))
+        rows += [(2 * k, tokens.tolist(), 2 * k, True, 1), (2 * k + 1, np.delete(tokens, rng.integers(n + 1)).tolist(), 2 * k + 1, True, 1)]
+    df = spark.createDataFrame(rows, "id long, tokens array<long>, group long, light boolean, size long")
+    got = ngramjoin.rare_keys(df, 80).groupBy("key").agg({"id": "min", "*": "count"}).where("`count(1)` = 2").select("min(id)").distinct()
+    assert {r[0] for r in got.collect()} == {2 * k for k in range(10_000)}
+
+
+def test_chains_of_short_documents(spark):
+    """Ends of a chain differ too much to link; the middle has the largest id and links both."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(10_000):
+        n = 4 + k % 4
+        w = [f"w{k}x{j}x{rng.integers(1 << 30)}" for j in range(n + 2)]
+        rows += [(k, " ".join(w[:n] + w[n : n + 1])), (10_000 + k, " ".join(w[:n] + w[n + 1 :])), (20_000 + k, " ".join(w[:n]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ngramjoin.document_components(df, 1, 80).collect()}
+    assert got == {i: i % 10_000 for i, _ in rows}
