@@ -19,7 +19,8 @@ Edge cases: null texts have no lines; blank lines are always kept and never
 matched; white space around and between words does not count; lines shorter than
 `exact_words` words are kept (the queries pass 1, so every line that is not blank
 is compared).  Rows with the same id count as one document: equal
-places never remove each other.  A null id comes last.  Other columns, whatever
+places never remove each other.  Its rows are told apart by their texts' hashes,
+so each loses its own lines.  A null id comes last.  Other columns, whatever
 their names, do not matter.
 """
 
@@ -44,13 +45,18 @@ def document_key() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
 
 
+def text_key() -> Column:
+    """Tells rows of one id apart."""
+    return F.xxhash64("text")
+
+
 def measured_lines(docs: DataFrame, exact_words: int, near_words: int) -> DataFrame:
-    """(place, n, h1, h2, k0..k3) of all lines of `exact_words` words or more; h1 and h2 identify the words, k are half keys."""
-    places = docs.select(document_key().alias("doc"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    lines = places.select(F.struct("doc", "pos").alias("place"), F.regexp_replace(F.btrim("line", F.lit(BLANKS)), f"[{BLANKS}]+", " ").alias("line")).where("line != ''")
-    words = lines.select("place", "line", F.split("line", " ").alias("words")).withColumn("n", F.size("words")).where(F.col("n") >= exact_words)
+    """(place, tie, n, h1, h2, k0..k3) of all lines of `exact_words` words or more; h1 and h2 identify the words, k are half keys."""
+    places = docs.select(document_key().alias("doc"), text_key().alias("tie"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = places.select(F.struct("doc", "pos").alias("place"), "tie", F.regexp_replace(F.btrim("line", F.lit(BLANKS)), f"[{BLANKS}]+", " ").alias("line")).where("line != ''")
+    words = lines.select("place", "tie", "line", F.split("line", " ").alias("words")).withColumn("n", F.size("words")).where(F.col("n") >= exact_words)
     keys = halves(F.col("n"), F.col("words"))
-    return words.select("place", "n", F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), *[F.when(F.col("n") >= near_words, k).alias(f"k{i}") for i, k in enumerate(keys)])
+    return words.select("place", "tie", "n", F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), *[F.when(F.col("n") >= near_words, k).alias(f"k{i}") for i, k in enumerate(keys)])
 
 
 def halves(n: Column, words: Column) -> list[Column]:
@@ -68,9 +74,9 @@ def near_lines(kept: DataFrame, docs: DataFrame, near_words: int) -> DataFrame:
     long = kept.where(F.col("n") >= near_words)
     keys = long.select("h1", "h2", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"))
     shared = keys.withColumn("times", F.count("*").over(Window.partitionBy("key"))).where("times > 1")
-    active = shared.select("h1", "h2").distinct().join(long.select("h1", "h2", "first"), ["h1", "h2"])
-    by_doc = active.groupBy(F.col("first.doc").alias("doc")).agg(F.collect_list(F.struct("h1", "h2", F.col("first.pos").alias("pos"))).alias("wanted"))
-    texts = docs.select(document_key().alias("doc"), "text").join(by_doc, "doc")
+    active = shared.select("h1", "h2").distinct().join(long.select("h1", "h2", "first", "tie"), ["h1", "h2"])
+    by_doc = active.groupBy(F.col("first.doc").alias("doc"), "tie").agg(F.collect_list(F.struct("h1", "h2", F.col("first.pos").alias("pos"))).alias("wanted"))
+    texts = docs.select(document_key().alias("doc"), text_key().alias("tie"), "text").join(by_doc, ["doc", "tie"])
     parts = texts.select("doc", F.split("text", "\n").alias("parts"), F.explode("wanted").alias("w"))
     found = parts.select("w.h1", "w.h2", F.struct("doc", "w.pos").alias("first"), F.get("parts", F.col("w.pos")).alias("line"))
     found = found.where(F.xxhash64(F.regexp_replace(F.btrim("line", F.lit(BLANKS)), f"[{BLANKS}]+", " ")) == F.col("h1")).dropDuplicates(["h1", "h2"])
@@ -117,14 +123,14 @@ def near_lines(kept: DataFrame, docs: DataFrame, near_words: int) -> DataFrame:
 
 
 def removals(docs: DataFrame, exact_words: int = 3, near_words: int = 10) -> DataFrame:
-    """(doc, exact, near): places of the lines that go from each document, as sorted arrays."""
+    """(doc, tie, exact, near): places of the lines that go from each row, as sorted arrays."""
     all_lines = written(measured_lines(docs, exact_words, near_words))
-    kept = written(all_lines.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count("*").alias("times"), F.max("n").alias("n"), *[F.max(f"k{i}").alias(f"k{i}") for i in range(4)]))
+    kept = written(all_lines.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.min_by("tie", "place").alias("tie"), F.count("*").alias("times"), F.max("n").alias("n"), *[F.max(f"k{i}").alias(f"k{i}") for i in range(4)]))
     near = near_lines(kept, docs, near_words)
     told = kept.select("h1", "h2", "first", "times").join(near, ["h1", "h2"], "left").where("times > 1 or near_first is not null")
-    gone = all_lines.select("place", "h1", "h2").join(told, ["h1", "h2"]).where("first < place or near_first < place")
+    gone = all_lines.select("place", "tie", "h1", "h2").join(told, ["h1", "h2"]).where("first < place or near_first < place")
     exact = F.col("first") < F.col("place")
-    return gone.groupBy(F.col("place.doc").alias("doc")).agg(F.array_sort(F.collect_set(F.when(exact, F.col("place.pos")))).alias("exact"), F.array_sort(F.collect_set(F.when(~exact, F.col("place.pos")))).alias("near"))
+    return gone.groupBy(F.col("place.doc").alias("doc"), "tie").agg(F.array_sort(F.collect_set(F.when(exact, F.col("place.pos")))).alias("exact"), F.array_sort(F.collect_set(F.when(~exact, F.col("place.pos")))).alias("near"))
 
 
 def line_dedup(docs: DataFrame, exact_words: int = 3, near_words: int = 10) -> DataFrame:
@@ -133,7 +139,7 @@ def line_dedup(docs: DataFrame, exact_words: int = 3, near_words: int = 10) -> D
     The three counts replace columns of the same names.
     """
     gone = removals(docs, exact_words, near_words)
-    joined = docs.alias("d").join(gone.alias("g"), document_key() == F.col("g.doc"), "left")
+    joined = docs.alias("d").join(gone.alias("g"), (document_key() == F.col("g.doc")) & (F.xxhash64("d.text") == F.col("g.tie")), "left")
     none = F.array().cast("array<int>")
     exact, near = F.coalesce("g.exact", none), F.coalesce("g.near", none)
     parts = F.split("d.text", "\n")

@@ -20,8 +20,9 @@ over all executors instead.  Documents that equal an earlier one as a whole go
 without fragments.
 
 Edge cases: null counts as empty; texts shorter than `length` bytes lose
-nothing; rows with one id never take from each other; a null id counts as larger
-than all others.  Other columns do not matter.
+nothing; rows with one id never take from each other, and what one of them loses
+the others keep, as rows are told apart by their text's hash too; a null id
+counts as larger than all others.  Other columns do not matter.
 """
 
 from __future__ import annotations
@@ -68,7 +69,7 @@ def anchors(body: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarr
 
 
 def anchor_rows(docs: DataFrame, length: int) -> DataFrame:
-    """(hash, doc) of the anchors of each document, each once."""
+    """(hash, doc, tie) of the anchors of each row, each once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, body, starts in pieces(batches, most=1_000_000):
@@ -78,33 +79,37 @@ def anchor_rows(docs: DataFrame, length: int) -> DataFrame:
             row, hashes = row[order], hashes[order]
             new = np.ones(len(row), bool)
             new[1:] = (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])
-            yield pa.record_batch([pa.array(hashes[new].view(np.int64)), batch.column("doc").take(pa.array(row[new]))], ["hash", "doc"])
+            yield pa.record_batch([pa.array(hashes[new].view(np.int64)), *[batch.column(c).take(pa.array(row[new])) for c in ("doc", "tie")]], ["hash", "doc", "tie"])
 
-    return docs.select("doc", "text").mapInArrow(run, "hash long, doc long")
+    return docs.select("doc", "tie", "text").mapInArrow(run, "hash long, doc long, tie long")
 
 
 def shared_anchors(rows: DataFrame) -> DataFrame:
-    """The (hash, doc) whose hash another document has too: in sorted order, a neighbour has it."""
+    """The (hash, doc, tie) whose hash another document has too: in sorted order, the first and last document with it differ."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last row of a batch waits for the next
+        held, told = None, False  # rows of the last hash wait for its second document; once it is told, the last row
         for batch in batches:
-            h, d = batch.column("hash").to_numpy(), batch.column("doc").to_numpy()
-            if held is not None:
-                h, d = np.append(held[0], h), np.append(held[1], d)
-            new = np.ones(len(h), bool)  # rows of one id may repeat a hash
-            new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
-            h, d = h[new], d[new]
-            same = np.append(False, h[1:] == h[:-1])
-            hit = same | np.append(same[1:], False)
+            if not batch.num_rows:
+                continue
+            h, d, t = (batch.column(c).to_numpy() for c in ("hash", "doc", "tie"))
             if held is not None:
-                hit[0] |= held[2]
-            yield pa.record_batch([pa.array(h[:-1][hit[:-1]]), pa.array(d[:-1][hit[:-1]])], ["hash", "doc"])
-            held = (h[-1:], d[-1:], bool(hit[-1]))
-        if held is not None and held[2]:
-            yield pa.record_batch([pa.array(held[0]), pa.array(held[1])], ["hash", "doc"])
-
-    return rows.repartition("hash").sortWithinPartitions("hash", "doc").mapInArrow(run, "hash long, doc long")
+                h, d, t = (np.append(a, b) for a, b in zip(held, (h, d, t)))
+            new = np.ones(len(h), bool)  # a repeated row repeats its anchors
+            new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1]) | (t[1:] != t[:-1])
+            h, d, t = h[new], d[new], t[new]
+            firsts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+            lasts = np.append(firsts[1:], len(h)) - 1
+            hit = d[firsts] != d[lasts]
+            hit[0] |= told
+            out = np.repeat(hit, lasts - firsts + 1)
+            out[0] &= not told
+            yield pa.record_batch([pa.array(x[out]) for x in (h, d, t)], ["hash", "doc", "tie"])
+            told = bool(hit[-1])
+            rest = slice(len(h) - 1 if told else firsts[-1], None)
+            held = (h[rest], d[rest], t[rest])
+
+    return rows.repartition("hash").sortWithinPartitions("hash", "doc", "tie").mapInArrow(run, "hash long, doc long, tie long")
 
 
 def fragments(joined: DataFrame, length: int) -> DataFrame:
@@ -286,8 +291,8 @@ def repeated_strings(docs: DataFrame, length: int = 50, block: int = 40_000, mos
     names = long.select("doc", "tie", F.sha2(F.encode("text", "UTF-8"), 256).alias("name"))
     copies = written(names.join(names.groupBy("name").agg(F.min("doc").alias("least")), "name").where("doc > least").select("doc", "tie").distinct())
     shared = shared_anchors(anchor_rows(long, length))
-    hashes = written(shared.groupBy("doc").agg(F.collect_list("hash").alias("hashes")).join(copies, "doc", "left_anti"))
-    cut = spans_of_blocks(fragments(long.join(hashes, "doc"), length), length, block, most)
+    hashes = written(shared.groupBy("doc", "tie").agg(F.collect_list("hash").alias("hashes")).join(copies, ["doc", "tie"], "left_anti"))
+    cut = spans_of_blocks(fragments(long.join(hashes, ["doc", "tie"]), length), length, block, most)
     spans = written(cut)
     crowded = spans.where("window is not null")
     least = crowded.groupBy("window").agg(F.min("doc").alias("least"), F.max("doc").alias("largest")).where("least < largest")

@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from lexicord.llm import components, neardup, ngramjoin, suffixdedup
+from lexicord.llm import components, linededup, neardup, ngramjoin, suffixdedup
 
 
 def shingle_sets(rows, k):
@@ -151,3 +151,32 @@ def test_chains_of_short_documents(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in ngramjoin.document_components(df, 1, 80).collect()}
     assert got == {i: i % 10_000 for i, _ in rows}
+
+
+@pytest.fixture
+def rows_of_one_id():
+    """Several null ids and an id with different texts; one of each equals an earlier document, others share a passage or a line with it."""
+    word = iter(f"w{k}q{k * 7919 % 1000}" for k in range(10_000))
+    line = lambda: " ".join(next(word) for _ in range(14))
+    a, b, c = line(), line(), line()
+    first = f"{a}\n{b}"
+    return [(1, first), (2, c), (5, first), (5, f"{line()}\n{b}\n{line()}"), (5, f"{line()}\n{line()}"), (None, first), (None, f"{line()} {a}\n{c}"), (None, f"{line()}\n{line()}\n{b}"), (None, f"{c}\n{line()}"), (None, line())]
+
+
+@pytest.mark.parametrize("block, most", [(40_000, 20_000), (3, 1)])
+def test_repeated_strings_of_rows_with_one_id(spark, rows_of_one_id, block, most):
+    df = spark.createDataFrame(rows_of_one_id, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in suffixdedup.repeated_strings(df, 50, block, most).collect()]
+    assert sorted(got, key=repr) == brute_removed(rows_of_one_id, 50)
+
+
+def test_lines_of_rows_with_one_id(spark, rows_of_one_id):
+    df = spark.createDataFrame(rows_of_one_id, "doc_id long, text string")
+    got = sorted((r.doc_id or 1 << 63, r.text) for r in linededup.line_dedup(df).collect())
+    seen, want = {}, []
+    for i, t in rows_of_one_id:
+        for p, x in enumerate(t.split("\n")):
+            seen[x] = min(seen.get(x, (1 << 64, 0)), (i or 1 << 63, p))
+    for i, t in rows_of_one_id:
+        want.append((i or 1 << 63, "\n".join(x for p, x in enumerate(t.split("\n")) if seen[x] >= (i or 1 << 63, p))))
+    assert got == sorted(want)
