@@ -102,3 +102,19 @@ def test_line_dedup_edges(spark, none):
 def test_no_python_on_the_native_path(spark, docs):
     plan = linededup.line_dedup(docs)._jdf.queryExecution().toString() + secrets.scan_unseen(secrets.versions(docs), None)._jdf.queryExecution().toString()
     assert "Arrow" not in plan and "Python" not in plan
+
+
+def test_secret_query_scans_the_second_batch_against_the_first(spark, sf_dir, monkeypatch):
+    calls, scan = [], secrets.scan_unseen
+
+    def seen(rows, ledger, *rest):
+        calls.append((rows, ledger))
+        return scan(rows, ledger, *rest)
+
+    monkeypatch.setattr(secrets, "scan_unseen", seen)
+    queries.op5_secrets(spark, sf_dir).count()
+    (one, none), (two, ledger) = calls
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert none is None and one.count() + two.count() == docs.count() and min(one.count(), two.count()) > 0
+    held = {r.blob for r in ledger.collect()}
+    assert held & {r.blob for r in two.select("blob").collect()}  # so the unseen-pair join has something to leave out
