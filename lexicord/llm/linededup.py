@@ -30,15 +30,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexicord.llm.shared import written
+from lexicord.llm.shared import dropped, written
 
 
-BLANKS = " \t\r"
-
-
-def line_words(line: Column) -> Column:
-    """Words of a line that has some."""
-    return F.split(F.btrim(line, F.lit(BLANKS)), f"[{BLANKS}]+")
+def one_blank(text: Column) -> Column:
+    """The text with one blank for each run of blanks; most texts have no other runs and are not searched."""
+    odd = F.contains(text, F.lit("  ")) | F.contains(text, F.lit("\t")) | F.contains(text, F.lit("\r"))
+    return F.when(odd, F.regexp_replace(text, "[ \t\r]+", " ")).otherwise(text)
 
 
 def document_key() -> Column:
@@ -50,37 +48,38 @@ def text_key() -> Column:
     return F.xxhash64("text")
 
 
+def place(doc: str, pos: str) -> Column:
+    """Document and place of a line as one number, in their order."""
+    return F.col(doc).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col(pos)
+
+
 def measured_lines(docs: DataFrame, exact_words: int, near_words: int) -> DataFrame:
-    """(place, tie, n, h1, h2, k0..k3) of all lines of `exact_words` words or more; h1 and h2 identify the words, k are half keys."""
-    places = docs.select(document_key().alias("doc"), text_key().alias("tie"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    lines = places.select(F.struct("doc", "pos").alias("place"), "tie", F.regexp_replace(F.btrim("line", F.lit(BLANKS)), f"[{BLANKS}]+", " ").alias("line")).where("line != ''")
-    words = lines.select("place", "tie", "line", F.split("line", " ").alias("words")).withColumn("n", F.size("words")).where(F.col("n") >= exact_words)
-    keys = halves(F.col("n"), F.col("words"))
-    return words.select("place", "tie", "n", F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), *[F.when(F.col("n") >= near_words, k).alias(f"k{i}") for i, k in enumerate(keys)])
+    """(doc, pos, tie, n, h1, h2, k0..k3) of all lines of `exact_words` words or more; h1 and h2 identify the words, k are half keys."""
+    lines = docs.select(document_key().alias("doc"), text_key().alias("tie"), F.posexplode(F.split(one_blank(F.col("text")), "\n")).alias("pos", "line"))
+    words = lines.select("doc", "pos", "tie", F.trim("line").alias("line")).where("line != ''").withColumn("n", F.expr("octet_length(line) - octet_length(replace(line, ' ', '')) + 1"))
+    if exact_words > 1:
+        words = words.where(F.col("n") >= exact_words)
+    return words.select("doc", "pos", "tie", "n", F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), *[F.when(F.col("n") >= near_words, k).alias(f"k{i}") for i, k in enumerate(halves())])
 
 
-def halves(n: Column, words: Column) -> list[Column]:
+def halves() -> list[Column]:
     """Keys of the first and the last half, as a line of n words and as one of n - 1 words and one more."""
-    out = []
-    for shorter in (0, 1):
-        k = n - shorter
-        first = F.floor(k / 2).cast("int")
-        out += [F.xxhash64(F.lit(0), k, F.slice(words, F.lit(1), first)), F.xxhash64(F.lit(1), k, F.slice(words, n - (k - first) + 1, k - first))]
-    return out
+    return [F.expr(f"xxhash64({side}, n - {shorter}, substring_index(line, ' ', {words}))") for shorter in (0, 1) for side, words in ((0, f"(n - {shorter}) div 2"), (1, f"(n - {shorter}) div 2 - (n - {shorter})"))]
 
 
 def near_lines(kept: DataFrame, docs: DataFrame, near_words: int) -> DataFrame:
     """(h1, h2, near_first): lines with an earlier neighbour, and the neighbour's place."""
-    long = kept.where(F.col("n") >= near_words)
-    keys = long.select("h1", "h2", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"))
-    shared = keys.withColumn("times", F.count("*").over(Window.partitionBy("key"))).where("times > 1")
-    active = shared.select("h1", "h2").distinct().join(long.select("h1", "h2", "first", "tie"), ["h1", "h2"])
-    by_doc = active.groupBy(F.col("first.doc").alias("doc"), "tie").agg(F.collect_list(F.struct("h1", "h2", F.col("first.pos").alias("pos"))).alias("wanted"))
+    keys = kept.where(F.col("n") >= near_words).select("h1", "h2", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"))
+    shared = keys.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low != high").select("key")
+    active = written(keys.join(shared, "key").select("h1", "h2").distinct())
+    wanted = active.join(kept.select("h1", "h2", "first", "tie"), ["h1", "h2"])
+    doc, pos = F.expr("cast(floor(first / 2147483648) as long)"), F.expr("cast(pmod(first, 2147483648) as int)")
+    by_doc = wanted.groupBy(doc.alias("doc"), "tie").agg(F.collect_list(F.struct("h1", "h2", "first", pos.alias("pos"))).alias("wanted"))
     texts = docs.select(document_key().alias("doc"), text_key().alias("tie"), "text").join(by_doc, ["doc", "tie"])
-    parts = texts.select("doc", F.split("text", "\n").alias("parts"), F.explode("wanted").alias("w"))
-    found = parts.select("w.h1", "w.h2", F.struct("doc", "w.pos").alias("first"), F.get("parts", F.col("w.pos")).alias("line"))
-    found = found.where(F.xxhash64(F.regexp_replace(F.btrim("line", F.lit(BLANKS)), f"[{BLANKS}]+", " ")) == F.col("h1")).dropDuplicates(["h1", "h2"])
-    own = written(found.select("h1", "h2", "first", line_words(F.col("line")).alias("words")).withColumn("n", F.size("words")))
+    parts = F.array(F.split(one_blank(F.col("text")), "\n"))
+    picked = F.transform(parts, lambda p: F.transform("wanted", lambda w: F.struct(w["h1"].alias("h1"), w["h2"].alias("h2"), w["first"].alias("first"), F.trim(F.get(p, w["pos"])).alias("line"))))
+    found = texts.select(F.inline(F.get(picked, 0))).where(F.xxhash64("line") == F.col("h1")).dropDuplicates(["h1", "h2"])
+    own = written(found.select("h1", "h2", "first", F.split("line", " ").alias("words")).withColumn("n", F.size("words")))
 
     at = own.select("h1", "h2", "first", "n", F.posexplode("words").alias("i", "word")).select("h1", "h2", "first", "n", "i", F.xxhash64("word", "i").alias("c"), F.xxhash64("word", F.col("i") - 1).alias("d"))
     line = Window.partitionBy("h1", "h2")
@@ -119,18 +118,31 @@ def near_lines(kept: DataFrame, docs: DataFrame, near_words: int) -> DataFrame:
         return F.when(differs > 0, differs - 1).otherwise(shorter)
 
     one_edit = equal_run(F.col("words"), F.col("other")) + equal_run(F.reverse("words"), F.reverse("other")) >= longer - 1
-    return a.join(b, "near_first").where(one_edit).select("h1", "h2", "near_first")
+    near = written(a.join(b, "near_first").where(one_edit).select("h1", "h2", "near_first"))
+    dropped(active, own)
+    return near
 
 
 def removals(docs: DataFrame, exact_words: int = 3, near_words: int = 10) -> DataFrame:
     """(doc, tie, exact, near): places of the lines that go from each row, as sorted arrays."""
     all_lines = written(measured_lines(docs, exact_words, near_words))
-    kept = written(all_lines.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.min_by("tie", "place").alias("tie"), F.count("*").alias("times"), F.max("n").alias("n"), *[F.max(f"k{i}").alias(f"k{i}") for i in range(4)]))
+    at = place("doc", "pos")
+    kept = written(all_lines.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.min_by("tie", at).alias("tie"), F.count("*").alias("times"), F.max("n").alias("n"), *[F.max(f"k{i}").alias(f"k{i}") for i in range(4)]))
     near = near_lines(kept, docs, near_words)
-    told = kept.select("h1", "h2", "first", "times").join(near, ["h1", "h2"], "left").where("times > 1 or near_first is not null")
-    gone = all_lines.select("place", "tie", "h1", "h2").join(told, ["h1", "h2"]).where("first < place or near_first < place")
-    exact = F.col("first") < F.col("place")
-    return gone.groupBy(F.col("place.doc").alias("doc"), "tie").agg(F.array_sort(F.collect_set(F.when(exact, F.col("place.pos")))).alias("exact"), F.array_sort(F.collect_set(F.when(~exact, F.col("place.pos")))).alias("near"))
+    told = written(kept.select("h1", "h2", "first", "times").join(near, ["h1", "h2"], "left").where("times > 1 or near_first is not null").drop("times"))
+    dropped(kept, near)
+    gone = all_lines.select("doc", "pos", "tie", "h1", "h2").join(told, ["h1", "h2"]).where((F.col("first") < at) | (F.col("near_first") < at))
+    exact = F.col("first") < at
+    out = written(gone.groupBy("doc", "tie").agg(F.array_sort(F.collect_set(F.when(exact, F.col("pos")))).alias("exact"), F.array_sort(F.collect_set(F.when(~exact, F.col("pos")))).alias("near")))
+    dropped(all_lines, told)
+    return out
+
+
+def without(parts: Column, gone: Column) -> Column:
+    """The lines but for those at the sorted places `gone`: the slices between them."""
+    bounds = F.concat(F.array(F.lit(-1)), gone, F.array(F.size(parts)))
+    slices = lambda p, b: F.transform(F.sequence(F.lit(1), F.size(b) - 1), lambda k: F.slice(p, F.get(b, k - 1) + 2, F.get(b, k) - F.get(b, k - 1) - 1))
+    return F.flatten(F.get(F.transform(F.array(F.struct(parts.alias("p"), bounds.alias("b"))), lambda x: slices(x["p"], x["b"])), 0))
 
 
 def line_dedup(docs: DataFrame, exact_words: int = 3, near_words: int = 10) -> DataFrame:
@@ -143,8 +155,8 @@ def line_dedup(docs: DataFrame, exact_words: int = 3, near_words: int = 10) -> D
     none = F.array().cast("array<int>")
     exact, near = F.coalesce("g.exact", none), F.coalesce("g.near", none)
     parts = F.split("d.text", "\n")
-    text = F.when(F.col("g.doc").isNull(), F.col("d.text")).otherwise(F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.concat(exact, near), i)), "\n"))
-    counts = {"n_lines": F.coalesce(F.size(parts), F.lit(0)).cast("long"), "n_exact": F.size(exact).cast("long"), "n_near": F.size(near).cast("long")}
-    counts["n_lines"] = F.when(F.col("d.text").isNull(), F.lit(0)).otherwise(F.size(parts)).cast("long")
+    text = F.when(F.col("g.doc").isNull(), F.col("d.text")).otherwise(F.array_join(without(parts, F.array_sort(F.concat("g.exact", "g.near"))), "\n"))
+    n_lines = F.expr("octet_length(d.text) - octet_length(replace(d.text, '\n', '')) + 1")
+    counts = {"n_lines": F.coalesce(n_lines, F.lit(0)).cast("long"), "n_exact": F.size(exact).cast("long"), "n_near": F.size(near).cast("long")}
     own = [text.alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns if c not in counts]
     return joined.select(*own, *[v.alias(k) for k, v in counts.items()])
