@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexicord.llm.shared import written
+
 
 def fold(doc_id: str, folds: int) -> Column:
     """crc32 of the id as text, modulo `folds`."""
@@ -21,10 +23,14 @@ def told(labels: DataFrame, label: str, folds: int, held_out: int) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.max("label").alias("label")).select("doc_id", ((own - (own > held_out).cast("long")) % 2).alias("half"), "label")
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int) -> DataFrame:
-    """(doc_id, half, label, text) of all labelled documents outside the held-out fold."""
+def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, most_sent: int = 2_000_000) -> DataFrame:
+    """(doc_id, half, label, text) of all labelled documents outside the held-out fold.
+
+    At most `most_sent` labels go to the texts; more meet them in a shuffle of the texts outside that fold.
+    """
     seen = docs.select("doc_id", "text").where(fold("doc_id", folds) != held_out)
-    return seen.join(told(labels, label, folds, held_out), "doc_id")
+    known = written(told(labels, label, folds, held_out))
+    return seen.join(F.broadcast(known) if known.count() <= most_sent else known, "doc_id")
 
 
 def sampled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, most: int) -> DataFrame:

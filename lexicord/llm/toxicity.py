@@ -1,25 +1,29 @@
 """Toxicity by two class-conditional Kneser-Ney models of how words are spelt.
 
-An event is the next byte (or the end) of a word after the bytes that lead to
-it, `DEPTH` bytes deep.  Each class has its own counts of events; both back off
-to one shared distribution of the same context over both classes, and that to
-the Kneser-Ney continuation counts of the next byte after the last byte.  An expression that is rare in
-both classes therefore has about the same likelihood in both, whatever it is.
+An event is the next byte (or the end) of a word after the up to seven symbols
+before it, a mark at the word's start being one of them; every place of a word
+of any length gives one.  Events are 64-bit integers of eight symbols, so no two
+meet.  Each class has its own counts of events; both back off to one shared
+distribution: the Kneser-Ney continuation counts of both classes, discounted and
+interpolated at every shorter context down to none.  An expression that is rare
+in both classes therefore has about the same likelihood in both, whatever it is.
 A document's evidence is the difference of the two log-likelihoods, normalised
 by its length; a logistic curve over the normalised difference gives the score.
 
-Two models are counted, on two halves of the learning folds.  The
-curve is fitted on documents scored by the model that has not seen them; a
-document's final evidence is the mean of both.
+Two models are counted, on two halves of the learning folds.  The curve is
+fitted on documents scored by the model that has not seen them (at most
+`curve_rows`); a document's final evidence is the mean of both.
 
-Estimation is grouping and joining in Spark over all labelled texts.  Scores
-need one number for each event and one for each context; both go into arrays of
-2**`bits` places by hash (the event with most counts keeps a place), which is
-the bound of what is broadcast: 2 models x 2 arrays x 4 bytes x 2**bits, 64 MB.
+Counting and estimation are grouping and joining in Spark over all labelled
+texts; the tables of events and contexts grow with the texts and lose nothing.
+Texts are scored where they are read if the tables have at most `most_sent` rows
+(16 bytes each) and can be sent out; larger ones are joined to the documents'
+distinct words, with the same result.
 
 Edge cases: null, empty and wordless texts have no evidence and get the score of
 zero evidence; without labels of both classes all scores are the share of toxic
-labels (0 without any).  Repeated rows get the same score each.
+labels (0 without any).  Repeated rows get the same score each.  A word of any
+length is read whole.  Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -28,165 +32,238 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexicord.llm.folds import fold, labelled, logistic, sampled
-from lexicord.llm.shared import written
+from lexicord.llm.shared import dropped, written
 from lexicord.llm.textarrays import LOWER, mix, pieces, range_hashes, spans
 
-DEPTH = 7
+#: Symbols of an event.
+ORDER = 8
 DISCOUNT = 0.75
+START, END = 1, 2
+KINDS = ("o0", "t0", "o1", "t1")
 
 #: A word's log-likelihood difference also counts lessened by each of these: what stays of it is no noise.
 NOISE = (1.0, 2.5)
-N_FEATURES = 2 * (1 + len(NOISE)) + 1
+PARTS = 1 + len(NOISE)
 
-LETTER = np.zeros(256, bool)
-LETTER[65:91] = LETTER[97:123] = LETTER[128:] = True
+#: Distinct events that a task counts before it hands them on.
+HELD = 400_000
+
+WORD = np.zeros(256, bool)
+WORD[48:58] = WORD[65:91] = WORD[97:123] = WORD[128:] = True
 
 
 def distinct_words(body: np.ndarray, starts: np.ndarray):
-    """Begins and ends of the distinct words of a piece, each word's number among them, and where rows' words begin."""
-    begins, ends, firsts = spans(LETTER[body], starts)
+    """Begins and ends of the distinct words of a piece, their hashes, each word's number among them, and where rows' words begin."""
+    begins, ends, firsts = spans(WORD[body], starts)
     low = LOWER[body]
-    _, at, number = np.unique(range_hashes(low, begins, ends), return_index=True, return_inverse=True)
-    return low, begins[at], ends[at], number, firsts
+    hashes, at, number = np.unique(range_hashes(low, begins, ends), return_index=True, return_inverse=True)
+    return low, begins[at], ends[at], hashes, number, firsts
 
 
-def events(low: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each depth: the words that reach it, and hashes of their event, its context, and (last byte, next byte)."""
-    for depth in range(DEPTH):
-        own = np.flatnonzero(ends - begins >= depth)
-        b, stop = begins[own], ends[own] - begins[own] == depth
-        following = np.where(stop, 256, low[np.minimum(b + depth, len(low) - 1)]).astype(np.int64)
-        last = low[b + depth - 1].astype(np.int64) if depth else np.full(len(own), 256)
-        context = range_hashes(low, b, b + depth)
-        yield own, mix(context ^ mix(following.astype(np.uint64) + np.uint64(7))), context, last * 512 + following
+def events(low: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The events of all words in a row, and where each word's begin: one for each byte and one for the end."""
+    sizes = ends - begins + 2
+    firsts = np.append(0, np.cumsum(sizes))
+    symbols = np.zeros(firsts[-1], np.uint64)
+    inner = np.arange(firsts[-1]) - np.repeat(firsts[:-1], sizes)  # place in the word, its mark being 0
+    within = (inner > 0) & (inner < np.repeat(sizes, sizes) - 1)
+    symbols[within] = low[(np.repeat(begins, sizes) + inner - 1)[within]]
+    symbols[firsts[:-1]], symbols[firsts[1:] - 1] = START, END
+    keys = symbols.copy()
+    for back in range(1, ORDER):
+        keys[back:] |= np.where(inner[back:] >= back, symbols[:-back] << np.uint64(8 * back), np.uint64(0))
+    return keys[inner > 0], firsts - np.arange(len(firsts))
 
 
 def counted(texts: DataFrame) -> DataFrame:
-    """Counts of every event in (fold half, class), over all rows of (half, label, text)."""
+    """(event, o0, t0, o1, t1): counts of every event in (half, class), over all rows of (half, label, text)."""
+
+    def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        keys = np.concatenate([k for k, _ in parts])
+        order = np.argsort(keys)
+        keys = keys[order]
+        firsts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        return keys[firsts], np.add.reduceat(np.concatenate([n for _, n in parts])[order], firsts, axis=0)
+
+    def rows(found: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(found.view(np.int64))] + [pa.array(sums[:, k]) for k in range(4)], ["event", *KINDS])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, body, starts in pieces(batches):
-            low, begins, ends, number, firsts = distinct_words(body, starts)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch, body, starts in pieces(batches, most=1_000_000):
+            low, begins, ends, _, number, firsts = distinct_words(body, starts)
             if not len(begins):
                 continue
             kind = batch.column("half").to_numpy() * 2 + batch.column("label").to_numpy()
-            times = np.zeros((len(begins), 4), np.int64)
-            np.add.at(times, (number, np.repeat(kind, np.diff(firsts))), 1)
-            for own, event, context, pair in events(low, begins, ends):
-                found, at, which = np.unique(event, return_index=True, return_inverse=True)
-                sums = np.zeros((len(found), 4), np.int64)
-                np.add.at(sums, which, times[own])
-                yield pa.record_batch([pa.array(found.view(np.int64)), pa.array(context[at].view(np.int64)), pa.array(pair[at])] + [pa.array(sums[:, k]) for k in range(4)], ["event", "context", "pair", "o0", "t0", "o1", "t1"])
-
-    rows = texts.select("half", F.col("label").cast("long").alias("label"), "text").mapInArrow(count, "event long, context long, pair long, o0 long, t0 long, o1 long, t1 long")
-    return rows.groupBy("event", "context", "pair").agg(*[F.sum(c).alias(c) for c in ("o0", "t0", "o1", "t1")])
+            times = np.bincount(number * 4 + np.repeat(kind, np.diff(firsts)), minlength=4 * len(begins)).reshape(-1, 4)
+            keys, places = events(low, begins, ends)
+            held.append(summed([(keys, np.repeat(times, np.diff(places), axis=0))]))
+            if sum(len(k) for k, _ in held) > HELD:
+                held = [summed(held)]
+                if len(held[0][0]) > HELD // 2:
+                    yield rows(*held[0])
+                    held = []
+        if held:
+            yield rows(*summed(held))
+
+    told = texts.select(F.col("half").cast("long").alias("half"), F.col("label").cast("long").alias("label"), "text").mapInArrow(count, "event long, o0 long, t0 long, o1 long, t1 long")
+    return told.groupBy("event").agg(*[F.sum(c).alias(c) for c in KINDS])
+
+
+def context(event: Column) -> Column:
+    return F.shiftrightunsigned(event, 8)
+
+
+def endings(event: Column, longest: int) -> Column:
+    """The last 1 to `longest` symbols of an event, shorter than the event itself."""
+    shorter = [F.when(F.shiftrightunsigned(event, 8 * m) != 0, event.bitwiseAND(F.lit((1 << 8 * m) - 1))) for m in range(1, longest + 1)]
+    return F.array_compact(F.array(*shorter))
+
+
+def shared(counts: DataFrame) -> DataFrame:
+    """(event, shared): the Kneser-Ney probability of each event's last symbol after its context less the first symbol."""
+    # every event with each of its endings of two symbols or more; an ending counts once for each symbol before it
+    grams = counts.select(F.explode(F.concat(F.array("event"), F.filter(endings(F.col("event"), ORDER - 1), lambda g: context(g) != 0))).alias("gram")).distinct()
+    size = sum((F.shiftrightunsigned("gram", 8 * m) != 0).cast("int") for m in range(ORDER))
+    masks = F.array(*[F.lit((1 << 8 * m) - 1) for m in range(ORDER)])
+    continued = written(grams.groupBy(F.col("gram").bitwiseAND(F.get(masks, size - 1)).alias("gram")).agg(F.count("*").alias("kinds")))
+    totals = continued.groupBy(context(F.col("gram")).alias("before")).agg(F.sum("kinds").alias("total"), F.count("*").alias("types"))
+    levels = continued.join(totals, context(F.col("gram")) == F.col("before")).select("gram", "kinds", "total", "types")
+    chain = counts.select("event", F.explode(endings(F.col("event"), ORDER - 1)).alias("gram")).join(levels, "gram")
+    steps = F.array_sort(F.collect_list(F.struct(F.col("gram").alias("g"), "kinds", "total", "types")))  # a longer ending is a larger number
+    fold_up = F.aggregate(steps, F.lit(1 / 257), lambda p, s: (s["kinds"] - DISCOUNT + DISCOUNT * s["types"] * p) / s["total"])
+    return chain.groupBy("event").agg(fold_up.alias("shared"))
 
 
 def estimated(counts: DataFrame) -> DataFrame:
-    """(hash, is_event, weight, r0, r1): log-likelihood differences of events, and of contexts for events never seen after them."""
-    names = ("o0", "t0", "o1", "t1")
-    pooled = sum(F.col(c) for c in names)
-    contexts = counts.groupBy("context").agg(*[F.sum(c).alias(f"{c}_n") for c in names], *[F.sum((F.col(c) > 0).cast("long")).alias(f"{c}_types") for c in names], F.count("*").alias("all_types"))
-    following = counts.groupBy("pair").agg(F.count("*").alias("kinds"))
-    lasts = following.groupBy(F.floor(F.col("pair") / 512).alias("last")).agg(F.sum("kinds").alias("all_kinds"), F.count("*").alias("n_kinds"))
-    shared = following.join(F.broadcast(lasts), F.floor(F.col("pair") / 512) == F.col("last")).select("pair", ((F.col("kinds") - DISCOUNT + DISCOUNT * F.col("n_kinds") / 257.0) / F.col("all_kinds")).alias("continued"))
-
-    def held(c: str):  # share of a context that is left to the shared distribution
+    """(key, is_event, r0, r1): log-likelihood differences of events, and of contexts for events never seen after them."""
+    contexts = counts.groupBy(context(F.col("event")).alias("before")).agg(*[F.sum(c).alias(f"{c}_n") for c in KINDS], *[F.sum((F.col(c) > 0).cast("long")).alias(f"{c}_types") for c in KINDS])
+
+    def left(c: str) -> Column:  # share of a context that is left to the shared distribution
         return F.when(F.col(f"{c}_n") > 0, DISCOUNT * F.col(f"{c}_types") / F.col(f"{c}_n")).otherwise(F.lit(1.0))
 
-    def likelihood(c: str):
+    def likelihood(c: str) -> Column:
         own = F.when(F.col(f"{c}_n") > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.col(f"{c}_n")).otherwise(F.lit(0.0))
-        return own + held(c) * F.col("shared")
-
-    # pairs number at most 257 x 512
-    joined = counts.join(F.broadcast(shared), "pair").join(contexts, "context")
-    in_all = sum(F.col(f"{c}_n") for c in names)
-    joined = joined.withColumn("shared", (pooled - DISCOUNT + DISCOUNT * F.col("all_types") * F.col("continued")) / in_all)
-    seen = joined.select(F.col("event").alias("hash"), F.lit(True).alias("is_event"), pooled.alias("weight"), *[F.log(likelihood(f"t{k}") / likelihood(f"o{k}")).cast("float").alias(f"r{k}") for k in (0, 1)])
-    unseen = contexts.select(F.col("context").alias("hash"), F.lit(False).alias("is_event"), sum(F.col(f"{c}_n") for c in names).alias("weight"), *[F.log(held(f"t{k}") / held(f"o{k}")).cast("float").alias(f"r{k}") for k in (0, 1)])
+        return own + left(c) * F.col("shared")
+
+    joined = counts.join(shared(counts), "event").join(contexts, context(F.col("event")) == F.col("before"))
+    seen = joined.select(F.col("event").alias("key"), F.lit(True).alias("is_event"), *[F.log(likelihood(f"t{k}") / likelihood(f"o{k}")).cast("float").alias(f"r{k}") for k in (0, 1)])
+    unseen = contexts.select(F.col("before").alias("key"), F.lit(False).alias("is_event"), *[F.log(left(f"t{k}") / left(f"o{k}")).cast("float").alias(f"r{k}") for k in (0, 1)])
     return seen.unionByName(unseen)
 
 
-class Model:
-    """Arrays by hash: tables[half, 0] of events (NaN: never seen) and tables[half, 1] of contexts."""
+def lessened(r: np.ndarray) -> np.ndarray:
+    return np.stack([r] + [np.sign(r) * np.maximum(np.abs(r) - t, 0) for t in NOISE], axis=-1)
 
-    def __init__(self, bits: int):
-        self.bits, self.tables, self.curve = bits, np.zeros((2, 2, 1 << bits), np.float32), np.zeros(N_FEATURES + 1)
-        self.tables[:, 0] = np.nan
 
-    def places(self, hashes: np.ndarray) -> np.ndarray:
-        return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+class Tables:
+    """Sorted keys of events and of contexts with their differences, for sending out."""
 
-    def evidence(self, body: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sums of words' log-likelihood differences, plain and lessened, of each row under both models; its number of words."""
-        low, begins, ends, number, firsts = distinct_words(body, starts)
-        sums = np.zeros((len(begins), 2))
-        for own, event, context, _ in events(low, begins, ends):
-            a, b = self.places(event), self.places(context)
-            for half in (0, 1):
-                r = self.tables[half, 0][a]
-                sums[own, half] += np.where(np.isnan(r), self.tables[half, 1][b], r)
-        kinds = np.stack([sums] + [np.sign(sums) * np.maximum(np.abs(sums) - t, 0) for t in NOISE], axis=2)
-        runs = np.zeros((len(number) + 1, *kinds.shape[1:]))
-        np.cumsum(kinds[number], axis=0, out=runs[1:])
-        return runs[firsts[1:]] - runs[firsts[:-1]], np.diff(firsts)
+    def __init__(self, told: pa.Table):
+        kind = told.column("is_event").to_numpy()
+        keys = told.column("key").to_numpy().view(np.uint64)
+        r = np.stack([told.column("r0").to_numpy(), told.column("r1").to_numpy()], axis=1)
+        self.parts = []
+        for own in (kind, ~kind):
+            order = np.argsort(keys[own])
+            self.parts.append((keys[own][order], r[own][order]))
 
-    def score(self, evidence: np.ndarray, n_words: np.ndarray) -> np.ndarray:
-        x = features(evidence, n_words)
-        return 1 / (1 + np.exp(-np.clip(x @ self.curve[:-1] + self.curve[-1], -30, 30)))
+    def differences(self, keys: np.ndarray) -> np.ndarray:
+        """Of each event under both models; an event never seen has its context's, without a context it has none."""
+        out = np.zeros((len(keys), 2))
+        missing = np.arange(len(keys))
+        for (known, r), wanted in zip(self.parts, (keys, keys >> np.uint64(8))):
+            if len(known):
+                at = np.minimum(np.searchsorted(known, wanted[missing]), len(known) - 1)
+                hit = known[at] == wanted[missing]
+                out[missing[hit]] = r[at[hit]]
+                missing = missing[~hit]
+        return out
 
 
-def features(evidence: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+def evidence(texts: DataFrame, model: DataFrame, most_sent: int) -> DataFrame:
+    """The rows without `text`, with (evidence array<double>, n_words): sums over words, plain and lessened, under both models."""
+    columns = [c for c in texts.columns if c != "text"]
+    if model.count() > most_sent:
+        return joined_evidence(texts, model, columns)
+    sent = texts.sparkSession.sparkContext.broadcast(Tables(model.toArrow()))  # `most_sent` rows of 16 bytes
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in texts.schema if f.name != "text") + ", evidence array<double>, n_words long"
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, body, starts in pieces(batches, most=1_000_000):
+            low, begins, ends, _, number, firsts = distinct_words(body, starts)
+            keys, places = events(low, begins, ends)
+            runs = np.zeros((len(keys) + 1, 2))
+            np.cumsum(sent.value.differences(keys), axis=0, out=runs[1:])
+            kinds = lessened(runs[places[1:]] - runs[places[:-1]])
+            total = np.zeros((len(number) + 1, 2, PARTS))
+            np.cumsum(kinds[number], axis=0, out=total[1:])
+            rows = (total[firsts[1:]] - total[firsts[:-1]]).reshape(batch.num_rows, -1)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * 2 * PARTS, pa.int32()), pa.array(rows.ravel()))
+            yield pa.record_batch([batch.column(c) for c in columns] + [lists, pa.array(np.diff(firsts))], [*columns, "evidence", "n_words"])
+
+    return texts.select(*columns, "text").mapInArrow(score, schema)
+
+
+def joined_evidence(texts: DataFrame, model: DataFrame, columns: list[str]) -> DataFrame:
+    """The same where the tables are too large to send: distinct words meet them by joins, and documents meet their words."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, body, starts in pieces(batches, most=1_000_000):
+            low, begins, ends, hashes, number, firsts = distinct_words(body, starts)
+            keys, places = events(low, begins, ends)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(firsts))
+            pair, times = np.unique(row * max(1, len(hashes)) + number, return_counts=True)
+            row, word = np.divmod(pair, max(1, len(hashes)))
+            lists = pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(keys.view(np.int64)))
+            yield pa.record_batch([batch.column(c).take(pa.array(row)) for c in ("a", "b")] + [pa.array(hashes[word].view(np.int64)), pa.array(times), lists.take(pa.array(word))], ["a", "b", "word", "times", "keys"])
+
+    name = (F.xxhash64("text").alias("a"), F.xxhash64(F.reverse("text")).alias("b"))
+    held = written(texts.select(*name, "text").dropDuplicates(["a", "b"]).mapInArrow(cut, "a long, b long, word long, times long, keys array<long>"))
+    places = held.dropDuplicates(["word"]).select("word", F.explode("keys").alias("event"))
+    known = model.where("is_event").select(F.col("key").alias("event"), "r0", "r1")
+    before = model.where("not is_event").select(F.col("key").alias("before"), F.col("r0").alias("b0"), F.col("r1").alias("b1"))
+    met = places.join(known, "event", "left").join(before, context(F.col("event")) == F.col("before"), "left")
+    words = met.groupBy("word").agg(*[F.sum(F.coalesce(f"r{k}", f"b{k}", F.lit(0.0)).cast("double")).alias(f"s{k}") for k in (0, 1)])
+    shaped = [F.signum(f"s{k}") * F.greatest(F.abs(f"s{k}") - t, F.lit(0.0)) for k in (0, 1) for t in (0.0, *NOISE)]
+    sums = held.join(words, "word").groupBy("a", "b").agg(F.array(*[F.sum(F.col("times") * x) for x in shaped]).alias("evidence"), F.sum("times").alias("n_words"))
+    none = F.array_repeat(F.lit(0.0), 2 * PARTS)
+    rows = texts.select(*columns, *name).join(sums, ["a", "b"], "left")
+    return rows.select(*columns, F.coalesce("evidence", none).alias("evidence"), F.coalesce("n_words", F.lit(0)).alias("n_words"))
+
+
+def features(total: np.ndarray, n_words: np.ndarray) -> np.ndarray:
     """Differences by their expected noise, which grows with the root of the length, and by the length itself."""
     n = np.maximum(n_words, 1)[:, None]
-    return np.hstack([evidence / np.sqrt(n), np.cbrt(evidence / n), np.log(n)])
-
-
-def fit(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1, bits: int = 22, curve_rows: int = 20_000) -> Model:
-    """Count on all labelled texts outside the held-out fold; fit the curve (3 numbers) on at most `curve_rows` of them."""
-    texts = labelled(docs, labels, "toxic", folds, held_out)
-    model = Model(bits)
-    place = F.shiftrightunsigned(F.col("hash"), 64 - bits)
-    best = written(estimated(written(counted(texts))).groupBy("is_event", place.alias("place")).agg(F.max_by(F.struct("r0", "r1"), F.struct("weight", "hash")).alias("r")).select("is_event", F.col("place").cast("int").alias("place"), "r.r0", "r.r1"))
-    told = best.where("abs(r0) > 1e-4 or abs(r1) > 1e-4 or is_event").toArrow()  # 2 x 2**bits rows at most
-    at, kind = told.column("place").to_numpy(), np.where(told.column("is_event").to_numpy(), 0, 1)
-    for half in (0, 1):
-        model.tables[half, kind, at] = told.column(f"r{half}").to_numpy()
-
-    def other_half(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, body, starts in pieces(batches):
-            both, n = sent.value.evidence(body, starts)
-            own = both[np.arange(len(n)), 1 - batch.column("half").to_numpy()]
-            yield pa.record_batch([batch.column("label"), pa.array(list(own), pa.list_(pa.float64())), pa.array(n)], ["label", "evidence", "n_words"])
-
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    seen = sampled(docs, labels, "toxic", folds, held_out, curve_rows).select("half", "label", "text").mapInArrow(other_half, "label int, evidence array<double>, n_words long").toPandas()
-    y = seen["label"].to_numpy(float)
-    if len(y) and 0 < y.mean() < 1:
-        model.curve = logistic(features(np.stack(seen["evidence"]), seen["n_words"].to_numpy()), y)
-    else:
-        model.curve[-1] = 30.0 if len(y) and y.all() else -30.0
-    sent.unpersist()
-    return model
+    return np.hstack([total / np.sqrt(n), np.cbrt(total / n)])
 
 
-def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score, n_words) of every row; a map over the texts."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, body, starts in pieces(batches):
-            both, n = sent.value.evidence(body, starts)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(sent.value.score(both.mean(1), n)), pa.array(n)], ["doc_id", "score", "n_words"])
+def score_column(curve: np.ndarray) -> Column:
+    """The score of (evidence, n_words): the curve over the mean of both models' evidence."""
+    mean = [(F.get("evidence", k) + F.get("evidence", PARTS + k)) / 2 for k in range(PARTS)]
+    n = F.greatest("n_words", F.lit(1))
+    x = [m / F.sqrt(n) for m in mean] + [F.cbrt(m / n) for m in mean]
+    z = sum((c * float(w) for c, w in zip(x, curve)), F.lit(float(curve[-1])))
+    return 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, "doc_id long, score double, n_words long")
 
-
-def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1, threshold: float = 0.7) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1, threshold: float = 0.7, curve_rows: int = 20_000, most_sent: int = 4_000_000) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document."""
-    scored = score_documents(docs, fit(docs, labels, folds, held_out))
-    return scored.select("doc_id", (fold("doc_id", folds) == held_out).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    counts = written(counted(labelled(docs, labels, "toxic", folds, held_out)))
+    model = written(estimated(counts))
+    dropped(counts)
+    some = sampled(docs, labels, "toxic", folds, held_out, curve_rows)
+    seen = evidence(some.select("half", "label", "text"), model, most_sent).toPandas()  # `curve_rows` rows
+    y, curve = seen["label"].to_numpy(float), np.zeros(2 * PARTS + 1)
+    if len(y) and 0 < y.mean() < 1:
+        both = np.stack(seen["evidence"]).reshape(-1, 2, PARTS)
+        curve = logistic(features(both[np.arange(len(y)), 1 - seen["half"].to_numpy()], seen["n_words"].to_numpy()), y)
+    else:
+        curve[-1] = 30.0 if len(y) and y.all() else -30.0
+    scored = evidence(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model, most_sent)
+    out = scored.select("doc_id", (fold("doc_id", folds) == held_out).alias("held_out"), score_column(curve).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

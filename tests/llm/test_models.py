@@ -108,3 +108,45 @@ def test_decontamination_finds_long_items(spark, sf_dir):
         rows.append((10 * n + 1009, " ".join(w[: n // 2])))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, bench).collect()} == want
+
+
+def test_kneser_ney_equals_a_dictionary_version(spark):
+    """Shared probabilities equal the recursion over all contexts, and those of any context sum to 1."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("ab") for _ in range(rng.randint(1, 12))) for _ in range(60)]
+    df = spark.createDataFrame([(k % 2, k % 3 % 2, w) for k, w in enumerate(words)], "half long, label long, text string")
+    counts = toxicity.counted(df)
+    tops, want = set(), {}
+    for k, w in enumerate(words):
+        symbols = [1, *w.encode(), 2]
+        for p in range(1, len(symbols)):
+            event = tuple(symbols[max(0, p - 7) : p + 1])
+            tops.add(event)
+            want.setdefault(event, [0] * 4)[k % 2 * 2 + k % 3 % 2] += 1
+    number = lambda g: int.from_bytes(bytes(g), "big", signed=False)
+    assert {r.event: [r.o0, r.t0, r.o1, r.t1] for r in counts.collect()} == {number(e): n for e, n in want.items()}
+    grams = {e[-m:] for e in tops for m in range(2, len(e) + 1)}
+    kinds = {}
+    for g in grams:
+        kinds[g[1:]] = kinds.get(g[1:], 0) + 1
+
+    def p(before, following):
+        lower = p(before[1:], following) if before else 1 / 257
+        own = [kinds[g] for g in kinds if g[:-1] == before]
+        if not own:
+            return lower
+        return (max(kinds.get((*before, following), 0) - 0.75, 0) + 0.75 * len(own) * lower) / sum(own)
+
+    got = {r.event: r.shared for r in toxicity.shared(counts).collect()}
+    assert len(got) == len(tops) and all(abs(got[number(e)] - p(e[1:-1], e[-1])) < 1e-12 for e in tops)
+    for before in {e[1:-1] for e in tops}:
+        seen = sum(p(before, x) for x in (97, 98, 1, 2))
+        assert abs(seen + 253 * p(before, 99) - 1) < 1e-9
+
+
+def test_joined_evidence_equals_that_sent_out(spark, docs):
+    labels = spark.createDataFrame([(i, i % 4 // 3) for i in range(60)], "doc_id long, toxic int")
+    more = docs.unionByName(docs.select(docs.doc_id + 1000, F.concat("text", F.lit("z" * 3000)), *docs.columns[2:]).toDF(*docs.columns))
+    one, two = (sorted(toxicity.toxicity(more, labels, most_sent=n).collect(), key=repr) for n in (10**6, 0))
+    key = lambda r: (repr(r.doc_id), round(r.score, 9), r.held_out, r.predicted)
+    assert len(one) == more.count() and sorted(map(key, one)) == sorted(map(key, two))
