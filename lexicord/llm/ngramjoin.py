@@ -19,21 +19,25 @@ document of least id that it shares most keys with: a group of any number of
 near copies is a star, not all pairs.  Components of what is linked are the
 groups.  In the second pass only keys that still join different components count.
 A document with many tokens of its own cannot link outside its component, and of
-two that link one has few (see `viable`); these light ones, dealt into parts of
-about `part` members of a component, are what documents of other components
-query by the bound, opening the parts that qualify.  Links inside a component
+two that link one has few (see `viable`); these light ones, in groups of at most
+about `part` members of a component that share their rarest key, are what
+documents of other components query by the bound, opening the groups that
+qualify.  A document meets a group once, and only if they share as many keys as
+linked sets do.  Links inside a component
 cannot change components, so no link between components is lost.
 
 Edge cases: null, empty and blank texts have no tokens, link with nothing and are
 their own components; fewer than k words are one token.  Rows with one id count
-as one document, each with its own n_shingles; a null id links with nothing and
-has a null component.  Other columns do not matter.
+as one document, whatever their texts: what links with any of them is in one
+component, and each row has its own n_shingles; a null id links with nothing and
+has a null component.  Texts of any length are read whole.  Other columns,
+whatever their names, do not matter.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil, exp, log
+from math import ceil, comb, exp, log
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lexicord.llm.components import components
-from lexicord.llm.shared import written
+from lexicord.llm.shared import dropped, written
 from lexicord.llm.textarrays import mix, pieces, shingles, words
 
 #: Sizes of one class grow by at most this factor.
@@ -103,7 +107,7 @@ def token_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def tokens_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(id, tokens array<long>) of the wanted (id, f1)."""
+    """(id, tokens array<long>) of the wanted (id, first, f1); first is a document with that set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, body, starts in pieces(batches):
@@ -114,7 +118,7 @@ def tokens_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets)))
             yield pa.record_batch([batch.column("id"), lists], ["id", "tokens"]).filter(pa.array(same))
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id").select("id", "f1", "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("first"), "text").join(wanted, "first").select("id", "f1", "text")
     return texts.mapInArrow(run, "id long, tokens array<long>").dropDuplicates(["id"])
 
 
@@ -123,6 +127,11 @@ def linked(a: Column, b: Column, percent: int) -> Column:
     return common * 100 >= (F.size(a) + F.size(b) - common) * percent
 
 
+def bound(tokens: Column, union: Column, percent: int) -> Column:
+    """Whether a document can link with any member of a group, by its overlap with the group's union of tokens."""
+    return F.size(F.array_intersect(tokens, union)) * 100 >= F.size(tokens) * percent
+
+
 def verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link."""
     one = tokens.select(F.col("id").alias("a"), F.col("tokens").alias("s"))
@@ -147,75 +156,123 @@ def viable(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     return told.where(private * percent <= F.col("common") * (100 - percent)).select("id", "group", (private * 2 * percent <= F.col("common") * (100 - percent)).alias("light"))
 
 
+def shared_keys(c: int, percent: int, least: np.ndarray, segments: int, d: int) -> int:
+    """How many keys linked sets of class c share at least, of their first d + that many, but for a chance of MISS.
+
+    Fewer than n share them only if all common tokens lie in the d segments that differ and n - 1 others.
+    """
+    common = max(1, percent * int(least[c]) // 100)
+    sure = [n for n in (16, 12, 8, 4, 3, 2) if segments - d >= n and comb(segments - d, n - 1) * ((n - 1 + d) / segments) ** common <= MISS]
+    return sure[0] if sure else 1
+
+
 def rare_keys(rows: DataFrame, percent: int) -> DataFrame:
-    """(key, id, n, group, light, size): the rarest keys of each document, enough for linked ones to share one.
+    """(id, mine, lead, need): each document's rarest keys, the rarest of all, and how many of them linked ones share.
 
     Segments are three times finer here, or as many as in classes() where small
     sets need more lest all common tokens fall into segments that differ.  Linked sets differ in at most d of them,
     so of the keys in each class, ordered by how many documents have them, the
-    first d + 1 of both hold a common one.  What most of a group of copies shares
-    is never among those of documents that differ from it.
+    first d + n of both hold n common ones (see `shared_keys`).  What most of a group of copies shares
+    is never among those of documents that differ from it; keys of one group alone go.
     """
     least, coarse = classes(percent)
     differing = [most_differing(percent, int(high)) for high in least[1:]]
     counts = [max(3 * d + 1, c) for d, c in zip(differing, coarse)]
+    needs = [shared_keys(c, percent, least, counts[c], d) for c, d in enumerate(differing)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys, class_, enough = [], [], [], []
-            for i, row in zip(batch.column("id").to_pylist(), batch.column("tokens")):
+            ids, groups, keys, class_, enough, need = [], [], [], [], [], []
+            for i, group, row in zip(batch.column("id").to_pylist(), batch.column("group").to_pylist(), batch.column("tokens")):
                 tokens = row.values.to_numpy().view(np.uint64)
                 for c, own in zip(own_classes(len(tokens), percent, least), segment_keys(tokens, percent, least, counts)):
                     ids.append(np.full(len(own), i))
+                    groups.append(np.full(len(own), group))
                     keys.append(own.view(np.int64))
                     class_.append(np.full(len(own), c, np.int32))
-                    enough.append(np.full(len(own), differing[c] + 1, np.int32))
+                    enough.append(np.full(len(own), differing[c] + needs[c], np.int32))
+                    need.append(np.full(len(own), needs[c], np.int32))
             if ids:
-                yield pa.record_batch([pa.array(np.concatenate(x)) for x in (ids, keys, class_, enough)], ["id", "key", "class", "enough"])
+                yield pa.record_batch([pa.array(np.concatenate(x)) for x in (ids, groups, keys, class_, enough, need)], ["id", "group", "key", "class", "enough", "need"])
 
-    fine = rows.select("id", "tokens").mapInArrow(run, "id long, key long, class int, enough int")
-    held = fine.groupBy("key").agg(F.count("*").alias("times"))
+    fine = rows.select("id", "tokens", "group").mapInArrow(run, "id long, group long, key long, class int, enough int, need int")
+    held = fine.groupBy("key").agg(F.count("*").alias("times"), F.min("group").alias("low"), F.max("group").alias("high"))
     order = F.row_number().over(Window.partitionBy("id", "class").orderBy("times", "key"))
-    first = fine.join(held, "key").withColumn("nth", order).where("nth <= enough and times > 1").select("id", "key")
-    return first.join(rows.select("id", F.size("tokens").alias("n"), "group", "light", "size"), "id")
+    first = fine.join(held, "key").withColumn("nth", order).where("nth <= enough and low != high")
+    return first.groupBy("id").agg(F.collect_set("key").alias("mine"), F.min_by("key", F.struct("times", "key")).alias("lead"), F.min("need").alias("need"))
+
+
+def nodes_of(sets: DataFrame) -> DataFrame:
+    """(n, f1, f2, first, id): each set of tokens that is not empty, its least document, and its node.
+
+    The node is that document's id; if it has several sets (rows of one id with
+    different texts), those but one have a negative hash as node.
+    """
+    found = sets.where("n > 0 and doc_id is not null").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("first"))
+    found = written(found)
+    several = found.groupBy("first").agg(F.min_by("f1", F.struct("n", "f1", "f2")).alias("main"), F.count("*").alias("times")).where("times > 1").drop("times")
+    own = F.when(F.col("main").isNull() | (F.col("main") == F.col("f1")), F.col("first")).otherwise(-F.shiftrightunsigned(F.xxhash64("n", "f1", "f2"), 1) - 1)
+    nodes = written(found.join(several, "first", "left").select("n", "f1", "f2", "first", own.alias("id")))
+    dropped(found)
+    return nodes
 
 
-def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: int = 256) -> DataFrame:
+def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: int = 16) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     sets = written(token_sets(docs, k, percent))
-    classes_ = sets.where("n > 0 and doc_id is not null").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("id"))
-    own = sets.join(classes_, ["n", "f1", "f2"]).where("doc_id = id").dropDuplicates(["id", "f1"]).select("id", "n", "f1", F.explode("keys").alias("key"))
-    hub = Window.partitionBy("key")
-    met = own.withColumn("hub", F.min("id").over(hub)).where("id != hub").groupBy("id", "hub", "n").agg(F.count("*").alias("shared"))
-    met = written(met)
+    nodes = nodes_of(sets)
+    full = sets.where("n > 0 and doc_id is not null")
+    # (n, f1, f2) of a set that many documents have is a large key on one side only, so Spark can split it
+    keyed = written(full.join(nodes, ["n", "f1", "f2"]).where("doc_id = first").dropDuplicates(["id"]).select("id", "keys"))
+    own = keyed.select("id", F.explode("keys").alias("key"))
+    hubs = own.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub != last").drop("last")
+    met = written(own.join(hubs.hint("merge"), "key").where("id != hub").groupBy("id", "hub").agg(F.count("*").alias("shared")))
     active = met.select("id").union(met.select("hub")).distinct()
-    ids = classes_.select("id", "f1").join(active, "id")
+    ids = written(nodes.select("id", "first", "f1").join(active, "id"))
     tokens = written(tokens_of(docs, ids, k))
 
     best = met.groupBy(F.col("id").alias("a")).agg(F.max_by("hub", F.struct("shared", -F.col("hub"))).alias("b"))
     edges = written(verified(best, tokens, percent))
+    dropped(met)
     groups = written(tokens.select("id").join(components(edges), "id", "left").select("id", F.coalesce("component_id", "id").alias("group")))
 
-    again = sets.select(F.col("doc_id").alias("id"), "f1", "n", "keys").join(ids, ["id", "f1"]).dropDuplicates(["id", "f1"]).select("id", "n", F.explode("keys").alias("key")).join(groups, "id")
+    again = keyed.join(groups, "id").select("id", "group", F.explode("keys").alias("key"))
     split = again.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("key")
-    open_keys = written(again.join(split, "key"))
-    asking = written(viable(open_keys.select("id", "group").distinct(), tokens, percent))
+    open_ids = written(again.join(split.hint("merge"), "key").select("id", "group").distinct())
+    dropped(keyed)
+    asking = written(viable(open_ids, tokens, percent))
+    rare = written(rare_keys(asking.join(tokens, "id"), percent))
     sizes = asking.groupBy("group").agg(F.count_if("light").alias("size"))
-    asking = asking.join(sizes, "group")
-    members = written(asking.where("light").select("id", "group", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / part)).alias("part")))
-    unions = members.join(tokens, "id").groupBy("group", "part").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"))
-    keys = written(rare_keys(asking.join(tokens, "id"), percent))
-    asked = keys.select("key", "id", "n", "group", "light", "size")
-    parts = keys.join(members.select("id", "part"), "id").groupBy("key", F.col("group").alias("other"), "part").agg(F.min("n").alias("low_n"), F.max("n").alias("high_n"), F.max("size").alias("other_size"))
+    asking = written(asking.join(sizes, "group").join(tokens.select("id", F.size("tokens").alias("n")), "id").join(rare, "id"))
+
+    # light members of a component that share their rarest key are one group of the matrix, at most about `part` of them
+    light = asking.where("light")
+    crowds = light.groupBy("group", "lead").agg(F.count("*").alias("crowd"))
+    members = written(light.join(crowds, ["group", "lead"]).withColumn("part", F.xxhash64("lead", F.pmod(F.xxhash64("id"), F.ceil(F.col("crowd") / part)))))
+    parts = members.groupBy(F.col("group").alias("other"), "part").agg(F.min("n").alias("low_n"), F.max("n").alias("high_n"), F.max("size").alias("other_size"), F.min("need").alias("other_need"), F.array_distinct(F.flatten(F.collect_list("mine"))).alias("theirs"))
+    parts = parts.select("*", F.explode("theirs").alias("key"))
+    unions = members.select("id", "group", "part").join(tokens, "id").groupBy("group", "part").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"))
+    asked = asking.select("*", F.explode("mine").alias("key"))
     fits = (F.col("n") * percent <= F.col("high_n") * 100) & (F.col("low_n") * percent <= F.col("n") * 100)
     # of two components with light documents, the smaller one asks
     smaller = F.struct("size", "group") < F.struct("other_size", "other")
-    once = (F.col("group") != F.col("other")) & (~F.col("light") | smaller)
-    meets = asked.join(parts, "key").where(once & fits).select("id", F.col("other").alias("group"), "part").distinct()
-    bounded = meets.join(tokens, "id").join(unions, ["group", "part"]).where(F.size(F.array_intersect("tokens", "union")) * 100 >= F.size("tokens") * percent).select(F.col("id").alias("a"), "group", "part")
-    opened = bounded.join(members.withColumnRenamed("id", "b"), ["group", "part"]).select("a", "b")
+    apart = (F.col("group") != F.col("other")) & (~F.col("light") | smaller)
+    # a document and a group that share enough keys meet on the least of them only
+    both = F.array_intersect("mine", "theirs")
+    once = (F.array_min(both) == F.col("key")) & (F.size(both) >= F.least("need", "other_need"))
+    meets = written(asked.join(parts, "key").where(apart & fits & once).select("id", F.col("other").alias("group"), "part", "mine", "need"))
+    bounded = meets.join(tokens, "id").join(unions, ["group", "part"]).where(bound(F.col("tokens"), F.col("union"), percent)).select(F.col("id").alias("a"), "group", "part", "mine", "need")
+    inside = members.select(F.col("id").alias("b"), F.col("group").alias("g"), F.col("part").alias("p"), F.col("mine").alias("theirs"), F.col("need").alias("other_need"))
+    opened = bounded.join(inside, (F.col("group") == F.col("g")) & (F.col("part") == F.col("p")) & (F.size(F.array_intersect("mine", "theirs")) >= F.least("need", "other_need"))).select("a", "b")
     late = written(verified(opened, tokens, percent))
 
-    joined = components(edges.unionByName(late)).select("id", "component_id")
-    told = sets.select("doc_id", "n", "f1", "f2").join(classes_, ["n", "f1", "f2"], "left").join(joined, "id", "left")
-    return told.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "id", "doc_id")).alias("component_id"))
+    # nodes of one document are one
+    twice = full.join(nodes, ["n", "f1", "f2"]).select("doc_id", "id")
+    ends = twice.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a != z").drop("z")
+    same = ends.join(twice, "doc_id").where("a != id").select("a", F.col("id").alias("b")).distinct()
+    linked_ = components(edges.unionByName(late).unionByName(same))
+    least = nodes.select("id", "first").join(linked_, "id").groupBy("component_id").agg(F.min("first").alias("least"))
+    joined = written(nodes.join(linked_.join(least, "component_id").select("id", "least"), "id", "left").select("n", "f1", "f2", F.coalesce("least", "first").alias("least")))
+    told = full.select("doc_id", "n", "f1", "f2").join(joined, ["n", "f1", "f2"]).select("doc_id", "n", "least")
+    empty = sets.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("least"))
+    return told.unionByName(empty).select("doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))

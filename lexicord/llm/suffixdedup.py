@@ -141,15 +141,18 @@ def suffix_order(symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, n
     a document that is all in gives no more.  A stable counting sort of it is the
     order of the suffixes one symbol longer.
     """
-    docs = np.arange(len(starts) - 1, dtype=np.int32)
-    place = starts[1:].astype(np.int64)  # the empty suffixes
-    order_docs, order_place = docs, place
-    for _ in range(int(np.diff(starts).max()) if len(docs) else 0):
-        more = order_place > starts[order_docs]
-        d, p = order_docs[more], order_place[more] - 1
-        turn = np.argsort(symbols[p], kind="stable")
-        order_docs, order_place = np.append(docs, d[turn]), np.append(place, p[turn])
-    return order_docs, order_place
+    sizes = np.diff(starts)
+    doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)  # of each place; a place more at each end is the empty suffix
+    ends = (starts[1:] + np.arange(len(sizes))).astype(np.int32)
+    spread = np.zeros(len(doc), np.uint8)
+    spread[np.arange(len(symbols)) + np.repeat(np.arange(len(sizes)), sizes)] = symbols
+    inner = np.ones(len(doc), bool)
+    inner[starts[:-1] + np.arange(len(sizes))] = False
+    order = ends
+    for _ in range(int(sizes.max()) if len(sizes) else 0):
+        before = order[inner[order]] - np.int32(1)
+        order = np.concatenate([ends, before[np.argsort(spread[before], kind="stable")]])
+    return doc[order], order.astype(np.int64) - doc[order]
 
 
 def repeated_windows(found: list[bytes], docs: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -222,14 +225,17 @@ def spans_of_blocks(rows: DataFrame, length: int, block: int, most: int) -> Data
         part = part[may_repeat([found[i] for i in part], length)]
         if len(part):
             i, place = repeated_windows([found[i] for i in part], least[part], length)
-            piece = part[i]
-            order = np.argsort(piece, kind="stable")
-            piece, place = piece[order], place[order]
-            begin, end = np.searchsorted(piece, code[firsts]), np.searchsorted(piece, code[firsts], "right")
-            n = end - begin
-            rows = np.repeat(firsts, n)
-            which = np.repeat(begin - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
-            out.append((doc[rows], tie[rows], at[rows] + place[which], np.full(len(rows), length)))
+            order = np.lexsort((place, i))
+            piece, place = part[i][order], place[order]
+            if len(piece):  # windows that touch are one span
+                new = np.append(True, (piece[1:] != piece[:-1]) | (place[1:] > place[:-1] + length))
+                last = np.append(np.flatnonzero(new)[1:], len(new)) - 1
+                piece, place, size = piece[new], place[new], place[last] - place[new] + length
+                begin, end = np.searchsorted(piece, code[firsts]), np.searchsorted(piece, code[firsts], "right")
+                n = end - begin
+                rows = np.repeat(firsts, n)
+                which = np.repeat(begin - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
+                out.append((doc[rows], tie[rows], at[rows] + place[which], size[which]))
         d, t, a, s = (np.concatenate(x) for x in zip(*out))
         yield pa.record_batch([pa.array(d), pa.array(t), pa.array(a), pa.array(s), pa.nulls(len(d), pa.int64())], ["doc", "tie", "at", "size", "window"])
 

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lexicord.llm import components, linededup, neardup, ngramjoin, suffixdedup
 
@@ -130,13 +131,13 @@ def test_near_duplicates_of_a_large_label(spark):
 
 def test_small_sets_share_a_rare_key(spark):
     rng = np.random.default_rng(6)
-    rows = []
+    rows = []  # (id, tokens, group)
     for k in range(10_000):
         n = 4 + k % 4
         tokens = np.sort(rng.integers(0, 1 << 63, n + 1).astype(np.int64))
-        rows += [(2 * k, tokens.tolist(), 2 * k, True, 1), (2 * k + 1, np.delete(tokens, rng.integers(n + 1)).tolist(), 2 * k + 1, True, 1)]
-    df = spark.createDataFrame(rows, "id long, tokens array<long>, group long, light boolean, size long")
-    got = ngramjoin.rare_keys(df, 80).groupBy("key").agg({"id": "min", "*": "count"}).where("`count(1)` = 2").select("min(id)").distinct()
+        rows += [(2 * k, tokens.tolist(), 2 * k), (2 * k + 1, np.delete(tokens, rng.integers(n + 1)).tolist(), 2 * k + 1)]
+    df = spark.createDataFrame(rows, "id long, tokens array<long>, group long")
+    got = ngramjoin.rare_keys(df, 80).select("id", F.explode("mine").alias("key")).groupBy("key").agg({"id": "min", "*": "count"}).where("`count(1)` = 2").select("min(id)").distinct()
     assert {r[0] for r in got.collect()} == {2 * k for k in range(10_000)}
 
 
@@ -180,3 +181,18 @@ def test_lines_of_rows_with_one_id(spark, rows_of_one_id):
     for i, t in rows_of_one_id:
         want.append((i or 1 << 63, "\n".join(x for p, x in enumerate(t.split("\n")) if seen[x] >= (i or 1 << 63, p))))
     assert got == sorted(want)
+
+
+def test_texts_of_one_id_are_one_document(spark):
+    """What links with either text of an id is in its component; an empty text of it changes nothing."""
+    word = iter(f"w{k}" for k in range(10_000))
+    a, b, c = ([next(word) for _ in range(60)] for _ in range(3))
+    rows = [(5, a), (5, b), (6, [*a, "x"]), (7, [*b, "y"]), (5, []), (3, c), (8, c), (8, [*a, "z"]), (-4, ["u"]), (-4, ["v"])]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = ngramjoin.document_components(df).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == sorted((i, -4 if i == -4 else 3 if w else i) for i, w in rows)
+
+
+def test_the_bound_shuts_groups_out(spark):
+    df = spark.createDataFrame([([1, 2, 3, 4], [1, 2, 3, 4, 9]), ([1, 2, 3, 4], [1, 2, 3, 8, 9]), ([1], [])], "tokens array<long>, union array<long>")
+    assert [r[0] for r in df.select(ngramjoin.bound(F.col("tokens"), F.col("union"), 90)).collect()] == [True, False, False]
