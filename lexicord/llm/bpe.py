@@ -33,7 +33,7 @@ PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 
 #: Chunks whose ids a worker remembers at once, and bytes of text it encodes at once.
 REMEMBERED = 1_000_000
-PIECE = 2_000_000
+PIECE = 1_000_000
 
 ASCII_SPACES = np.zeros(256, bool)
 ASCII_SPACES[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True

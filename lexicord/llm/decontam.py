@@ -259,8 +259,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, step: int = 16, rank: in
                 # a window that holds the likely share of a passage holds that share's weight, or near half of it beside its neighbour
                 full = np.flatnonzero(run[ends] - run[begins] >= least)
                 rows, hits, scores = [], [], []
-                for first in range(0, len(full), 4096):
-                    part = full[first : first + 4096]
+                for first in range(0, len(full), 1024):
+                    part = full[first : first + 1024]
                     sizes = ends[part] - begins[part]
                     at = np.repeat(begins[part] - np.append(0, np.cumsum(sizes)[:-1]), sizes) + np.arange(sizes.sum())
                     own = np.flatnonzero(w[at] > 0)

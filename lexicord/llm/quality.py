@@ -159,7 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, m
     texts = sampled(docs, labels, "quality", folds, held_out, most)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, body, starts in pieces(batches):
+        for batch, body, starts in pieces(batches, most=500_000):
             x, length, firsts = line_features(body, starts)
             yield pa.record_batch([batch.column("doc_id"), batch.column("label"), pa.array([x[a:b].astype("<f4").tobytes() for a, b in zip(firsts[:-1], firsts[1:])], pa.binary()), pa.array([length[a:b].tolist() for a, b in zip(firsts[:-1], firsts[1:])], pa.list_(pa.float64()))], ["doc_id", "label", "x", "length"])
 
@@ -189,7 +189,7 @@ def score_documents(docs: DataFrame, field: Field) -> DataFrame:
     """(doc_id, score) of every row; a map over the texts."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, body, starts in pieces(batches):
+        for batch, body, starts in pieces(batches, most=500_000):
             yield pa.record_batch([batch.column("doc_id"), pa.array(field.score(body, starts))], ["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, "doc_id long, score double")
@@ -205,7 +205,7 @@ def keep_good(docs: DataFrame, field: Field, threshold: float = 0.3) -> DataFram
     """The rows, with all their columns, whose score reaches the threshold."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, body, starts in pieces(batches):
+        for batch, body, starts in pieces(batches, most=500_000):
             yield batch.filter(pa.array(field.score(body, starts) >= threshold))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -52,7 +52,7 @@ def flat(column) -> tuple[np.ndarray, np.ndarray]:
     return body[starts[0] : starts[-1]], starts - starts[0]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 2_000_000) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1_000_000) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Batches cut between rows to about `most` bytes of text each, so that working arrays stay small."""
     for batch in batches:
         if not batch.num_rows:
@@ -63,6 +63,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             last = max(first + 1, int(np.searchsorted(starts, starts[first] + most, "right")) - 1)
             yield batch.slice(first, last - first), body[starts[first] : starts[last]], starts[first : last + 1] - starts[first]
             first = last
+    pa.default_memory_pool().release_unused()  # workers live longer than their tasks
 
 
 def spans(inside: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,7 +86,10 @@ def range_hashes(body: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.n
     """A hash of each byte range."""
     up, down = powers(len(body) + 1)
     sums = np.zeros(len(body) + 1, np.uint64)
-    np.cumsum((body.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
+    sums[1:] = body
+    sums[1:] += np.uint64(1)
+    sums[1:] *= up[:-1]
+    np.cumsum(sums[1:], out=sums[1:])
     return mix((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(np.uint64))
 
 
