@@ -126,6 +126,11 @@ def one_line(c: Column) -> Column:
     return F.array_join(F.filter(F.transform(F.split(c, "\n"), strip), lambda x: x != ""), " ")
 
 
+def bound(value: Column, body) -> Column:
+    """body(value), with the value computed once however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def speak_letters(c: Column) -> Column:
     """A letter with a tonos mark becomes its name, with a blank if a letter follows.
 
@@ -152,8 +157,11 @@ def pronounce(c: Column) -> Column:
     steps = [(rf"{start}{p}\s*(?=\d)", f"{said} ") for p, said in rules.ACTS]
     steps += [(rf"{start}{p}\s*(?=[\dΑ-Ωα-ω])", f"{said} ") for p, said in rules.NUMBERED]
     steps += [(f"{start}{p}", said) for p, said in rules.ALONE]
-    out = reduce(lambda t, s: F.regexp_replace(t, *s), steps, c)
-    out = speak_numbers(speak_letters(out))
+    # a step's pattern is searched only in texts that hold its plain letters
+    plain = [re.sub(r"\\b$|\\\.\?$", "", p).replace("\\", "") for p, _ in (*rules.ACTS, *rules.NUMBERED, *rules.ALONE)]
+    turned = lambda letters, step: lambda t: F.when(F.contains(t, F.lit(letters)), F.regexp_replace(t, *step)).otherwise(t)
+    out = reduce(lambda t, s: bound(t, turned(*s)), zip(plain, steps), c)
+    out = speak_numbers(bound(out, speak_letters))
     out = F.replace(F.replace(out, F.lit("%"), F.lit(" τοις εκατό")), F.lit("€"), F.lit(" ευρώ"))
     return strip(collapse_blanks(out))
 

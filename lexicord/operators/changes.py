@@ -42,6 +42,16 @@ def status(laws: DataFrame, manifest: DataFrame, files: DataFrame, count: str =
     return rows.select("id", F.coalesce("there", F.lit(False)).alias("present"), F.when(both, F.coalesce("n", F.lit("?"))).otherwise("").alias("articles"))
 
 
+def presence_totals(told: DataFrame) -> DataFrame:
+    """(present, missing, laws) of status()."""
+    return told.agg(F.count_if("present").alias("present"), F.count_if(~F.col("present")).alias("missing"), F.count("*").alias("laws"))
+
+
+def run_totals(entries: DataFrame) -> DataFrame:
+    """(successes, failures) of a run's entries; those with an error failed."""
+    return entries.agg(F.count_if(F.col("error").isNull()).alias("successes"), F.count_if(F.col("error").isNotNull()).alias("failures"))
+
+
 def manifest_json(entries: DataFrame, stamp: Column) -> DataFrame:
     """One row (json): stamp, number of entries, and the entries by id, keys in order; for manifests of some thousand laws."""
     fields = F.struct(*[c for c in entries.columns if c != "id"])

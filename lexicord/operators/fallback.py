@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,22 +41,22 @@ def first_success(attempts: DataFrame, key: str, order: str, ok: Column) -> Data
     return told.select(key, "winner", F.filter("failed", lambda x: F.col("winner").isNull() | (x < F.col("winner"))).alias("failures"))
 
 
-def waves(ranked: DataFrame, extract: Callable[[DataFrame], DataFrame], most: int) -> DataFrame:
+def waves(ranked: DataFrame, extract: Callable[[DataFrame], DataFrame], most: int | None = None) -> DataFrame:
     """Try sources rank by rank: wave n takes the n-th source of laws without success yet.
 
     extract adds `text` and `error` to its rows.  A lower source of a law whose
-    higher source worked is never asked.  The result has a row for each try.
+    higher source worked is never asked.  The result has a row for each try; all
+    sources are tried unless `most` bounds the tries.
     """
     from lexicord.sources.tables import checkpointed
 
     tried, left = None, ranked
-    for n in range(1, most + 1):
+    for n in count(1):
         turn = checkpointed(extract(left.where(F.col("nth") == n)))
         tried = turn if tried is None else tried.unionByName(turn)
         left = left.join(turn.where("error is null").select("id").distinct(), "id", "left_anti")
-        if left.where(F.col("nth") > n).isEmpty():
-            break
-    return tried
+        if n == most or left.where(F.col("nth") > n).isEmpty():
+            return tried
 
 
 def warnings(tried: DataFrame) -> DataFrame:

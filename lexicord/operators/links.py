@@ -6,7 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)')[^>]*>(.*?)</a>"""
+#: An anchor; groups: its address in double, single or no quotes, and its content.
+PART = r"""(?:[^>"']|"[^"]*"|'[^']*')"""
+ANCHOR = rf"""(?is)<a\s(?:{PART}*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)){PART}*>(.*?)</a>"""
+
+#: Entities with names that are read, beside numbered ones.
+NAMED = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\u00a0", "&laquo;": "«", "&raquo;": "»", "&ndash;": "–", "&mdash;": "—", "&hellip;": "…", "&eacute;": "é", "&egrave;": "è", "&agrave;": "à", "&ccedil;": "ç", "&auml;": "ä", "&ouml;": "ö", "&uuml;": "ü", "&szlig;": "ß", "&ntilde;": "ñ"}
 
 
 def one_spaced(c: Column) -> Column:
@@ -14,10 +19,27 @@ def one_spaced(c: Column) -> Column:
 
 
 def unescaped(c: Column) -> Column:
-    """The five entities that markup itself needs."""
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    """Entities by number, decimal or hexadecimal, and by the names of NAMED."""
+    def said(x: Column) -> Column:
+        hexed = F.nullif(F.regexp_extract(x, "^&#[xX]([0-9a-fA-F]{1,6});$", 1), F.lit(""))
+        number = F.coalesce(hexed, F.hex(F.nullif(F.regexp_extract(x, "^&#([0-9]{1,7});$", 1), F.lit("")).cast("long")))
+        return F.when(number.isNull(), x).otherwise(F.decode(F.unhex(F.lpad(number, 8, "0")), "UTF-32"))
+
+    parts = F.regexp_extract_all(c, F.lit("(&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});|[^&]+|&)"), F.lit(1))
+    out = F.when(F.contains(c, F.lit("&#")), F.array_join(F.transform(parts, said), "")).otherwise(c)
+    for entity, char in (*NAMED.items(), ("&amp;", "&")):
+        out = F.replace(out, F.lit(entity), F.lit(char))
+    return out
+
+
+def without_dots(address: Column) -> Column:
+    """Path, query and fragment with the path's `.` and `..` segments resolved."""
+    path, rest = F.regexp_extract(address, "^([^?#]*)", 1), F.regexp_extract(address, "(?s)^[^?#]*(.*)$", 1)
+    none = F.array().cast("array<string>")
+    up = lambda done: F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))
+    step = lambda done, x: F.when(x == ".", done).when(x == "..", up(done)).otherwise(F.concat(done, F.array(x)))
+    resolved = F.concat(F.array_join(F.aggregate(F.split(path, "/"), none, step), "/"), F.when(path.rlike(r"/\.\.?$"), "/").otherwise(""))
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(resolved, rest)).otherwise(address)
 
 
 def absolute(href: Column, base: Column) -> Column:
@@ -28,9 +50,9 @@ def absolute(href: Column, base: Column) -> Column:
     return (
         F.when((base == "") | href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href.startswith("/"), F.concat(host, href))
+        .when(href.startswith("/"), F.concat(host, without_dots(href)))
         .when(href.startswith("?"), F.concat(host, path, href))
-        .otherwise(F.concat(host, folder, href))
+        .otherwise(F.concat(host, without_dots(F.concat(folder, href))))
     )
 
 
@@ -38,8 +60,8 @@ def links(pages: DataFrame, page: str = "page_id", base: str = "url", html: str
     """(page, pos, text, url) of each address a page names first, in order of place; in-page and script links are left out."""
     anchors = F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(0))
     rows = pages.select(F.col(page), F.col(base).alias("base"), F.posexplode(anchors).alias("pos", "a"))
-    href = F.btrim(unescaped(F.concat(F.regexp_extract("a", ANCHOR, 1), F.regexp_extract("a", ANCHOR, 2))), F.lit(" \t\r\n"))
-    text = one_spaced(unescaped(F.regexp_replace(F.regexp_extract("a", ANCHOR, 3), "(?s)<[^>]*>", "")))
+    href = F.btrim(unescaped(F.concat(*[F.regexp_extract("a", ANCHOR, k) for k in (1, 2, 3)])), F.lit(" \t\r\n"))
+    text = one_spaced(unescaped(F.regexp_replace(F.regexp_extract("a", ANCHOR, 4), "(?s)<[^>]*>", "")))
     rows = rows.select(page, "pos", text.alias("text"), href.alias("href"), "base").where(~F.col("href").rlike("^$|^#|^javascript:|^mailto:"))
     rows = rows.select(page, "pos", "text", absolute(F.col("href"), F.col("base")).alias("url"))
     return first_by(rows, [page, "url"], "pos")
@@ -80,6 +102,12 @@ def paged_urls(start: DataFrame, url: str, pages: int) -> DataFrame:
     return rows.withColumn(url, F.when(F.col("page") == 1, F.col(url)).otherwise(F.concat(url, joint, F.lit("page="), F.col("page").cast("string"))))
 
 
+def until_failure(tries: DataFrame, key: str, page: str, failed: Column) -> DataFrame:
+    """Pages of each address before its first failing one; an address whose first page fails has none."""
+    first = tries.groupBy(key).agg(F.min(F.when(failed, F.col(page))).alias("_first"))
+    return tries.join(first, key).where(F.col("_first").isNull() | (F.col(page) < F.col("_first"))).drop("_first")
+
+
 def top(rows: DataFrame, n: int, *order: str) -> tuple[DataFrame, DataFrame]:
     """The first n rows, and one row with how many more there are."""
     return rows.orderBy(*order).limit(n), rows.agg(F.greatest(F.count("*") - n, F.lit(0)).alias("more"))

@@ -22,8 +22,59 @@ def numbered_ids(rows: DataFrame, base: Column, order: str = "seq") -> DataFrame
     return rows.withColumn("base_id", base).withColumn("nth", nth).withColumn("id", F.when(F.col("nth") > 1, F.concat("base_id", F.lit("-"), F.col("nth").cast("string"))).otherwise(F.col("base_id"))).drop("base_id", "nth")
 
 
-def paragraph_records(articles: DataFrame, laws: DataFrame) -> DataFrame:
-    """The 20 columns of a record; law metadata joins each paragraph."""
+def verified_laws(laws: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Laws whose `epalithevmeno` is what (id, epalithevmeno) of this run's texts says, where it says anything."""
+    if found is None:
+        return laws
+    told = found.select(F.col("id").alias("_id"), F.col("epalithevmeno").alias("_told"))
+    rows = laws.join(told, F.col("id") == F.col("_id"), "left").withColumn("epalithevmeno", F.coalesce("_told", "epalithevmeno"))
+    return rows.select(*laws.columns)
+
+
+def article_text(paragraphs: Column) -> Column:
+    """Paragraphs with their numbers, a blank line between them."""
+    return F.array_join(F.transform(paragraphs, lambda p: F.when(p["arithmos"] != "", F.concat(p["arithmos"], F.lit(". "), p["keimeno"])).otherwise(p["keimeno"])), "\n\n")
+
+
+def law_meta(laws: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    """The 16 columns of a law's facts; laws carry pigi_url, checksum_pigis, plithos_arthron, plithos_paragrafon and anaktithike."""
+    fek = F.col("fek")
+    return verified_laws(laws, found).select(
+        "id",
+        names.display_name(F.col("typos"), F.col("arithmos"), F.col("etos")).alias("onoma"),
+        "titlos",
+        "typos",
+        "thematiki",
+        F.when(fek.isNotNull(), names.citation(fek["teuxos"], fek["arithmos"], fek["imerominia"])).alias("fek"),
+        F.when(fek.isNotNull(), names.pdf_id(F.year(fek["imerominia"]), fek["teuxos"], fek["arithmos"])).alias("fek_pdf_id"),
+        "celex",
+        "katastasi",
+        F.col("isxys_apo").cast("string").alias("isxys_apo"),
+        "epalithevmeno",
+        "pigi_url",
+        "checksum_pigis",
+        F.col("plithos_arthron").cast("long").alias("plithos_arthron"),
+        F.col("plithos_paragrafon").cast("long").alias("plithos_paragrafon"),
+        F.col("anaktithike").cast("string").alias("anaktithike"),
+    )
+
+
+def full_markdown(articles: DataFrame, laws: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    """(law, document): the whole text of a law: its header, a rule, and its articles."""
+    joined = law_header(verified_laws(laws, found)).join(markdown(articles), "law", "left")
+    return joined.select("law", F.concat(F.regexp_replace(F.concat_ws("\n", "header", "document"), r"(?U)\s+$", ""), F.lit("\n")).alias("document"))
+
+
+def export_totals(exported: DataFrame) -> DataFrame:
+    """(law, articles, size): a row for each exported law, its characters in rounded thousands, and one of all with law null."""
+    each = exported.select("law", F.col("articles").cast("long").alias("articles"), F.concat(F.bround(F.col("characters") / 1000.0, 0).cast("long").cast("string"), F.lit("k")).alias("size"))
+    every = exported.agg(F.lit(None).cast(exported.schema["law"].dataType).alias("law"), F.coalesce(F.sum("articles"), F.lit(0)).cast("long").alias("articles"), F.concat(F.count("*").cast("string"), F.lit(" files")).alias("size"))
+    return each.unionByName(every)
+
+
+def paragraph_records(articles: DataFrame, laws: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    """The 20 columns of a record; law metadata joins each paragraph, with the verification that `found` has of it."""
+    laws = verified_laws(laws, found)
     rows = numbered_ids(flatten(articles), names.record_id(F.col("law"), F.col("arthro"), F.col("paragrafos")))
     meta = laws.select(
         F.col("id").alias("law"),

@@ -37,7 +37,7 @@ def corpus(texts: DataFrame, laws: DataFrame, supplements: DataFrame | None = No
     return kept, told
 
 
-def fetched(laws: DataFrame, files: DataFrame, most: int = 8) -> DataFrame:
+def fetched(laws: DataFrame, files: DataFrame, most: int | None = None) -> DataFrame:
     """(id, nth, source_type, url, text, error): sources tried by rank until one gives text; `files` has (url, content)."""
 
     def extract(turn: DataFrame) -> DataFrame:

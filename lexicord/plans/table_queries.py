@@ -277,7 +277,66 @@ WITH c AS (SELECT url, max('e' || length(html)) AS etag FROM pages WHERE page_id
 SELECT DISTINCT p.url, etag, CASE WHEN etag IS NOT NULL THEN 'Mon' END AS last_modified FROM pages p LEFT JOIN c USING (url)
 """
 
+def run_totals(spark, sf_dir):
+    entries = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.when(F.coalesce("text", F.lit("")).rlike("[0-9]"), "digits").alias("error"))
+    return changes.run_totals(entries)
+
+
+RUN_TOTALS = "SELECT count(*) FILTER (NOT regexp_matches(coalesce(text, ''), '[0-9]')) AS successes, count(*) FILTER (regexp_matches(coalesce(text, ''), '[0-9]')) AS failures FROM documents"
+
+
+def presence_totals(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.count("*").alias("plithos_arthron"))
+    files = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("id")).distinct()
+    return changes.presence_totals(changes.status(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), orders, files))
+
+
+PRESENCE = """
+WITH s AS (SELECT EXISTS (FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F') AS present FROM customer)
+SELECT count(*) FILTER (present) AS present, count(*) FILTER (NOT present) AS missing, count(*) AS laws FROM s
+"""
+
+
+def export_totals(spark, sf_dir):
+    return records.export_totals(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("law"), (F.col("doc_id") % 7).alias("articles"), F.col("n_chars").alias("characters")))
+
+
+EXPORT_TOTALS = """
+WITH r AS (SELECT doc_id, n_chars, n_chars // 1000 AS k, n_chars % 1000 AS rest FROM documents)
+SELECT doc_id AS law, doc_id % 7 AS articles, CAST(k + CASE WHEN rest > 500 OR (rest = 500 AND k % 2 = 1) THEN 1 ELSE 0 END AS VARCHAR) || 'k' AS size FROM r
+UNION ALL SELECT NULL, CAST(sum(doc_id % 7) AS BIGINT), CAST(count(*) AS VARCHAR) || ' files' FROM documents
+"""
+
+
+def article_texts(spark, sf_dir):
+    paragraph = F.struct(F.col("l_linenumber").alias("n"), F.concat("l_returnflag", F.lit(" "), "l_linestatus").alias("keimeno"), F.when(F.col("l_returnflag") == "R", "").otherwise(F.col("l_linenumber").cast("string")).alias("arithmos"))
+    articles = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(paragraph)).alias("paragrafoi"))
+    return articles.select(F.col("l_orderkey").alias("law"), records.article_text(F.col("paragrafoi")).alias("keimeno"))
+
+
+ARTICLE_TEXTS = """
+SELECT l_orderkey AS law, string_agg(CASE WHEN l_returnflag = 'R' THEN '' ELSE l_linenumber || '. ' END || l_returnflag || ' ' || l_linestatus, chr(10) || chr(10) ORDER BY l_linenumber, l_returnflag, l_linestatus) AS keimeno
+FROM lineitem GROUP BY l_orderkey
+"""
+
+
+def pages_until_failure(spark, sf_dir):
+    tries = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag").distinct()
+    return links.until_failure(tries, "l_orderkey", "l_linenumber", F.col("l_returnflag") == "R").select("l_orderkey", "l_linenumber")
+
+
+UNTIL_FAILURE = """
+WITH f AS (SELECT l_orderkey, min(l_linenumber) AS first FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
+t AS (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem)
+SELECT l_orderkey, l_linenumber FROM t LEFT JOIN f USING (l_orderkey) WHERE first IS NULL OR l_linenumber < first
+"""
+
 QUERIES = {
+    "run_totals": (run_totals, RUN_TOTALS),
+    "presence_totals": (presence_totals, PRESENCE),
+    "export_totals": (export_totals, EXPORT_TOTALS),
+    "article_texts": (article_texts, ARTICLE_TEXTS),
+    "pages_until_failure": (pages_until_failure, UNTIL_FAILURE),
     "manifest_diff": (manifest_diff, RUNS_SQL + "SELECT * FROM diff"),
     "material_changes": (material_changes, RUNS_SQL + "SELECT kind, count(*) AS laws FROM diff WHERE kind != 'αμετάβλητο' GROUP BY kind"),
     "manifest_upsert": (manifest_upsert, UPSERT),

@@ -61,7 +61,7 @@ def html_text(html: str) -> str:
     for c in (*rules.CONTAINERS, "body"):
         if c in p.texts:
             return "\n".join(p.texts[c])
-    return ""
+    return html_text(f"<body>{html}</body>") if "<body>" not in html else ""  # a fragment is a body
 
 
 class BadFile(ValueError):
@@ -72,6 +72,8 @@ def ole_streams(data: bytes) -> dict[str, bytes]:
     """Streams of a compound file by name."""
     if data[:8] != bytes.fromhex("d0cf11e0a1b11ae1"):
         raise BadFile("no compound file")
+    if struct.unpack_from("<H", data, 30)[0] not in (9, 12) or struct.unpack_from("<H", data, 32)[0] != 6:
+        raise BadFile("odd sector sizes")
     sector, small = 1 << struct.unpack_from("<H", data, 30)[0], 1 << struct.unpack_from("<H", data, 32)[0]
     n_fat, first_dir, cutoff, first_mini = struct.unpack_from("<I4xI", data, 44)[0], struct.unpack_from("<I", data, 48)[0], struct.unpack_from("<I", data, 56)[0], struct.unpack_from("<I", data, 60)[0]
     next_difat = struct.unpack_from("<I", data, 68)[0]
@@ -176,7 +178,7 @@ def file_text(content: bytes) -> tuple[str | None, str | None]:
                 raise BadFile("no WordDocument stream")
             return word_text(streams["WordDocument"], streams), None
         return html_text(content.decode("utf-8", "replace")), None
-    except (BadFile, struct.error, ImportError, IndexError) as e:
+    except Exception as e:  # whatever a reader raises on a broken file is that file's error, not the job's
         return None, f"{type(e).__name__}: {e}"
 
 
@@ -187,10 +189,13 @@ def pdf_text(content: bytes) -> str:
     out = []
     with pdfplumber.open(io.BytesIO(content)) as pdf:
         for p in pdf.pages:
-            words = p.extract_words(x_tolerance=2) or []
-            cut = gutter([(float(w["x0"]), float(w["x1"])) for w in words], float(p.width))
-            parts = [p] if cut is None else [p.crop((0, 0, cut, p.height)), p.crop((cut, 0, p.width, p.height))]
-            out += [part.extract_text(x_tolerance=2) or "" for part in parts]
+            try:
+                words = p.extract_words(x_tolerance=2) or []
+                cut = gutter([(float(w["x0"]), float(w["x1"])) for w in words], float(p.width))
+                parts = [p] if cut is None else [p.crop((0, 0, cut, p.height)), p.crop((cut, 0, p.width, p.height))]
+                out += [part.extract_text(x_tolerance=2) or "" for part in parts]
+            except Exception:  # a broken page does not cost the others
+                continue
     return "\n".join(out)
 
 

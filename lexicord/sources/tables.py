@@ -93,6 +93,11 @@ def write_records(rows: DataFrame, path: str) -> None:
     rows.withColumns({"theme": F.col("thematiki"), "law": F.col("nomothetima_id")}).write.partitionBy("theme", "law").mode("overwrite").json(path)
 
 
+def write_meta(rows: DataFrame, path: str) -> None:
+    """A JSON object for each law, with its null fields, in a folder for each theme and law."""
+    rows.withColumns({"theme": F.col("thematiki"), "law": F.col("id")}).write.partitionBy("theme", "law").option("ignoreNullFields", "false").mode("overwrite").json(path)
+
+
 def write_documents(rows: DataFrame, path: str, *folders: str) -> None:
     """One text file (or few) of column `document` in a folder for each value of `folders`."""
     named = rows.withColumns({f"by_{c}": F.col(c) for c in folders})

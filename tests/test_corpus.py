@@ -119,6 +119,46 @@ def test_build_and_export(spark, laws):
     assert "> [!WARNING]" in head["b"] and "| ΦΕΚ | Α΄100/13-06-2025 |" in head["a"]
 
 
+def test_whole_documents_facts_and_verification(spark, laws, tmp_path):
+    raw = spark.createDataFrame([("a", "Άρθρο 1\nΤίτλος\n1. Ένα.\n2. Δύο.\n")], "law string, text string")
+    articles = structure.articles(raw, "law", "text")
+    full = laws.withColumns({"pigi_url": F.lit("u"), "anaktithike": F.lit("2025-01-01"), "checksum_pigis": F.lit("c"), "plithos_arthron": F.lit(1), "plithos_paragrafon": F.lit(2)})
+    before = {r.id: r.epalithevmeno for r in laws.collect()}
+    found = spark.createDataFrame([("a", not before["a"])], "id string, epalithevmeno boolean")
+    assert {r.epalithevmeno for r in records.paragraph_records(articles, full, found).collect()} == {not before["a"]}
+    assert {r.epalithevmeno for r in records.paragraph_records(articles, full).collect()} == {before["a"]}
+    meta = records.law_meta(full, found)
+    rows = {r.id: r for r in meta.collect()}
+    assert len(meta.columns) == 16 and rows["a"].epalithevmeno != before["a"] and all(rows[i].epalithevmeno == v for i, v in before.items() if i != "a")
+    tables.write_meta(meta, f"{tmp_path}/meta")
+    assert spark.read.json(f"{tmp_path}/meta").count() == len(before)
+    text = {r.law: r.document for r in records.full_markdown(articles, laws).collect()}
+    assert set(text) == set(before) and "\n---\n" in text["a"] and text["a"].endswith("2. Δύο.\n") and text["a"].index("---\n") < text["a"].index("#### Άρθρο 1")
+    assert [r.t for r in articles.select(records.article_text(F.col("paragrafoi")).alias("t")).collect()] == ["1. Ένα.\n\n2. Δύο."]
+
+
+def test_odd_files_are_errors_not_failures():
+    assert extract.html_text("<p>a</p><p>b</p>") == "a\nb" and extract.html_text("") == "" and extract.html_text("plain") == "plain"
+    head = bytearray(bytes.fromhex("d0cf11e0a1b11ae1") + bytes(600))
+    head[30:32] = b"\xff\xff"
+    text, error = extract.file_text(bytes(head))
+    assert text is None and error
+
+
+def test_all_sources_are_tried(spark):
+    ranked = spark.createDataFrame([("a", n, "fek_pdf", f"u{n}") for n in range(1, 11)], "id string, nth int, source_type string, url string")
+    got = fallback.waves(ranked, lambda turn: turn.withColumns({"text": F.when(F.col("nth") == 10, "t"), "error": F.when(F.col("nth") < 10, "dead")}))
+    assert got.count() == 10 and got.where("error is null").first().nth == 10
+
+
+def test_addresses_and_entities(spark):
+    base = "http://h/a/d/p.html"
+    html = """<a href=plain.html>one</a> <a class="a>b" href="../b/c.html?x=../y">two</a> <a href='./e/'>&eacute;t&#233; &#x3B1;&amp;lt;</a> <a href="/x/../../z/.">four</a>"""
+    rows = links.links(spark.createDataFrame([(1, base, html)], "page_id long, url string, html string")).orderBy("pos").collect()
+    assert [r.url for r in rows] == ["http://h/a/d/plain.html", "http://h/a/b/c.html?x=../y", "http://h/a/d/e/", "http://h/z/"]
+    assert [r.text for r in rows] == ["one", "two", "été α&lt;", "four"]
+
+
 def test_collision_numbering(spark):
     rows = spark.createDataFrame([("l", k, "x") for k in range(3)] + [("l", 5, "y")], "law string, seq int, b string")
     assert [r.id for r in records.numbered_ids(rows, F.col("b")).orderBy("seq").collect()] == ["x", "x-2", "x-3", "y"]
