@@ -67,7 +67,7 @@ STAGES = [
     ("tokens", token_stage),
 ]
 
-#: The classifier and the latent retrieval have no SQL form; the tests compare stages with brute force.
+#: The classifier and the latent retrieval have no SQL form.  Operators are tested against brute force, stages for what they keep.
 ORACLE_SQL = None
 
 
