@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; that setting is made only where it is unset."""
+    """A new folder below spark.checkpoint.dir; that setting is made only where it is unset and Spark runs on one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/lexicord-{uuid.uuid4().hex}"
