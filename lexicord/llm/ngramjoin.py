@@ -52,6 +52,8 @@ from lexicord.llm.textarrays import mix, pieces, shingles, words
 #: Sizes of one class grow by at most this factor.
 GROWTH = 1.6
 MISS = 1e-6
+#: Groups of the matrix hold sets of a band of sizes; bands a factor e of size.
+BANDS = 50
 
 
 def most_differing(percent: int, high: int) -> int:
@@ -127,9 +129,14 @@ def linked(a: Column, b: Column, percent: int) -> Column:
     return common * 100 >= (F.size(a) + F.size(b) - common) * percent
 
 
-def bound(tokens: Column, union: Column, percent: int) -> Column:
-    """Whether a document can link with any member of a group, by its overlap with the group's union of tokens."""
-    return F.size(F.array_intersect(tokens, union)) * 100 >= F.size(tokens) * percent
+def enough_common(common: Column, n: Column, m: Column, percent: int) -> Column:
+    """Whether sets of n and m tokens that share no more than `common` can link."""
+    return common * (100 + percent) >= (n + m) * percent
+
+
+def bound(tokens: Column, union: Column, low: Column, percent: int) -> Column:
+    """Whether a document can link with any member of a group of sets of `low` tokens or more, by its overlap with the group's union."""
+    return enough_common(F.size(F.array_intersect(tokens, union)), F.size(tokens), low, percent)
 
 
 def verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -140,7 +147,9 @@ def verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
 
 
 def viable(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """(id, group, light) of the (id, group) that can link outside their group.
+    """(id, group, n, common, light) of the (id, group) that can link outside their group.
+
+    n counts a document's tokens, common those of them that other groups have.
 
     Tokens that no other group has are private.  With s common and p, q private
     tokens, the similarity of two documents of different groups is s / (s + p + q)
@@ -150,10 +159,10 @@ def viable(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """
     spread = rows.join(tokens, "id").select("id", "group", F.explode("tokens").alias("token"))
     owners = spread.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("token")
-    common = spread.join(owners, "token").groupBy("id").agg(F.count("*").alias("common"))
+    common = spread.join(owners.hint("merge"), "token").groupBy("id").agg(F.count("*").alias("common"))
     told = rows.join(tokens.select("id", F.size("tokens").alias("n")), "id").join(common, "id")
     private = F.col("n") - F.col("common")
-    return told.where(private * percent <= F.col("common") * (100 - percent)).select("id", "group", (private * 2 * percent <= F.col("common") * (100 - percent)).alias("light"))
+    return told.where(private * percent <= F.col("common") * (100 - percent)).select("id", "group", "n", "common", (private * 2 * percent <= F.col("common") * (100 - percent)).alias("light"))
 
 
 def shared_keys(c: int, percent: int, least: np.ndarray, segments: int, d: int) -> int:
@@ -171,7 +180,8 @@ def rare_keys(rows: DataFrame, percent: int) -> DataFrame:
 
     Segments are three times finer here, or as many as in classes() where small
     sets need more lest all common tokens fall into segments that differ.  Linked sets differ in at most d of them,
-    so of the keys in each class, ordered by how many documents have them, the
+    and in no more than a document's own size allows, so of the keys in each class,
+    ordered by how many documents have them, the
     first d + n of both hold n common ones (see `shared_keys`).  What most of a group of copies shares
     is never among those of documents that differ from it; keys of one group alone go.
     """
@@ -190,7 +200,7 @@ def rare_keys(rows: DataFrame, percent: int) -> DataFrame:
                     groups.append(np.full(len(own), group))
                     keys.append(own.view(np.int64))
                     class_.append(np.full(len(own), c, np.int32))
-                    enough.append(np.full(len(own), differing[c] + needs[c], np.int32))
+                    enough.append(np.full(len(own), min(differing[c], len(tokens) * (100 - percent) // percent) + needs[c], np.int32))
                     need.append(np.full(len(own), needs[c], np.int32))
             if ids:
                 yield pa.record_batch([pa.array(np.concatenate(x)) for x in (ids, groups, keys, class_, enough, need)], ["id", "group", "key", "class", "enough", "need"])
@@ -198,7 +208,7 @@ def rare_keys(rows: DataFrame, percent: int) -> DataFrame:
     fine = rows.select("id", "tokens", "group").mapInArrow(run, "id long, group long, key long, class int, enough int, need int")
     held = fine.groupBy("key").agg(F.count("*").alias("times"), F.min("group").alias("low"), F.max("group").alias("high"))
     order = F.row_number().over(Window.partitionBy("id", "class").orderBy("times", "key"))
-    first = fine.join(held, "key").withColumn("nth", order).where("nth <= enough and low != high")
+    first = fine.join(held.hint("merge"), "key").withColumn("nth", order).where("nth <= enough and low != high")
     return first.groupBy("id").agg(F.collect_set("key").alias("mine"), F.min_by("key", F.struct("times", "key")).alias("lead"), F.min("need").alias("need"))
 
 
@@ -223,7 +233,7 @@ def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: in
     nodes = nodes_of(sets)
     full = sets.where("n > 0 and doc_id is not null")
     # (n, f1, f2) of a set that many documents have is a large key on one side only, so Spark can split it
-    keyed = written(full.join(nodes, ["n", "f1", "f2"]).where("doc_id = first").dropDuplicates(["id"]).select("id", "keys"))
+    keyed = written(full.join(nodes.hint("merge"), ["n", "f1", "f2"]).where("doc_id = first").dropDuplicates(["id"]).select("id", "keys"))
     own = keyed.select("id", F.explode("keys").alias("key"))
     hubs = own.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub != last").drop("last")
     met = written(own.join(hubs.hint("merge"), "key").where("id != hub").groupBy("id", "hub").agg(F.count("*").alias("shared")))
@@ -243,27 +253,29 @@ def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: in
     asking = written(viable(open_ids, tokens, percent))
     rare = written(rare_keys(asking.join(tokens, "id"), percent))
     sizes = asking.groupBy("group").agg(F.count_if("light").alias("size"))
-    asking = written(asking.join(sizes, "group").join(tokens.select("id", F.size("tokens").alias("n")), "id").join(rare, "id"))
+    asking = written(asking.join(sizes, "group").join(rare, "id"))
 
-    # light members of a component that share their rarest key are one group of the matrix, at most about `part` of them
-    light = asking.where("light")
-    crowds = light.groupBy("group", "lead").agg(F.count("*").alias("crowd"))
-    members = written(light.join(crowds, ["group", "lead"]).withColumn("part", F.xxhash64("lead", F.pmod(F.xxhash64("id"), F.ceil(F.col("crowd") / part)))))
-    parts = members.groupBy(F.col("group").alias("other"), "part").agg(F.min("n").alias("low_n"), F.max("n").alias("high_n"), F.max("size").alias("other_size"), F.min("need").alias("other_need"), F.array_distinct(F.flatten(F.collect_list("mine"))).alias("theirs"))
+    # light members of a component of like sizes that share their rarest key are one group of the matrix, at most about `part` of them
+    light = asking.where("light").withColumn("band", F.floor(F.log("n") * BANDS))
+    crowds = light.groupBy("group", "lead", "band").agg(F.count("*").alias("crowd"))
+    members = written(light.join(crowds, ["group", "lead", "band"]).withColumn("part", F.xxhash64("lead", "band", F.pmod(F.xxhash64("id"), F.ceil(F.col("crowd") / part)))))
+    parts = members.groupBy(F.col("group").alias("other"), "part").agg(F.min("n").alias("low_n"), F.max("n").alias("high_n"), F.max("common").alias("high_common"), F.max("size").alias("other_size"), F.min("need").alias("other_need"), F.array_distinct(F.flatten(F.collect_list("mine"))).alias("theirs"))
     parts = parts.select("*", F.explode("theirs").alias("key"))
     unions = members.select("id", "group", "part").join(tokens, "id").groupBy("group", "part").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"))
     asked = asking.select("*", F.explode("mine").alias("key"))
     fits = (F.col("n") * percent <= F.col("high_n") * 100) & (F.col("low_n") * percent <= F.col("n") * 100)
+    fits = fits & enough_common(F.least("common", "high_common"), F.col("n"), F.col("low_n"), percent)
     # of two components with light documents, the smaller one asks
     smaller = F.struct("size", "group") < F.struct("other_size", "other")
     apart = (F.col("group") != F.col("other")) & (~F.col("light") | smaller)
     # a document and a group that share enough keys meet on the least of them only
     both = F.array_intersect("mine", "theirs")
     once = (F.array_min(both) == F.col("key")) & (F.size(both) >= F.least("need", "other_need"))
-    meets = written(asked.join(parts, "key").where(apart & fits & once).select("id", F.col("other").alias("group"), "part", "mine", "need"))
-    bounded = meets.join(tokens, "id").join(unions, ["group", "part"]).where(bound(F.col("tokens"), F.col("union"), percent)).select(F.col("id").alias("a"), "group", "part", "mine", "need")
-    inside = members.select(F.col("id").alias("b"), F.col("group").alias("g"), F.col("part").alias("p"), F.col("mine").alias("theirs"), F.col("need").alias("other_need"))
-    opened = bounded.join(inside, (F.col("group") == F.col("g")) & (F.col("part") == F.col("p")) & (F.size(F.array_intersect("mine", "theirs")) >= F.least("need", "other_need"))).select("a", "b")
+    meets = written(asked.join(parts, "key").where(apart & fits & once).select("id", F.col("other").alias("group"), "part", "low_n", "n", "common", "mine", "need"))
+    bounded = meets.join(tokens, "id").join(unions, ["group", "part"]).where(bound(F.col("tokens"), F.col("union"), F.col("low_n"), percent)).select(F.col("id").alias("a"), "group", "part", "n", "common", "mine", "need")
+    inside = members.select(F.col("id").alias("b"), F.col("group").alias("g"), F.col("part").alias("p"), F.col("n").alias("m"), F.col("common").alias("other_common"), F.col("mine").alias("theirs"), F.col("need").alias("other_need"))
+    able = enough_common(F.least("common", "other_common"), F.col("n"), F.col("m"), percent) & (F.size(F.array_intersect("mine", "theirs")) >= F.least("need", "other_need"))
+    opened = bounded.join(inside, (F.col("group") == F.col("g")) & (F.col("part") == F.col("p")) & able).select("a", "b")
     late = written(verified(opened, tokens, percent))
 
     # nodes of one document are one

@@ -194,5 +194,36 @@ def test_texts_of_one_id_are_one_document(spark):
 
 
 def test_the_bound_shuts_groups_out(spark):
-    df = spark.createDataFrame([([1, 2, 3, 4], [1, 2, 3, 4, 9]), ([1, 2, 3, 4], [1, 2, 3, 8, 9]), ([1], [])], "tokens array<long>, union array<long>")
-    assert [r[0] for r in df.select(ngramjoin.bound(F.col("tokens"), F.col("union"), 90)).collect()] == [True, False, False]
+    rows = [([1, 2, 3, 4], [1, 2, 3, 4, 9], 4), ([1, 2, 3, 4], [1, 2, 3, 4, 9], 5), ([1, 2, 3, 4], [1, 2, 3, 8, 9], 3), ([1], [], 1)]
+    df = spark.createDataFrame(rows, "tokens array<long>, union array<long>, low int")
+    assert [r[0] for r in df.select(ngramjoin.bound(F.col("tokens"), F.col("union"), F.col("low"), 90)).collect()] == [True, False, False, False]
+
+
+@pytest.mark.parametrize("k, percent, most", [(3, 90, 9), (5, 80, 10)])
+def test_copies_around_the_threshold(spark, k, percent, most):
+    """Copies of one text with more and fewer edits, many just below and above the threshold of each other."""
+    rng = np.random.default_rng(9)
+    base, rows = [f"b{j}" for j in range(200)], []
+    for i in range(700):
+        w = list(base)
+        for _ in range(int(rng.integers(1, most))):
+            p, kind = int(rng.integers(len(w))), rng.integers(4)
+            w[p : p + 1] = [w[p], f"n{rng.integers(60)}"] if kind == 0 else [] if kind == 1 else [f"n{rng.integers(60)}"]
+        rows.append((i, " ".join(w)))
+    sets = dict(shingle_sets(rows, k))
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sets:
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                p, q = sorted((find(i), find(j)))
+                root[q] = p
+    assert 50 < len({find(i) for i in sets}) < 650
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ngramjoin.document_components(df, k, percent).collect()}
+    assert got == {i: find(i) for i in sets}
