@@ -24,7 +24,8 @@ about `part` members of a component that share their rarest key, are what
 documents of other components query by the bound, opening the groups that
 qualify.  A document meets a group once, and only if they share as many keys as
 linked sets do.  Links inside a component
-cannot change components, so no link between components is lost.
+cannot change components, so no link between components is lost.  Joins whose
+both sides grow with the documents are sort-merge joins at every size.
 
 Edge cases: null, empty and blank texts have no tokens, link with nothing and are
 their own components; fewer than k words are one token.  Rows with one id count
@@ -120,7 +121,7 @@ def tokens_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets)))
             yield pa.record_batch([batch.column("id"), lists], ["id", "tokens"]).filter(pa.array(same))
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("first"), "text").join(wanted, "first").select("id", "f1", "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("first"), "text").join(wanted.hint("merge"), "first").select("id", "f1", "text")
     return texts.mapInArrow(run, "id long, tokens array<long>").dropDuplicates(["id"])
 
 
@@ -143,7 +144,7 @@ def verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link."""
     one = tokens.select(F.col("id").alias("a"), F.col("tokens").alias("s"))
     two = tokens.select(F.col("id").alias("b"), F.col("tokens").alias("t"))
-    return pairs.join(one, "a").join(two, "b").where(linked(F.col("s"), F.col("t"), percent)).select("a", "b")
+    return pairs.hint("merge").join(one, "a").join(two, "b").where(linked(F.col("s"), F.col("t"), percent)).select("a", "b")
 
 
 def viable(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -157,7 +158,7 @@ def viable(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     with too many private tokens links with nothing outside, and of two that link
     one at least is light: has no more than half as many.
     """
-    spread = rows.join(tokens, "id").select("id", "group", F.explode("tokens").alias("token"))
+    spread = rows.hint("merge").join(tokens, "id").select("id", "group", F.explode("tokens").alias("token"))
     owners = spread.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("token")
     common = spread.join(owners.hint("merge"), "token").groupBy("id").agg(F.count("*").alias("common"))
     told = rows.join(tokens.select("id", F.size("tokens").alias("n")), "id").join(common, "id")
@@ -233,8 +234,9 @@ def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: in
     nodes = nodes_of(sets)
     full = sets.where("n > 0 and doc_id is not null")
     # (n, f1, f2) of a set that many documents have is a large key on one side only, so Spark can split it
-    keyed = written(full.join(nodes.hint("merge"), ["n", "f1", "f2"]).where("doc_id = first").dropDuplicates(["id"]).select("id", "keys"))
-    own = keyed.select("id", F.explode("keys").alias("key"))
+    keyed = written(full.join(nodes.hint("merge"), ["n", "f1", "f2"]).where("doc_id = first").dropDuplicates(["doc_id", "n", "f1", "f2"]).select("id", "keys"))
+    # dealt by key once, for the hubs and for meeting them
+    own = keyed.select("id", F.explode("keys").alias("key")).where("id is not null and key is not null").repartition("key")
     hubs = own.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub != last").drop("last")
     met = written(own.join(hubs.hint("merge"), "key").where("id != hub").groupBy("id", "hub").agg(F.count("*").alias("shared")))
     active = met.select("id").union(met.select("hub")).distinct()
@@ -246,7 +248,7 @@ def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: in
     dropped(met)
     groups = written(tokens.select("id").join(components(edges), "id", "left").select("id", F.coalesce("component_id", "id").alias("group")))
 
-    again = keyed.join(groups, "id").select("id", "group", F.explode("keys").alias("key"))
+    again = keyed.join(groups.hint("merge"), "id").select("id", "group", F.explode("keys").alias("key"))
     split = again.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("key")
     open_ids = written(again.join(split.hint("merge"), "key").select("id", "group").distinct())
     dropped(keyed)
@@ -271,7 +273,7 @@ def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: in
     # a document and a group that share enough keys meet on the least of them only
     both = F.array_intersect("mine", "theirs")
     once = (F.array_min(both) == F.col("key")) & (F.size(both) >= F.least("need", "other_need"))
-    meets = written(asked.join(parts, "key").where(apart & fits & once).select("id", F.col("other").alias("group"), "part", "low_n", "n", "common", "mine", "need"))
+    meets = written(asked.join(parts.hint("merge"), "key").where(apart & fits & once).select("id", F.col("other").alias("group"), "part", "low_n", "n", "common", "mine", "need"))
     bounded = meets.join(tokens, "id").join(unions, ["group", "part"]).where(bound(F.col("tokens"), F.col("union"), F.col("low_n"), percent)).select(F.col("id").alias("a"), "group", "part", "n", "common", "mine", "need")
     inside = members.select(F.col("id").alias("b"), F.col("group").alias("g"), F.col("part").alias("p"), F.col("n").alias("m"), F.col("common").alias("other_common"), F.col("mine").alias("theirs"), F.col("need").alias("other_need"))
     able = enough_common(F.least("common", "other_common"), F.col("n"), F.col("m"), percent) & (F.size(F.array_intersect("mine", "theirs")) >= F.least("need", "other_need"))
