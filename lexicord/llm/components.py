@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexicord.llm.shared import written
+from lexicord.llm.shared import dropped, written
 
 
 def _turn(edges: DataFrame) -> DataFrame:
@@ -34,6 +34,7 @@ def components(edges: DataFrame) -> DataFrame:
         then = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if sums == then:
             break
-        sums, now = then, written(_turn(now))
+        before, sums, now = now, then, written(_turn(now))
+        dropped(before)
     ids = now.select(F.col("u").alias("id"), F.col("v").alias("component_id"))
     return ids.unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct())

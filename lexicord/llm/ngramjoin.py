@@ -25,7 +25,8 @@ documents of other components query by the bound, opening the groups that
 qualify.  A document meets a group once, and only if they share as many keys as
 linked sets do.  Links inside a component
 cannot change components, so no link between components is lost.  Joins whose
-both sides grow with the documents are sort-merge joins at every size.
+both sides grow with the documents are sort-merge joins at every size, and keys and
+tokens are met in waves by their hash, so that the disk holds one wave's shuffle.
 
 Edge cases: null, empty and blank texts have no tokens, link with nothing and are
 their own components; fewer than k words are one token.  Rows with one id count
@@ -47,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lexicord.llm.components import components
-from lexicord.llm.shared import dropped, written
+from lexicord.llm.shared import dropped, in_waves, written
 from lexicord.llm.textarrays import mix, pieces, shingles, words
 
 #: Sizes of one class grow by at most this factor.
@@ -158,9 +159,14 @@ def viable(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     with too many private tokens links with nothing outside, and of two that link
     one at least is light: has no more than half as many.
     """
-    spread = rows.hint("merge").join(tokens, "id").select("id", "group", F.explode("tokens").alias("token"))
-    owners = spread.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("token")
-    common = spread.join(owners.hint("merge"), "token").groupBy("id").agg(F.count("*").alias("common"))
+    held = written(rows.hint("merge").join(tokens, "id").select("id", "group", "tokens"))
+
+    def shared(spread: DataFrame) -> DataFrame:
+        owners = spread.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("token")
+        return spread.join(owners.hint("merge"), "token").groupBy("id").agg(F.count("*").alias("common"))
+
+    common = in_waves(held.select("id", "group", F.explode("tokens").alias("token")), "token", shared).groupBy("id").agg(F.sum("common").alias("common"))
+    dropped(held)
     told = rows.join(tokens.select("id", F.size("tokens").alias("n")), "id").join(common, "id")
     private = F.col("n") - F.col("common")
     return told.where(private * percent <= F.col("common") * (100 - percent)).select("id", "group", "n", "common", (private * 2 * percent <= F.col("common") * (100 - percent)).alias("light"))
@@ -232,16 +238,25 @@ def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: in
     """(doc_id, n_shingles, component_id) of every document."""
     sets = written(token_sets(docs, k, percent))
     nodes = nodes_of(sets)
-    full = sets.where("n > 0 and doc_id is not null")
     # (n, f1, f2) of a set that many documents have is a large key on one side only, so Spark can split it
-    keyed = written(full.join(nodes.hint("merge"), ["n", "f1", "f2"]).where("doc_id = first").dropDuplicates(["doc_id", "n", "f1", "f2"]).select("id", "keys"))
-    # dealt by key once, for the hubs and for meeting them
-    own = keyed.select("id", F.explode("keys").alias("key")).where("id is not null and key is not null").repartition("key")
-    hubs = own.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub != last").drop("last")
-    met = written(own.join(hubs.hint("merge"), "key").where("id != hub").groupBy("id", "hub").agg(F.count("*").alias("shared")))
+    keyed = written(sets.where("n > 0 and doc_id is not null").join(nodes.hint("merge"), ["n", "f1", "f2"]).where("doc_id = first").dropDuplicates(["doc_id", "n", "f1", "f2"]).select("id", "keys"))
+    sized = written(sets.select("doc_id", "n", "f1", "f2"))
+    dropped(sets)
+    full = sized.where("n > 0 and doc_id is not null")
+
+    def meetings(own: DataFrame) -> DataFrame:
+        own = own.repartition("key")  # dealt by key once, for the hubs and for meeting them
+        hubs = own.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub != last").drop("last")
+        return own.join(hubs.hint("merge"), "key").where("id != hub").groupBy("id", "hub").agg(F.count("*").alias("shared"))
+
+    own = keyed.select("id", F.explode("keys").alias("key")).where("id is not null and key is not null")
+    by_wave = in_waves(own, "key", meetings)
+    met = written(by_wave.groupBy("id", "hub").agg(F.sum("shared").alias("shared")))
+    dropped(by_wave)
     active = met.select("id").union(met.select("hub")).distinct()
     ids = written(nodes.select("id", "first", "f1").join(active, "id"))
     tokens = written(tokens_of(docs, ids, k))
+    dropped(ids)
 
     best = met.groupBy(F.col("id").alias("a")).agg(F.max_by("hub", F.struct("shared", -F.col("hub"))).alias("b"))
     edges = written(verified(best, tokens, percent))
@@ -249,9 +264,14 @@ def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: in
     groups = written(tokens.select("id").join(components(edges), "id", "left").select("id", F.coalesce("component_id", "id").alias("group")))
 
     again = keyed.join(groups.hint("merge"), "id").select("id", "group", F.explode("keys").alias("key"))
-    split = again.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("key")
-    open_ids = written(again.join(split.hint("merge"), "key").select("id", "group").distinct())
-    dropped(keyed)
+
+    def between(rows: DataFrame) -> DataFrame:
+        split = rows.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("key")
+        return rows.join(split.hint("merge"), "key").select("id", "group").distinct()
+
+    by_wave = in_waves(again, "key", between)
+    open_ids = written(by_wave.distinct())
+    dropped(by_wave, keyed)
     asking = written(viable(open_ids, tokens, percent))
     rare = written(rare_keys(asking.join(tokens, "id"), percent))
     sizes = asking.groupBy("group").agg(F.count_if("light").alias("size"))
@@ -279,6 +299,7 @@ def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: in
     able = enough_common(F.least("common", "other_common"), F.col("n"), F.col("m"), percent) & (F.size(F.array_intersect("mine", "theirs")) >= F.least("need", "other_need"))
     opened = bounded.join(inside, (F.col("group") == F.col("g")) & (F.col("part") == F.col("p")) & able).select("a", "b")
     late = written(verified(opened, tokens, percent))
+    dropped(tokens, meets, members, asking, rare, open_ids)
 
     # nodes of one document are one
     twice = full.join(nodes, ["n", "f1", "f2"]).select("doc_id", "id")
@@ -288,5 +309,5 @@ def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: in
     least = nodes.select("id", "first").join(linked_, "id").groupBy("component_id").agg(F.min("first").alias("least"))
     joined = written(nodes.join(linked_.join(least, "component_id").select("id", "least"), "id", "left").select("n", "f1", "f2", F.coalesce("least", "first").alias("least")))
     told = full.select("doc_id", "n", "f1", "f2").join(joined, ["n", "f1", "f2"]).select("doc_id", "n", "least")
-    empty = sets.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("least"))
+    empty = sized.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("least"))
     return told.unionByName(empty).select("doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -49,5 +52,13 @@ def dropped(*tables: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def in_waves(rows: DataFrame, key: str, step: Callable[[DataFrame], DataFrame], waves: int = 4) -> DataFrame:
+    """What step makes of the rows of one part of the keys after another, at every size.
+
+    The keys are hashes, so parts are alike, and the disk holds the shuffled rows of one part only.
+    """
+    return reduce(DataFrame.unionByName, [written(step(rows.where(F.pmod(key, F.lit(waves)) == wave))) for wave in range(waves)])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
