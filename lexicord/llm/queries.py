@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: each over its whole table, with production parameters."""
+"""The registered queries of the operators: each over its whole table, with production parameters."""
 
 from __future__ import annotations
 
@@ -16,6 +16,7 @@ from lexicord.llm.ngramjoin import document_components
 from lexicord.llm.quality import quality
 from lexicord.llm.shared import table, written
 from lexicord.llm.suffixdedup import repeated_strings
+from lexicord.llm.tokencounts import token_counts
 from lexicord.llm.tokenfiles import token_files
 from lexicord.llm.toxicity import toxicity
 
@@ -100,6 +101,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_exact", "n_near", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), limit=2048)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -112,6 +117,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bpe": op8_bpe,
         "op9_quality": op9_quality,
         "op10_line_dedup": op10_line_dedup,
+        "op11_token_counts": op11_token_counts,
     }
 
 
