@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lexicord.llm.bpe import encode_documents
 from lexicord.llm import secrets
 from lexicord.llm.decontam import contaminated
+from lexicord.llm.filteraudit import filter_audit
 from lexicord.llm.linededup import line_dedup
 from lexicord.llm.neardup import near_duplicates
 from lexicord.llm.ngramjoin import document_components
@@ -47,6 +48,36 @@ FROM documents d LEFT JOIN told USING (doc_id)
 """
 
 
+# Failures as flags of each document, grouped by pattern; each step of each order asks which filters came before.
+OP12_SQL = """
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS words, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+    SELECT part, len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+        100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+        coalesce(doc_id > first, false) AS e, coalesce(good, 0) AS good, coalesce(l.toxic, 0) AS toxic
+    FROM w LEFT JOIN l USING (doc_id)),
+p AS (
+    SELECT part, concat(if(a, 'A', ''), if(b, 'B', ''), if(c, 'C', ''), if(d, 'D', ''), if(e, 'E', '')) AS fails, good, toxic, count(*) AS n
+    FROM f GROUP BY ALL),
+x(y) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT a.y || b.y || c.y || d.y || e.y AS filter_order FROM x a, x b, x c, x d, x e
+    WHERE len(list_distinct([a.y, b.y, c.y, d.y, e.y])) = 5),
+s AS (SELECT filter_order, CAST(i AS INT) AS step, filter_order[i] AS own, filter_order[1:i-1] AS prior FROM o, generate_series(1, 5) AS g(i)),
+h AS (SELECT *, contains(fails, own) AS hit, length(translate(fails, prior, '')) < length(fails) AS gone FROM p, s),
+r AS (
+    SELECT part, filter_order, step, own,
+        coalesce(sum(n) FILTER (NOT gone AND NOT hit), 0) AS kept, coalesce(sum(n) FILTER (hit AND NOT gone), 0) AS removed,
+        coalesce(sum(n) FILTER (hit AND gone), 0) AS redundant, coalesce(sum(n) FILTER (fails = own), 0) AS unique_fails,
+        coalesce(sum(n) FILTER (hit AND NOT gone AND good = 1), 0) AS good_lost, coalesce(sum(n) FILTER (hit AND NOT gone AND toxic = 1), 0) AS toxic_lost
+    FROM h GROUP BY ALL)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+    good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM r
+"""
+
+
 def tokenizer_path(name: str) -> str:
     """Place of an installed vocabulary file; pass another path to the operators to use another."""
     import public_tokenizers
@@ -105,6 +136,10 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), limit=2048)
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -118,8 +153,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality": op9_quality,
         "op10_line_dedup": op10_line_dedup,
         "op11_token_counts": op11_token_counts,
+        "op12_filter_audit": op12_filter_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_secrets": OP5_SQL}
+    return {"op5_secrets": OP5_SQL, "op12_filter_audit": OP12_SQL}
