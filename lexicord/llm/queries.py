@@ -15,6 +15,7 @@ from lexicord.llm.linededup import line_dedup
 from lexicord.llm.neardup import near_duplicates
 from lexicord.llm.ngramjoin import document_components
 from lexicord.llm.quality import quality
+from lexicord.llm.repair import structure_repair
 from lexicord.llm.shared import table, written
 from lexicord.llm.suffixdedup import repeated_strings
 from lexicord.llm.tokencounts import token_counts
@@ -140,6 +141,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -154,6 +159,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_line_dedup": op10_line_dedup,
         "op11_token_counts": op11_token_counts,
         "op12_filter_audit": op12_filter_audit,
+        "op13_structure_repair": op13_structure_repair,
     }
 
 
