@@ -63,8 +63,9 @@ def record_id(law: Column, article: Column, paragraph: Column) -> Column:
 
 
 def article_order(article: Column) -> list[Column]:
-    """Sort keys: the number, then the text, so 17 < 17Α < 18."""
-    return [F.coalesce(F.try_to_number(F.nullif(F.regexp_replace(article, "[^0-9]", ""), F.lit("")), F.lit("999999999")).cast("int"), F.lit(0)), article]
+    """Sort keys: the number of up to 38 digits, 0 without any, then the text, so 17 < 17Α < 18."""
+    digits = F.nullif(F.regexp_replace(article, "[^0-9]", ""), F.lit(""))
+    return [F.coalesce(digits.try_cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)")), article]
 
 
 def section_name(number: Column, title: Column) -> Column:

@@ -116,3 +116,20 @@ CONTAINERS = ("#PP4Contents", ".eli-main-content", "#docHtml", "article", "main"
 LEAST_WORDS = 40
 CROSSING_SHARE = 0.02
 GUTTER_PERCENTS = (35, 65)
+
+# What a run says of a law's sources.
+SAYS_NO_FILE = "το αρχείο %s δεν υπάρχει"
+SAYS_SCANNED = "το PDF δεν έχει επίπεδο κειμένου (σαρωμένο). Χρειάζεται OCR."
+SAYS_BLANK = "δεν εξήχθη καθόλου κείμενο από %s (%d bytes, %s)"
+SAYS_UNKNOWN_TYPE = "άγνωστος τύπος"
+SAYS_NO_ARTICLES = "δεν εντοπίστηκε κανένα άρθρο. Πιθανή αιτία: αλλαγή διάταξης στην πηγή ή λάθος URL."
+SAYS_NO_SOURCE = "%s: καμία διαθέσιμη πηγή"
+SAYS_ONE_FAILED = "%s: %s"
+SAYS_ALL_FAILED = "%s: καμία από τις %d πηγές δεν απέδωσε κείμενο — %s"
+SAYS_LOCAL_COPY = "το et.gr δεν απάντησε — το κείμενο προέρχεται από το αντίγραφο ΦΕΚ του repository (%s), που είναι το ίδιο έγγραφο"
+SAYS_OTHER_SOURCE = "η προτιμώμενη πηγή απέτυχε — το κείμενο προέρχεται από %s (%s)"
+SAYS_UNVERIFIED = "τα στοιχεία ΦΕΚ δεν εντοπίστηκαν στην αρχή του κειμένου — ελέγξτε το pdf_id στο registry.yaml"
+SAYS_REPEATED = "η πηγή γράφει δύο φορές τα άρθρα %s — κρατήθηκε η πρώτη γραφή"
+SAYS_NO_SUPPLEMENT = "το συμπλήρωμα %s δεν διαβάστηκε: %s"
+SAYS_SUPPLEMENTED = "άρθρα από συμπλήρωμα, όχι από την κύρια πηγή: %s"
+LOCAL_COPY = "topiko_fek"

@@ -41,12 +41,19 @@ def first_success(attempts: DataFrame, key: str, order: str, ok: Column) -> Data
     return told.select(key, "winner", F.filter("failed", lambda x: F.col("winner").isNull() | (x < F.col("winner"))).alias("failures"))
 
 
+def supplements(laws: DataFrame) -> DataFrame:
+    """(id, file, url): supplements of each law, in file order."""
+    rows = laws.select("id", F.posexplode("piges").alias("file", "s")).where(F.col("s.typos") == rules.SUPPLEMENT)
+    return rows.select("id", "file", F.col("s.url").alias("url"))
+
+
 def waves(ranked: DataFrame, extract: Callable[[DataFrame], DataFrame], most: int | None = None) -> DataFrame:
     """Try sources rank by rank: wave n takes the n-th source of laws without success yet.
 
-    extract adds `text` and `error` to its rows.  A lower source of a law whose
-    higher source worked is never asked.  The result has a row for each try; all
-    sources are tried unless `most` bounds the tries.
+    extract adds `text` and `error` to its rows; a row without error is a success.
+    A lower source of a law whose higher source worked is never asked.  The result
+    has a row for each try; all sources are tried unless `most` bounds the tries.
+    plans.pipelines.settled() judges sources by their articles.
     """
     from lexicord.sources.tables import checkpointed
 
@@ -60,10 +67,13 @@ def waves(ranked: DataFrame, extract: Callable[[DataFrame], DataFrame], most: in
 
 
 def warnings(tried: DataFrame) -> DataFrame:
-    """(id, url, proeidopoiiseis): the source that worked, and what failed before, the fallback notice first."""
-    told = tried.groupBy("id").agg(F.min_by(F.when(F.col("error").isNull(), F.col("url")), F.when(F.col("error").isNull(), F.col("nth"))).alias("url"), F.transform(F.array_sort(F.collect_list(F.when(F.col("error").isNotNull(), F.struct("nth", "source_type", "error")))), lambda x: F.concat(x["source_type"], F.lit(": "), x["error"])).alias("failed"))
-    notice = F.when(F.col("url").isNotNull() & (F.size("failed") > 0), F.array(F.lit("χρησιμοποιήθηκε εναλλακτική πηγή"))).otherwise(F.array().cast("array<string>"))
-    return told.select("id", "url", F.concat(notice, "failed").alias("proeidopoiiseis"))
+    """(id, url, proeidopoiiseis): the source that worked, and what failed before, the notice of another source first."""
+    good = F.col("error").isNull()
+    won = F.min_by(F.when(good, F.struct("nth", "source_type", "url")), F.when(good, F.col("nth")))
+    told = tried.groupBy("id").agg(won.alias("won"), F.transform(F.array_sort(F.collect_list(F.when(~good, F.struct("nth", "source_type", "error")))), lambda x: F.concat(x["source_type"], F.lit(": "), x["error"])).alias("failed"))
+    other = F.when(F.col("won.source_type") == rules.LOCAL_COPY, F.format_string(rules.SAYS_LOCAL_COPY, "won.url")).otherwise(F.format_string(rules.SAYS_OTHER_SOURCE, "won.source_type", "won.url"))
+    notice = F.when(F.col("won").isNotNull() & (F.size("failed") > 0), F.array(other)).otherwise(F.array().cast("array<string>"))
+    return told.select("id", F.col("won.url").alias("url"), F.concat(notice, "failed").alias("proeidopoiiseis"))
 
 
 def http_outcome(status: Column, size: Column, cached: Column, error: Column) -> Column:

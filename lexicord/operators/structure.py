@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lexicord.functions import rules
+from lexicord.functions.names import article_order
 from lexicord.functions.text import one_line, strip
 
 MARK, FIELD = "\u0001", "\u0002"
@@ -97,9 +98,10 @@ def articles(laws: DataFrame, law: str = "law", text: str = "text") -> DataFrame
 
 
 def first_articles(rows: DataFrame) -> DataFrame:
-    """The first article of each number in each law."""
-    order = Window.partitionBy("law", "arthro").orderBy("pos")
-    return rows.withColumn("nth", F.row_number().over(order)).where("nth = 1").drop("nth")
+    """The first article of each number in each law, by aggregation, which combines before the shuffle."""
+    others = [c for c in rows.columns if c not in ("law", "arthro")]
+    told = rows.groupBy("law", "arthro").agg(F.min_by(F.struct(*others), "pos").alias("r"))
+    return told.select(*[c if c in ("law", "arthro") else F.col(f"r.{c}").alias(c) for c in rows.columns])
 
 
 def repeated_articles(rows: DataFrame) -> DataFrame:
@@ -115,7 +117,27 @@ def relevant_articles(rows: DataFrame, wanted: Column) -> DataFrame:
     return rows.where(F.coalesce(F.size(wanted), F.lit(0)).isin(0, -1) | F.array_contains(F.transform(wanted, lambda x: x.cast("string")), bare))
 
 
+def missing_articles(main: DataFrame, extra: DataFrame) -> DataFrame:
+    """Articles of supplements (extra has `file`, its rank) whose numbers the law lacks, for laws that have articles at all.
+
+    A number belongs to the first file that has it; what that file has of it
+    stays, repeats included.  Files are folded by one minimum for each number.
+    """
+    owner = extra.groupBy("law", "arthro").agg(F.min("file").alias("file"))
+    owner = owner.join(main.select("law").distinct(), "law", "left_semi").join(main.select("law", "arthro").distinct(), ["law", "arthro"], "left_anti")
+    return extra.join(owner, ["law", "arthro", "file"], "left_semi")
+
+
 def with_supplements(main: DataFrame, extra: DataFrame) -> DataFrame:
-    """Main articles, and those of the supplement whose numbers the law lacks, for laws that have articles at all."""
-    missing = extra.join(main.select("law", "arthro").distinct(), ["law", "arthro"], "left_anti").join(main.select("law").distinct(), "law", "left_semi")
-    return main.unionByName(missing.select(*main.columns))
+    """Main articles and what supplements add, with `pos` counted anew and `file` (null for main ones).
+
+    A law with additions is ordered by number and text of its articles' numbers,
+    equal ones by file and place; others keep their order.
+    """
+    added = missing_articles(main, extra)
+    both = main.withColumn("file", F.lit(None).cast(extra.schema["file"].dataType)).unionByName(added.select(*main.columns, "file"))
+    law = Window.partitionBy("law")
+    number, text = article_order(F.col("arthro"))
+    rows = both.withColumn("sorted", F.max(F.col("file").isNotNull()).over(law))
+    order = law.orderBy(F.when(F.col("sorted"), number), F.when(F.col("sorted"), text), F.col("file").asc_nulls_first(), "pos")
+    return rows.withColumn("pos", (F.row_number().over(order) - 1).cast(main.schema["pos"].dataType)).drop("sorted")

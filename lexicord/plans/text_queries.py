@@ -104,15 +104,23 @@ RELEVANT = NUMBERED_SQL + "SELECT law, pos, arthro || CASE WHEN pos % 4 = 0 THEN
 
 
 def supplement_fill(spark, sf_dir):
-    rows = numbered_lines(spark, sf_dir).select("law", "pos", "arthro")
-    main, extra = rows.where("pos % 2 = 1 and law % 10 != 0"), rows.where("pos % 2 = 0")
-    return structure.with_supplements(main, extra).select("law", F.col("pos").cast("long").alias("pos"), "arthro")
+    """Laws with two supplement files; every fourth number has a letter, every tenth law has no articles of its own, every third no first file."""
+    rows = numbered_lines(spark, sf_dir).select("law", "pos", F.concat("arthro", F.when(F.col("pos") % 4 == 0, "Α").otherwise("")).alias("arthro"))
+    main = structure.first_articles(rows.where("pos % 3 = 1 and law % 10 != 0").select("law", "pos", "arthro"))
+    extra = rows.where("pos % 3 = 2 and law % 3 != 0").withColumn("file", F.lit(1)).unionByName(rows.where("pos % 3 = 0").withColumn("file", F.lit(2)))
+    filled = structure.with_supplements(main, extra)
+    return filled.select("law", F.col("pos").cast("long").alias("seq"), "arthro", F.col("file").cast("long").alias("file"))
 
 
+# One file after another: what the law or an earlier file has is not taken again, repeats within a file are.
 SUPPLEMENT = NUMBERED_SQL + """
-, main AS (SELECT * FROM arts WHERE pos % 2 = 1 AND law % 10 != 0)
-SELECT law, pos, arthro FROM main
-UNION ALL SELECT law, pos, arthro FROM arts a WHERE pos % 2 = 0 AND EXISTS (FROM main m WHERE m.law = a.law) AND NOT EXISTS (FROM main m WHERE m.law = a.law AND m.arthro = a.arthro)
+, r AS (SELECT law, pos, arthro || CASE WHEN pos % 4 = 0 THEN 'Α' ELSE '' END AS arthro FROM arts),
+main AS (SELECT law, min(pos) AS pos, arthro FROM r WHERE pos % 3 = 1 AND law % 10 != 0 GROUP BY law, arthro),
+one AS (SELECT * FROM r a WHERE pos % 3 = 2 AND law % 3 != 0 AND law IN (SELECT law FROM main) AND NOT EXISTS (FROM main m WHERE m.law = a.law AND m.arthro = a.arthro)),
+two AS (SELECT * FROM r a WHERE pos % 3 = 0 AND law IN (SELECT law FROM main) AND NOT EXISTS (FROM main m WHERE m.law = a.law AND m.arthro = a.arthro) AND NOT EXISTS (FROM one m WHERE m.law = a.law AND m.arthro = a.arthro)),
+every AS (SELECT law, pos, arthro, NULL::BIGINT AS file FROM main UNION ALL SELECT law, pos, arthro, 1 FROM one UNION ALL SELECT law, pos, arthro, 2 FROM two),
+f AS (SELECT *, law IN (SELECT law FROM one UNION ALL SELECT law FROM two) AS added FROM every)
+SELECT law, row_number() OVER (PARTITION BY law ORDER BY CASE WHEN added THEN CAST(rtrim(arthro, 'Α') AS INT) END, CASE WHEN added THEN arthro END, coalesce(file, 0), pos) - 1 AS seq, arthro, file FROM f
 """
 
 

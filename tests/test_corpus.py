@@ -3,6 +3,7 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
+from lexicord.functions import names, rules
 from lexicord.operators import changes, fallback, links, pages, records, registry, structure
 from lexicord.plans import pipelines
 from lexicord.sources import extract, tables
@@ -60,7 +61,7 @@ def test_duplicates_supplements_relevance(spark):
     first = structure.first_articles(rows)
     assert sorted(r.arthro for r in first.collect()) == ["1", "17", "2Α"]
     extra = structure.articles(spark.createDataFrame([("l", "Άρθρο 1\nκάτι\nΆρθρο 99\nάλλο"), ("other", "Άρθρο 5\nεδώ")], "law string, text string"))
-    assert sorted(r.arthro for r in structure.with_supplements(first, extra).collect()) == ["1", "17", "2Α", "99"]
+    assert [r.arthro for r in structure.with_supplements(first, extra.withColumn("file", F.lit(0))).orderBy("pos").collect()] == ["1", "2Α", "17", "99"]
     kept = structure.relevant_articles(first, F.array(F.lit(2)))
     assert [r.arthro for r in kept.collect()] == ["2Α"]
     assert structure.relevant_articles(first, F.lit(None).cast("array<int>")).count() == 3
@@ -99,7 +100,7 @@ def test_fallback_waves_ask_no_more_than_needed(spark, laws):
 
     tried = fallback.waves(fallback.ranked_sources(laws), get, 8)
     assert asked == ["u1", "u2"]
-    assert fallback.warnings(tried).collect()[0].proeidopoiiseis == ["χρησιμοποιήθηκε εναλλακτική πηγή", "fek_pdf: dead"]
+    assert fallback.warnings(tried).collect()[0].proeidopoiiseis == [rules.SAYS_LOCAL_COPY % "u2", "fek_pdf: dead"]
 
 
 def test_build_and_export(spark, laws):
@@ -255,3 +256,89 @@ def test_streaming_merge(spark, tmp_path):
     go([("a", "1", 1), ("b", "2", 1)])
     go([("a", "9", 2), ("a", "1", 1), ("c", "3", 2)])
     assert seen == [{("a", changes.NEW), ("b", changes.NEW)}, {("a", changes.MODIFIED), ("c", changes.NEW)}]
+
+
+def page(*articles, top=""):
+    return f"<html><body><main><p>{top}</p>" + "".join(f"<h2>Άρθρο {a}</h2><p>Τίτλος {a}</p><p>1. Κείμενο {a}.</p>" for a in articles) + "</main></body></html>"
+
+
+def built_of(spark, sources, files, wanted=(), fek=False):
+    """A run for one law with these (type, url) sources and {url: content} files."""
+    fek_type = "struct<teuxos:string,arithmos:int,imerominia:date>"
+    law = spark.createDataFrame([("l", "nomos", list(wanted), sources)], "id string, typos string, relevanta_arthra array<int>, piges array<struct<typos:string,url:string>>")
+    law = law.withColumn("fek", F.from_json(F.lit('{"teuxos":"A","arithmos":7654321,"imerominia":"1911-06-13"}'), fek_type) if fek else F.lit(None).cast(fek_type))
+    rows = spark.createDataFrame([(u, c.encode() if isinstance(c, str) else c, "text/html") for u, c in files.items()], "url string, content binary, content_type string")
+    out = pipelines.built(law, rows)
+    told = out.told.collect()
+    assert len(told) == 1
+    return [(r.arthro, r.pos) for r in out.articles.orderBy("pos").collect()], [r.asDict() for r in out.manifest.collect()], told[0], out
+
+
+@pytest.mark.parametrize(
+    ("first", "message"),
+    [
+        ("<html><body> </body></html>", "fek"),
+        (None, "fek"),
+        ("<html><body><p>Κείμενο χωρίς δομή</p></body></html>", "fek"),
+        (page(5, 6), "fek"),
+        (b"\xd0\xcf\x11\xe0xx", "fek"),
+        (b"%PDF-1.4 broken", "fek"),
+    ],
+)
+def test_a_source_without_wanted_articles_falls_through(spark, first, message):
+    files = {"u2": page(1, 2)} | ({"u1": first} if first is not None else {})
+    articles, manifest, told, _ = built_of(spark, [("kodikopoiimeno_html", "u2"), ("fek_pdf", "u1")], files, wanted=(1, 2))
+    assert articles == [("1", 0), ("2", 1)] and manifest[0]["pigi_url"] == "u2" and told.error is None
+    assert told.proeidopoiiseis == [rules.SAYS_OTHER_SOURCE % ("kodikopoiimeno_html", "u2")]
+    assert manifest[0]["checksum_pigis"] and manifest[0]["plithos_paragrafon"] == 2
+
+
+def test_local_copy_and_gazette_notices(spark):
+    _, manifest, told, _ = built_of(spark, [("fek_pdf", "u1"), ("topiko_fek", "u2")], {"u2": page(1, 1)}, fek=True)
+    assert told.proeidopoiiseis == [rules.SAYS_LOCAL_COPY % "u2", rules.SAYS_UNVERIFIED, rules.SAYS_REPEATED % "1"] and not manifest[0]["epalithevmeno_fek"]
+    _, manifest, told, _ = built_of(spark, [("fek_pdf", "u1")], {"u1": page(1, top="Τεύχος Α΄7654321/13.06.1911")}, fek=True)
+    assert told.proeidopoiiseis == [] and manifest[0]["epalithevmeno_fek"]
+
+
+def test_all_sources_failed(spark):
+    blank = "<html><body></body></html>"
+    articles, manifest, told, _ = built_of(spark, [("fek_pdf", "u1"), ("topiko_fek", "u2")], {"u1": blank}, wanted=(1,))
+    size = rules.SAYS_BLANK % ("u1", len(blank), "text/html")
+    assert not articles and not manifest and told.error == rules.SAYS_ALL_FAILED % ("l", 2, f"fek_pdf: {size}; topiko_fek: {rules.SAYS_NO_FILE % 'u2'}")
+    assert built_of(spark, [("fek_pdf", "u1")], {"u1": blank})[2].error == f"l: {size}"
+    assert built_of(spark, [("sympliroma", "s")], {"s": "Άρθρο 1\nα"})[2].error == rules.SAYS_NO_SOURCE % "l"
+
+
+def test_supplements_fill_in_order(spark):
+    sources = [("sympliroma", "s1"), ("fek_pdf", "u1"), ("sympliroma", "s2"), ("sympliroma", "s3")]
+    files = {"u1": page(1, 5, 6), "s1": "ΜΕΡΟΣ Α\nΤίτλος\nΆρθρο 2\nένα\nΆρθρο 99\nδύο\nΆρθρο 99\nτρία\nΆρθρο 5\nάλλο", "s2": "Άρθρο 99\nόχι\nΆρθρο 17Α\nναι\nΆρθρο 17\nναι".encode() + b"\n\xff"}
+    articles, manifest, told, out = built_of(spark, sources, files)
+    assert [a for a, _ in articles] == ["1", "2", "5", "6", "17", "17Α", "99", "99"] and [p for _, p in articles] == list(range(8))
+    assert told.proeidopoiiseis == [rules.SAYS_NO_SUPPLEMENT % ("s3", rules.SAYS_NO_FILE % "s3"), rules.SAYS_SUPPLEMENTED % "2, 99, 99, 17Α, 17"]
+    assert manifest[0]["plithos_arthron"] == 8
+    parts = {(r.arthro, r.file): r.meros for r in out.articles.collect()}
+    assert parts["2", 0] == "Α" and parts["17", 2] is None  # a Part ends with its file
+    document = records.markdown(out.articles).collect()[0].document
+    assert [line.split()[2] for line in document.split("\n") if line.startswith("####")] == ["1", "2", "5", "6", "17", "17Α", "99", "99"]
+
+
+def test_a_law_without_additions_keeps_its_order(spark):
+    articles, *_ = built_of(spark, [("fek_pdf", "u1"), ("sympliroma", "s1")], {"u1": page(9, 3, 12), "s1": "Άρθρο 3\nάλλο"})
+    assert articles == [("9", 0), ("3", 1), ("12", 2)]
+
+
+def test_refreshed_keeps_whole_entries(spark):
+    _, _, _, out = built_of(spark, [("fek_pdf", "u1")], {"u1": page(1)})
+    old = spark.createDataFrame([("l", "old", "text", 3, 4, "u0", True), ("m", "c", "d", 1, 1, "um", False)], f"id string, {tables.ENTRY}")
+    merged, changed = pipelines.refreshed(old, out.manifest)
+    rows = {r.id: r for r in merged.collect()}
+    assert rows["l"].pigi_url == "u1" and len(rows["l"].checksum_pigis) == 64 and rows["m"].pigi_url == "um" and rows["m"].checksum_pigis == "c"
+    assert [(r.id, r.kind) for r in changed.collect()] == [("l", changes.MODIFIED)]
+    # entries without these columns do not cost others theirs
+    merged, _ = pipelines.refreshed(old, out.manifest.drop("pigi_url", "checksum_pigis"))
+    assert {r.id: r.pigi_url for r in merged.collect()} == {"l": None, "m": "um"}
+
+
+def test_article_order_of_long_numbers(spark):
+    rows = spark.createDataFrame([("17Α",), ("9",), ("12345678901234",), ("Α",), ("17",)], "a string")
+    assert [r.a for r in rows.orderBy(*names.article_order(F.col("a"))).collect()] == ["Α", "9", "17", "17Α", "12345678901234"]
