@@ -216,10 +216,34 @@ def page_links(spark, sf_dir):
     return rows.select("page_id", F.col("pos").cast("long").alias("pos"), "text", "url")
 
 
+def hard_page_links(spark, sf_dir):
+    """Pages with comments, raw elements, nested anchors, odd entities and addresses put around their own text."""
+    pages = table(spark, sf_dir, "pages")
+    k = F.col("page_id").cast("string")
+    html = F.concat(
+        F.lit("<!-- <a href='c"), k, F.lit("'>no</a> --><script>\"<a href=s>no</a>\"</script><A CLASS='x>y' HREF='//h/a//b/../c"), k, F.lit("#'>&#1114112;&#38;lt;&copy;</A>"),
+        F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("<a href=n"), k, F.lit(">out <i>er<a href='?p=1&amp;q=&#x41;&copy=2'>in&#128;ner</i></a>"))).otherwise(""),
+        F.lit("<a name=z>none</a><title><a href=t>no</a></title>"), "html",
+    )
+    rows = links.links(pages.withColumn("html", html))
+    return rows.select("page_id", F.col("pos").cast("long").alias("pos"), "text", "url")
+
+
 def keyword_links(spark, sf_dir):
     return links.with_keywords(links.links(table(spark, sf_dir, "pages")), "THE, que,").groupBy("url").agg(F.count("*").alias("pages"))
 
 
+# The put-in anchors stand before the page's own, whose places move; an address keeps its first place.
+HARD = LINKS_SQL + """
+, own AS (SELECT page_id, pos + CASE WHEN page_id % 2 = 0 THEN 4 ELSE 2 END AS pos, text, url FROM links),
+put AS (
+    SELECT page_id, 0 AS pos, chr(65533) || '&lt;©' AS text, regexp_extract(url, '^[a-z]+:') || '//h/a//b/../c' || page_id AS url FROM pages
+    UNION ALL SELECT page_id, 1, 'out er', regexp_extract(url, '^[a-z]+://[^/?#]*') || regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '[^/]*$', '') || 'n' || page_id FROM pages WHERE page_id % 2 = 0
+    UNION ALL SELECT page_id, 2, 'in€ner', regexp_extract(url, '^[^?#]*') || '?p=1&q=A&copy=2' FROM pages WHERE page_id % 2 = 0),
+every AS (SELECT * FROM own UNION ALL SELECT * FROM put)
+SELECT page_id, min(pos) AS pos, arg_min(text, pos) AS text, url FROM every GROUP BY page_id, url
+"""
+
 KEYWORDS = LINKS_SQL + "SELECT url, count(*) AS pages FROM links WHERE contains(lower(url), 'the') OR contains(lower(text), 'the') OR contains(lower(url), 'que') OR contains(lower(text), 'que') GROUP BY url"
 
 
@@ -263,7 +287,7 @@ def paged_urls(spark, sf_dir):
     return links.paged_urls(table(spark, sf_dir, "pages").select("page_id", "url"), "url", 3).select("page_id", F.col("page").cast("long").alias("page"), "url")
 
 
-PAGED = "SELECT page_id, p AS page, CASE WHEN p = 1 THEN url ELSE url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'page=' || p END AS url FROM pages, generate_series(1, 3) AS t(p)"
+PAGED = "SELECT page_id, p AS page, CASE WHEN p = 1 THEN url ELSE rtrim(url, '/') || '/?page=' || p END AS url FROM pages, generate_series(1, 3) AS t(p)"
 
 
 def conditional_requests(spark, sf_dir):
@@ -353,6 +377,7 @@ QUERIES = {
     "registry_report": (registry_report, REPORT),
     "laws_by_priority": (laws_by_priority, BY_PRIORITY),
     "page_links": (page_links, LINKS_SQL + "SELECT page_id, pos, text, url FROM links"),
+    "hard_page_links": (hard_page_links, HARD),
     "keyword_links": (keyword_links, KEYWORDS),
     "top_links": (top_links, TOP),
     "unknown_links": (unknown_links, UNKNOWN),

@@ -82,7 +82,9 @@ def ole_streams(data: bytes) -> dict[str, bytes]:
     def at(k: int) -> bytes:
         return data[sector * (k + 1) : sector * (k + 2)]
 
-    while next_difat < 0xFFFFFFFA:
+    seen_difat = set()
+    while next_difat < 0xFFFFFFFA and next_difat not in seen_difat:
+        seen_difat.add(next_difat)
         more = struct.unpack(f"<{sector // 4}I", at(next_difat))
         fat_sectors += more[:-1]
         next_difat = more[-1]

@@ -29,7 +29,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """The rows from the shared checkpoint folder; lineage ends there."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-shared-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or "file://" + tempfile.mkdtemp(prefix="spark-shared-"))
     return df.checkpoint()
 
 

@@ -342,3 +342,55 @@ def test_refreshed_keeps_whole_entries(spark):
 def test_article_order_of_long_numbers(spark):
     rows = spark.createDataFrame([("17Α",), ("9",), ("12345678901234",), ("Α",), ("17",)], "a string")
     assert [r.a for r in rows.orderBy(*names.article_order(F.col("a"))).collect()] == ["Α", "9", "17", "17Α", "12345678901234"]
+
+
+def anchors(spark, html, base="http://h/d/p.html"):
+    return [(r.text, r.url) for r in links.links(spark.createDataFrame([(1, base, html)], "page_id long, url string, html string")).orderBy("pos").collect()]
+
+
+def test_anchors_of_hard_pages(spark):
+    assert anchors(spark, "<!-- <a href=c>no</a> --><script>'<a href=s>no</a>'</script><style><a href=t></style><A HREF=one>One</A>") == [("One", "http://h/d/one")]
+    assert anchors(spark, "<a href='1'>one <b>bold<a href=\"2\">two</b></a> after") == [("one bold", "http://h/d/1"), ("two", "http://h/d/2")]
+    assert anchors(spark, "<a name=x>none</a><a>none</a><a href>none</a><a href=''>none</a><a data-href=3 title='a href=4 > b' href=5>five") == [("five", "http://h/d/5")]
+    assert anchors(spark, "<a href=1>x<!-- <a href=2> -->y</a><abbr href=3>z</abbr><a/href=4>four</a><script>open <a href=5>") == [("xy", "http://h/d/1"), ("four", "http://h/d/4")]
+    assert anchors(spark, "<a href='?a=1&copy=2&amp;b=&lt;'>q</a>") == [("q", "http://h/d/p.html?a=1&copy=2&b=<")]
+    assert anchors(spark, "<a href=1>a < b &#1114112;&#xFFFFFF;&#38;lt;&#128;&Eacute;</a><a href=1>again</a>") == [("a < b ��&lt;€É", "http://h/d/1")]
+    assert anchors(spark, "<a href=x") == [] and anchors(spark, "") == [] and anchors(spark, "<a href=1>\u0001t\u0003u</a>") == [("tu", "http://h/d/1")]
+
+
+def test_no_page_ends_the_job(spark):
+    long_tag = "<a " + "x='y' " * 20_000 + "href=1>one</a><a href=2>two</a>"
+    assert ("two", "http://h/d/2") in anchors(spark, long_tag)
+    assert anchors(spark, "<a href='" + "q" * 300_000 + "'>" + "&amp;" * 50_000 + "</a>")[0][0] == "&" * 50_000
+    assert anchors(spark, "<" * 100_000 + "<!--" * 1000 + "'\"" * 50_000) == []
+
+
+def test_addresses_and_entities_equal_the_standard_library(spark):
+    import html
+    import random
+    from urllib.parse import urljoin
+
+    rng = random.Random(1)
+    bases = ["http://h/a/d/p.html", "http://h", "http://h/", "https://h:8/a//b/?q=1#f", "http://h/x/..", "http://h?x", "HTTP://H/a/b"]
+    bits = ["/", "..", ".", "a", "b?", "?", "#", "//", "x=1", "http:", "https://k/", "c/", "&", "%20", "h"]
+    rows = [(rng.choice(bases), "".join(rng.choice(bits) for _ in range(rng.randint(1, 6)))) for _ in range(600)]
+    df = spark.createDataFrame(rows, "base string, href string")
+    assert [r.u for r in df.select(links.absolute(F.col("href"), F.col("base")).alias("u")).collect()] == [urljoin(b, h) for b, h in rows]
+    bits = ["&#1114112;", "&#38;lt;", "&#128;", "&#129;", "&Eacute;", "&copy", "&copy=1", "&amp;lt;", "&#0;", "&#xD800;", "&nosuch;", "&", "&#;", "&#x;", "a", "é", "&notit;", "&#00065", "&NotEqualTilde;", "&#99999999999999999999;", " "]
+    texts = [("".join(rng.choice(bits) for _ in range(rng.randint(1, 5))),) for _ in range(600)]
+    got = spark.createDataFrame(texts, "t string").select("t", links.unescaped(F.col("t")).alias("u")).collect()
+    assert [r.u for r in got] == [html.unescape(t) for t, in texts]
+
+
+def test_pages_of_a_list(spark):
+    rows = links.paged_urls(spark.createDataFrame([("http://h/list",), ("http://h/l//",)], "url string"), "url", 2)
+    assert sorted(r.url for r in rows.collect()) == ["http://h/l//", "http://h/l/?page=2", "http://h/list", "http://h/list/?page=2"]
+    assert links.paged_urls(rows.select("url").limit(1), "url", 0).count() == 1
+
+
+def test_a_compound_file_that_points_to_itself_ends():
+    body = bytearray(bytes.fromhex("d0cf11e0a1b11ae1") + bytes(504) + bytes(1024))
+    body[30:34] = struct.pack("<HH", 9, 6)
+    body[68:72] = struct.pack("<I", 0)  # the list of further sectors is sector 0,
+    body[512 + 508 : 512 + 512] = struct.pack("<I", 0)  # which names itself as its next
+    assert extract.file_text(bytes(body))[1]
