@@ -19,6 +19,7 @@ import heapq
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -168,12 +169,40 @@ def chunk_starts(body: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut[:-1])
 
 
+#: A character of each class that takes part in no contraction.
+STAND_INS = {"letter": "a", "number": "1", "space": "\u00a0", "mark": "!"}
+
+
+@lru_cache(maxsize=8)
+def odd_characters(path: str) -> dict[int, str]:
+    """Characters that the tokenizers library and `regex` class differently (their Unicode tables have other ages), each with a stand-in of the library's class.
+
+    The library cuts a text of all code points beyond ASCII, in order, into runs of
+    one class, and tells the class of each run by what its first character joins.
+    """
+    from tokenizers import Tokenizer
+
+    cut = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+    every = "".join(map(chr, (*range(0x80, 0xD800), *range(0xE000, 0x110000))))
+    here = np.empty(len(every), "U6")
+    for m in regex.compile(r"(\p{L}+)|(\p{N}+)|(\s+)|[^\s\p{L}\p{N}]+").finditer(every):
+        here[m.start() : m.end()] = ("mark", "letter", "number", "space")[m.lastindex or 0]
+    odd = {}
+    for _, (first, last) in cut(every):
+        joins = [k for k in ("letter", "number", "mark") if len(cut(STAND_INS[k] + every[first])) == 1]
+        kind = joins[0] if joins else "space"
+        odd |= {ord(every[first + i]): STAND_INS[kind] for i in np.flatnonzero(here[first:last] != kind).tolist()}
+    return odd
+
+
 class Encoder:
     """Encodes texts with one vocabulary; the ids of chunks lie in flat arrays, sorted by the chunks' hashes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, odd: dict[int, str]):
         self.v = Vocabulary.read(path)
-        self.cut = regex.compile(PRE_TOKENS)
+        self.pattern = regex.compile(PRE_TOKENS)
+        self.odd = odd
+        self.newest = chr(min(odd)) if odd else chr(0x10FFFF)
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.v.specials, key=len, reverse=True))) + ")") if self.v.specials else None
         self.sizes = np.array([len(t) for t in self.v.token_bytes], np.int64)
         self.token_starts = np.append(0, np.cumsum(self.sizes))
@@ -183,13 +212,19 @@ class Encoder:
     def forget(self) -> None:
         self.hashes, self.firsts, self.counts, self.ids = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.uint32)
 
+    def cut(self, text: str) -> list[str]:
+        """Pre-tokens, with the library's classes of characters."""
+        if text.isascii() or max(text) < self.newest:
+            return self.pattern.findall(text)
+        return [text[m.start() : m.end()] for m in self.pattern.finditer(text.translate(self.odd))]
+
     def pre_tokens(self, text: str) -> list[str]:
         """Special tokens' strings stay whole."""
         if not self.special or not self.special.search(text):
-            return self.cut.findall(text)
+            return self.cut(text)
         out = []
         for k, part in enumerate(self.special.split(text)):
-            out += [part] if k % 2 else self.cut.findall(part)
+            out += [part] if k % 2 else self.cut(part)
         return out
 
     def learn(self, chunks: list[bytes], hashes: np.ndarray) -> None:
@@ -254,10 +289,10 @@ def gathered(firsts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, odd: dict[int, str]) -> Encoder:
     """One for each worker process."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, odd)
     return _encoders[path]
 
 
@@ -267,9 +302,10 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
     The map stays in the tasks that read the texts; nothing is shuffled.  What a
     worker remembers goes with its task.
     """
+    odd = odd_characters(vocabulary)  # a few ten thousand at most, whatever the texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(vocabulary)
+        coder = encoder(vocabulary, odd)
         for batch, body, starts in pieces(batches, most=PIECE):
             ids, firsts = coder.encode(body, starts)
             rows = pa.Array.from_buffers(pa.large_binary(), batch.num_rows, [None, pa.py_buffer((firsts * 4).tobytes()), pa.py_buffer(ids.astype("<u4").tobytes())])

@@ -177,14 +177,20 @@ def longest_common(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, step: int = 16, rank: int = 128, cosine: float = 0.4, share: float = 0.4, common: float = 0.03, sure: float = 0.8, likely: float = 0.6, answer: float = 0.6, block: int = 50_000) -> DataFrame:
-    """(doc_id, item_id, cosine, lcs, answer): each document and item that contaminates it, with the best figures."""
+def contaminated(docs: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:
+    """(doc_id, item_id, cosine, lcs, answer): each document and item that contaminates it, with the best figures; rows without id are one document."""
+    rows = contaminated_rows(docs, benchmark, **limits)
+    return rows.groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in ("cosine", "lcs", "answer")])
+
+
+def contaminated_rows(docs: DataFrame, benchmark: DataFrame, step: int = 16, rank: int = 128, cosine: float = 0.4, share: float = 0.4, common: float = 0.03, sure: float = 0.8, likely: float = 0.6, answer: float = 0.6, block: int = 50_000) -> DataFrame:
+    """(doc_id, tie, item_id, cosine, lcs, answer) of each contaminated text; `tie` is its hash, so rows of one id, or of none, are told apart."""
     spark = docs.sparkSession
     asked = written(items(benchmark))
     wanted = np.zeros(1 << BITS, bool)
     bits = asked.select(F.explode("words").alias("w")).select(F.shiftrightunsigned("w", 64 - BITS).cast("int").alias("b")).distinct().toPandas()["b"]  # 2**18 at most
     wanted[bits] = True
-    empty = spark.createDataFrame([], "doc_id long, item_id long, cosine double, lcs double, answer double")
+    empty = spark.createDataFrame([], "doc_id long, tie long, item_id long, cosine double, lcs double, answer double")
     if not wanted.any():
         return empty
     frequency, n_docs = document_frequencies(docs, wanted)
@@ -279,9 +285,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, step: int = 16, rank: in
                     continue
                 at, hit, score = np.concatenate(rows), np.concatenate(hits), np.concatenate(scores)
                 at, ids, scores, texts = reached(at, item_ids[hit], lengths[hit], score, begins, ends, firsts, row, hashes)
-                yield pa.record_batch([batch.column("doc_id").take(pa.array(row[at])), pa.array(ids), pa.array(scores.astype(float)), pa.array(texts, pa.list_(pa.int64()))], ["doc_id", "item_id", "cosine", "near"])
+                of = pa.array(row[at])
+                yield pa.record_batch([batch.column("doc_id").take(of), batch.column("tie").take(of), pa.array(ids), pa.array(scores.astype(float)), pa.array(texts, pa.list_(pa.int64()))], ["doc_id", "tie", "item_id", "cosine", "near"])
 
-        hits = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").mapInArrow(search, "doc_id long, item_id long, cosine double, near array<long>")
+        hits = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text").mapInArrow(search, "doc_id long, tie long, item_id long, cosine double, near array<long>")
         candidates = hits if candidates is None else candidates.unionByName(hits)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,14 +298,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, step: int = 16, rank: in
                 near, item = np.array(near, np.int64), np.array(item, np.int64)
                 lcs.append(longest_common(item, near) / len(item))
                 answered.append(longest_common(item[begin:], near) / len(item[begin:]) if lcs[-1] >= likely else 0.0)
-            yield pa.record_batch([batch.column("doc_id"), batch.column("item_id"), batch.column("cosine"), pa.array(lcs, pa.float64()), pa.array(answered, pa.float64())], ["doc_id", "item_id", "cosine", "lcs", "answer"])
+            yield pa.record_batch([*[batch.column(c) for c in ("doc_id", "tie", "item_id", "cosine")], pa.array(lcs, pa.float64()), pa.array(answered, pa.float64())], ["doc_id", "tie", "item_id", "cosine", "lcs", "answer"])
 
-    verified = candidates.join(asked, "item_id").mapInArrow(check, "doc_id long, item_id long, cosine double, lcs double, answer double")
+    verified = candidates.join(asked, "item_id").mapInArrow(check, "doc_id long, tie long, item_id long, cosine double, lcs double, answer double")
     good = (F.col("lcs") >= sure) | ((F.col("lcs") >= likely) & (F.col("answer") >= answer))
-    return verified.where(good).groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in ("cosine", "lcs", "answer")])
+    return verified.where(good).groupBy("doc_id", "tie", "item_id").agg(*[F.max(c).alias(c) for c in ("cosine", "lcs", "answer")])
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows, with all their columns, that no item contaminates."""
-    gone = contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
+    """The rows, with all their columns, whose own text no item contaminates; rows without id are judged like others."""
+    gone = contaminated_rows(docs, benchmark).select("doc_id", "tie").distinct()
+    own = docs["doc_id"].cast("long").eqNullSafe(gone["doc_id"]) & (F.xxhash64(docs["text"]) == gone["tie"])
+    return docs.join(gone, own, "left_anti")

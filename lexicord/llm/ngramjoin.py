@@ -149,7 +149,7 @@ def verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
 
 
 def viable(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """(id, group, n, common, light) of the (id, group) that can link outside their group.
+    """Written (id, group, n, common, light) of the (id, group) that can link outside their group.
 
     n counts a document's tokens, common those of them that other groups have.
 
@@ -165,11 +165,14 @@ def viable(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
         owners = spread.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("token")
         return spread.join(owners.hint("merge"), "token").groupBy("id").agg(F.count("*").alias("common"))
 
-    common = in_waves(held.select("id", "group", F.explode("tokens").alias("token")), "token", shared).groupBy("id").agg(F.sum("common").alias("common"))
+    by_wave = in_waves(held.select("id", "group", F.explode("tokens").alias("token")), "token", shared)
+    common = by_wave.groupBy("id").agg(F.sum("common").alias("common"))
     dropped(held)
     told = rows.join(tokens.select("id", F.size("tokens").alias("n")), "id").join(common, "id")
     private = F.col("n") - F.col("common")
-    return told.where(private * percent <= F.col("common") * (100 - percent)).select("id", "group", "n", "common", (private * 2 * percent <= F.col("common") * (100 - percent)).alias("light"))
+    out = written(told.where(private * percent <= F.col("common") * (100 - percent)).select("id", "group", "n", "common", (private * 2 * percent <= F.col("common") * (100 - percent)).alias("light")))
+    dropped(by_wave)
+    return out
 
 
 def shared_keys(c: int, percent: int, least: np.ndarray, segments: int, d: int) -> int:
@@ -261,7 +264,9 @@ def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: in
     best = met.groupBy(F.col("id").alias("a")).agg(F.max_by("hub", F.struct("shared", -F.col("hub"))).alias("b"))
     edges = written(verified(best, tokens, percent))
     dropped(met)
-    groups = written(tokens.select("id").join(components(edges), "id", "left").select("id", F.coalesce("component_id", "id").alias("group")))
+    parts_of = components(edges)
+    groups = written(tokens.select("id").join(parts_of, "id", "left").select("id", F.coalesce("component_id", "id").alias("group")))
+    dropped(parts_of)
 
     again = keyed.join(groups.hint("merge"), "id").select("id", "group", F.explode("keys").alias("key"))
 
@@ -271,11 +276,13 @@ def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: in
 
     by_wave = in_waves(again, "key", between)
     open_ids = written(by_wave.distinct())
-    dropped(by_wave, keyed)
-    asking = written(viable(open_ids, tokens, percent))
-    rare = written(rare_keys(asking.join(tokens, "id"), percent))
-    sizes = asking.groupBy("group").agg(F.count_if("light").alias("size"))
-    asking = written(asking.join(sizes, "group").join(rare, "id"))
+    dropped(by_wave, keyed, groups)
+    able_ids = viable(open_ids, tokens, percent)
+    dropped(open_ids)
+    rare = written(rare_keys(able_ids.join(tokens, "id"), percent))
+    sizes = able_ids.groupBy("group").agg(F.count_if("light").alias("size"))
+    asking = written(able_ids.join(sizes, "group").join(rare, "id"))
+    dropped(able_ids, rare)
 
     # light members of a component of like sizes that share their rarest key are one group of the matrix, at most about `part` of them
     light = asking.where("light").withColumn("band", F.floor(F.log("n") * BANDS))
@@ -299,7 +306,7 @@ def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: in
     able = enough_common(F.least("common", "other_common"), F.col("n"), F.col("m"), percent) & (F.size(F.array_intersect("mine", "theirs")) >= F.least("need", "other_need"))
     opened = bounded.join(inside, (F.col("group") == F.col("g")) & (F.col("part") == F.col("p")) & able).select("a", "b")
     late = written(verified(opened, tokens, percent))
-    dropped(tokens, meets, members, asking, rare, open_ids)
+    dropped(tokens, meets, members, asking)
 
     # nodes of one document are one
     twice = full.join(nodes, ["n", "f1", "f2"]).select("doc_id", "id")
@@ -308,6 +315,7 @@ def document_components(docs: DataFrame, k: int = 3, percent: int = 90, part: in
     linked_ = components(edges.unionByName(late).unionByName(same))
     least = nodes.select("id", "first").join(linked_, "id").groupBy("component_id").agg(F.min("first").alias("least"))
     joined = written(nodes.join(linked_.join(least, "component_id").select("id", "least"), "id", "left").select("n", "f1", "f2", F.coalesce("least", "first").alias("least")))
+    dropped(edges, late, linked_, nodes)
     told = full.select("doc_id", "n", "f1", "f2").join(joined, ["n", "f1", "f2"]).select("doc_id", "n", "least")
     empty = sized.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("least"))
     return told.unionByName(empty).select("doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))

@@ -150,3 +150,13 @@ def test_joined_evidence_equals_that_sent_out(spark, docs):
     one, two = (sorted(toxicity.toxicity(more, labels, most_sent=n).collect(), key=repr) for n in (10**6, 0))
     key = lambda r: (repr(r.doc_id), round(r.score, 9), r.held_out, r.predicted)
     assert len(one) == more.count() and sorted(map(key, one)) == sorted(map(key, two))
+
+
+def test_contaminated_rows_without_id_and_of_one_id(spark, sf_dir):
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    item = max(bench.collect(), key=lambda r: len(r.text.split()))
+    clean = " ".join(f"clean{k} word{k * 7} thing{k * 13}" for k in range(60))
+    rows = [(None, item.text), (None, clean), (1, f"{clean} {item.text}"), (1, clean), (2, clean), (3, item.text), (3, item.text), (4, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "k") for i, t in rows], "doc_id long, text string, tie string")
+    kept = sorted(((r.doc_id, r.text) for r in decontam.drop_contaminated(docs, bench).collect()), key=repr)
+    assert kept == sorted([(None, clean), (1, clean), (2, clean), (4, None), (None, None)], key=repr)

@@ -67,3 +67,13 @@ def test_query_digests(spark, sf_dir):
     row = queries.op8_bpe(spark, sf_dir).orderBy("doc_id").first()
     text = spark.read.parquet(f"{sf_dir}/documents.parquet").where(f"doc_id = {row.doc_id}").first().text
     assert row.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_every_code_point_is_cut_as_the_library_cuts_it():
+    path = P.path("byte_bpe_50k.json")
+    coder, library = bpe.encoder(path, bpe.odd_characters(path)), Tokenizer.from_file(path).pre_tokenizer
+    points = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    for first in range(0, len(points), 50_000):
+        text = "".join(f"a{chr(c)}1 {chr(c)}!{chr(c)}\n" for c in points[first : first + 50_000])
+        expected = [text[a:b] for _, (a, b) in library.pre_tokenize_str(text)]
+        assert coder.cut(text) == expected
