@@ -12,6 +12,12 @@ folder and reads it again as the next stage's docs.
    Jaccard similarity of 0.8 or more, the one with the least id stays.
 4. decontamination: documents that hold a passage of the benchmark go.
 5. tokens: the ids of what is left, and the text they decode to.
+
+In every stage null text counts as empty, rows without id stay unless their own
+text is rejected or contaminated, repeated rows are judged alike (in `lines` and
+`near_duplicates` rows of one id are no copies of each other), columns beyond
+those of documents pass through all stages but the last, and an empty table gives
+an empty table.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ from lexicord.llm.linededup import line_dedup
 from lexicord.llm.ngramjoin import document_components
 from lexicord.llm.quality import fit, keep_good
 from lexicord.llm.queries import tokenizer_path
-from lexicord.llm.shared import table, written
+from lexicord.llm.shared import dropped, table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -74,5 +80,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir))
+        before, docs = docs, written(stage(spark, docs, sf_dir))
+        dropped(before)  # a stage's result goes when the next one has read it
     return docs
