@@ -72,8 +72,8 @@ def export_totals(exported: DataFrame) -> DataFrame:
     return each.unionByName(every)
 
 
-def paragraph_records(articles: DataFrame, laws: DataFrame, found: DataFrame | None = None) -> DataFrame:
-    """The 20 columns of a record; law metadata joins each paragraph, with the verification that `found` has of it."""
+def paragraph_records(articles: DataFrame, laws: DataFrame, found: DataFrame | None = None, placed: bool = False) -> DataFrame:
+    """The 20 columns of a record, and its place `seq` if asked; law metadata joins each paragraph, with the verification that `found` has of it."""
     laws = verified_laws(laws, found)
     rows = numbered_ids(flatten(articles), names.record_id(F.col("law"), F.col("arthro"), F.col("paragrafos")))
     meta = laws.select(
@@ -90,7 +90,7 @@ def paragraph_records(articles: DataFrame, laws: DataFrame, found: DataFrame | N
         F.col("anaktithike").cast("string").alias("anaktithike"),
     )
     columns = ["id", F.col("law").alias("nomothetima_id"), "nomothetima", "titlos_nomothetimatos", "thematiki", "arthro", F.col("titlos").alias("titlos_arthrou"), "paragrafos", "meros", "meros_titlos", "kefalaio", "kefalaio_titlos", "keimeno", "fek", "celex", "isxys_apo", "katastasi", "epalithevmeno", "pigi_url", "anaktithike"]
-    return rows.join(meta, "law").select(*columns)
+    return rows.join(meta, "law").select(*columns, *(["seq"] if placed else []))
 
 
 def adjacent_groups(rows: DataFrame, by: str, key: str, order: str) -> DataFrame:

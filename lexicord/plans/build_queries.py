@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexicord.operators import changes
 from lexicord.plans import pipelines
 from lexicord.plans.text_queries import table
+from lexicord.sources.cache import ResponseCache
+from lexicord.sources.lawfiles import folder_of, json_text, read_files, write_files
+from lexicord.sources.tables import new_folder
+from lexicord.streaming.incremental import manifest_table
 
 FEK = "struct<teuxos:string,arithmos:int,imerominia:date>"
 
@@ -84,4 +89,77 @@ SELECT k AS id, won || k AS pigi_url, CASE WHEN won IS NOT NULL THEN base + len(
 FROM said LEFT JOIN page USING (k)
 """
 
-QUERIES = {"built_laws": (built_laws, BUILT)}
+
+def cache_states(spark, sf_dir):
+    """The response cache after each of two runs whose answers change."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("http://h/"), F.col("page_id").cast("string")).alias("url"), F.encode("html", "UTF-8").alias("html"))
+    k, none = F.col("page_id"), F.lit(None).cast("string")
+    tag = F.concat(F.lit("e"), F.octet_length("html").cast("string"))
+    first = pages.select("url", F.lit(0).alias("attempt"), F.when(k % 4 == 3, 503).otherwise(200).alias("status"), tag.alias("etag"), F.lit("Mon").alias("last_modified"), F.lit("text/html").alias("content_type"), F.col("html").alias("content"), none.alias("error"))
+    asked = pages.select("url", F.lit(0).alias("attempt"), F.lit(429).alias("status"), none.alias("etag"), none.alias("last_modified"), none.alias("content_type"), F.lit(None).cast("binary").alias("content"), F.when(k % 5 == 0, "timeout").alias("error"))
+    status = F.when(k % 3 == 0, 304).when(k % 3 == 1, 200).otherwise(404)
+    body = F.when(k % 3 == 1, F.concat("html", F.encode(F.lit("2"), "UTF-8")))
+    again = asked.unionByName(pages.select("url", F.lit(1).alias("attempt"), status.alias("status"), none.alias("etag"), F.lit("Tue").alias("last_modified"), F.lit("text/plain").alias("content_type"), body.alias("content"), none.alias("error")))
+    store = ResponseCache(spark, new_folder(spark), buckets=8)
+    store.store(first, 1)
+    store.store(again, 2)
+    store.store(first, 2)  # a version that exists is not written again
+    states = [store.read(v).withColumn("run", F.lit(v).cast("long")) for v in (1, 2)]
+    return states[0].unionByName(states[1]).select("run", "key", "url", "etag", "last_modified", "content_type", F.sha2("content", 256).alias("content_sha256"))
+
+
+CACHE = """
+WITH p AS (SELECT page_id AS k, 'http://h/' || page_id AS url, html FROM pages),
+one AS (SELECT k, url, 'e' || strlen(html) AS etag, 'Mon' AS last_modified, 'text/html' AS content_type, sha256(html) AS content_sha256 FROM p WHERE k % 4 != 3),
+two AS (SELECT k, url, '' AS etag, 'Tue' AS last_modified, 'text/plain' AS content_type, sha256(html || '2') AS content_sha256 FROM p WHERE k % 3 = 1),
+s AS (SELECT 1 AS run, * FROM one UNION ALL SELECT 2, * FROM one WHERE k % 3 != 1 UNION ALL SELECT 2, * FROM two)
+SELECT CAST(run AS BIGINT) AS run, left(sha256(url), 24) AS key, url, etag, last_modified, content_type, content_sha256 FROM s
+"""
+
+
+def merged_manifest(spark, sf_dir):
+    """A manifest of all documents, and a small batch merged into the buckets that it hits."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    entry = lambda rows: rows.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), F.sha2(F.encode("text", "UTF-8"), 256).alias("checksum_keimenou"))
+    state = manifest_table(spark, new_folder(spark), buckets=32)
+    state.merge(entry(docs), 0, changes.upsert)
+    batch = docs.where("doc_id % 97 = 0").withColumn("text", F.concat("text", F.lit("!"))).unionByName(docs.where("doc_id % 101 = 0").withColumn("doc_id", -F.col("doc_id") - 1))
+    state.merge(entry(batch), 1, changes.upsert)
+    state.merge(entry(docs), 1, changes.upsert)  # the batch's number again: nothing changes
+    state.clean(keep=1)
+    return state.read()
+
+
+MERGED = """
+SELECT 'd' || doc_id AS id, sha256(coalesce(text, '') || CASE WHEN doc_id % 97 = 0 THEN '!' ELSE '' END) AS checksum_keimenou FROM documents
+UNION ALL SELECT 'd' || (-doc_id - 1), sha256(coalesce(text, '')) FROM documents WHERE doc_id % 101 = 0
+"""
+
+
+def law_file_texts(spark, sf_dir):
+    """Files under their own names, written and read again with some addresses that name none."""
+    root = new_folder(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.split(F.coalesce("text", F.lit("")), "\n").alias("lines"))
+    place = folder_of(F.col("source"), F.col("doc_id"))
+    lines = docs.select(F.concat(place, F.lit("/full.md")).alias("path"), F.posexplode("lines").alias("seq", "line")).select("path", "seq", F.concat("line", F.lit("\n")).alias("text"))
+    facts = docs.select("doc_id", "source", F.size("lines").alias("plithos_paragrafon"), F.lit(None).cast("string").alias("celex"))
+    meta = facts.select(F.concat(folder_of(F.col("source"), F.col("doc_id")), F.lit("/meta.json")).alias("path"), F.lit(0).alias("seq"), F.concat(json_text(["doc_id", "source", "plithos_paragrafon", "celex"], ",\n  ", "\n  ", "\n"), F.lit("\n")).alias("text"))
+    names = docs.select(F.lit("addresses").alias("path"), F.col("doc_id").cast("int").alias("seq"), F.concat(F.lit("file:"), place, F.lit("/full.md\nfile:/"), place, F.lit("/meta.json\n"), F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("file:"), place, F.lit("/none.pdf\n"))).otherwise("")).alias("text"))
+    write_files(lines.unionByName(meta).unionByName(names), root)
+    read = read_files(spark, root, listed="addresses")
+    return read.select("url", "content_type", F.sha2("content", 256).alias("content_sha256"), F.col("error").isNotNull().alias("failed"))
+
+
+LAW_FILES = """
+WITH d AS (SELECT doc_id, source || '/' || doc_id AS place, source, coalesce(text, '') AS t FROM documents)
+SELECT 'file:' || place || '/full.md' AS url, 'text/html' AS content_type, sha256(t || chr(10)) AS content_sha256, false AS failed FROM d
+UNION ALL SELECT 'file:/' || place || '/meta.json', 'text/html', sha256(format('{{\n  "doc_id": {},\n  "source": "{}",\n  "plithos_paragrafon": {},\n  "celex": null\n}}\n', doc_id, source, len(string_split(t, chr(10))))), false FROM d
+UNION ALL SELECT 'file:' || place || '/none.pdf', 'application/pdf', NULL, true FROM d WHERE doc_id % 10 = 0
+""".replace("\\n", "\n")
+
+QUERIES = {
+    "built_laws": (built_laws, BUILT),
+    "cache_states": (cache_states, CACHE),
+    "merged_manifest": (merged_manifest, MERGED),
+    "law_file_texts": (law_file_texts, LAW_FILES),
+}

@@ -75,7 +75,8 @@ def attempted(turn: DataFrame, laws: DataFrame, files: DataFrame) -> tuple[DataF
     A source is done only if its text, normalised and parsed, has an article that
     the registry asks for.
     """
-    got = turn.join(files.select("url", "content", "content_type"), "url", "left").join(laws.select("id", "fek"), "id").withColumn("e", extracted("content"))
+    why = F.col("error") if "error" in files.columns else F.lit(None).cast("string")
+    got = turn.join(files.select("url", "content", "content_type", why.alias("unread")), "url", "left").join(laws.select("id", "fek"), "id").withColumn("e", extracted("content"))
     raw = F.coalesce("e.text", F.lit(""))
     rows = checkpointed(
         got.select(
@@ -84,6 +85,7 @@ def attempted(turn: DataFrame, laws: DataFrame, files: DataFrame) -> tuple[DataF
             "source_type",
             "url",
             F.col("content").isNull().alias("absent"),
+            "unread",
             (content_kind(F.col("content")) == "pdf").alias("pdf"),
             F.octet_length("content").alias("size"),
             F.coalesce(F.nullif("content_type", F.lit("")), F.lit(rules.SAYS_UNKNOWN_TYPE)).alias("content_type"),
@@ -98,7 +100,7 @@ def attempted(turn: DataFrame, laws: DataFrame, files: DataFrame) -> tuple[DataF
     some = found.groupBy(F.col("law").alias("id")).agg(F.count("*").alias("n"))
     outcome = F.when(F.col("absent"), "absent").when(F.col("error").isNotNull(), "unreadable").when((F.col("text") == "") & F.col("pdf"), "scanned").when(F.col("text") == "", "blank").when(F.col("n").isNull(), "no_articles").otherwise("done")
     message = (
-        F.when(F.col("outcome") == "absent", says(rules.SAYS_NO_FILE, F.col("url")))
+        F.when(F.col("outcome") == "absent", F.coalesce("unread", says(rules.SAYS_NO_FILE, F.col("url"))))
         .when(F.col("outcome") == "unreadable", F.col("error"))
         .when(F.col("outcome") == "scanned", rules.SAYS_SCANNED)
         .when(F.col("outcome") == "blank", says(rules.SAYS_BLANK, F.col("url"), F.col("size"), F.col("content_type")))
@@ -127,7 +129,8 @@ def settled(laws: DataFrame, files: DataFrame, most: int | None = None) -> tuple
 def built(laws: DataFrame, files: DataFrame, most: int | None = None) -> Built:
     """The whole run: the first source of each law that gives articles, first of each number, gaps filled from supplements.
 
-    files is (url, content, content_type).  Notices come in this order: another
+    files is (url, content, content_type), and `error` where a reader tells why
+    there is no content.  Notices come in this order: another
     source than the preferred one, gazette not found in the text, repeated
     articles, supplements that could not be read, articles from supplements.
     """
@@ -135,9 +138,10 @@ def built(laws: DataFrame, files: DataFrame, most: int | None = None) -> Built:
     done = tries.where("outcome = 'done'")
     main = structure.first_articles(found)
 
-    given = fallback.supplements(laws).join(done.select("id"), "id", "left_semi").join(files.select("url", "content"), "url", "left")
+    why = F.col("error") if "error" in files.columns else F.lit(None).cast("string")
+    given = fallback.supplements(laws).join(done.select("id"), "id", "left_semi").join(files.select("url", "content", why.alias("why")), "url", "left")
     text = normalise(F.make_valid_utf8(F.col("content").cast("string")))
-    read = checkpointed(given.select("id", "file", "url", text.alias("text")))
+    read = checkpointed(given.select("id", "file", "url", F.coalesce("why", says(rules.SAYS_NO_FILE, F.col("url"))).alias("why"), text.alias("text")))
     extra = checkpointed(supplement_articles(read.where("text is not null").select("id", "file", "text")))
     added = structure.missing_articles(main, extra)
     articles = structure.with_supplements(main, extra)
@@ -147,7 +151,7 @@ def built(laws: DataFrame, files: DataFrame, most: int | None = None) -> Built:
         return rows.groupBy("id").agg(told.alias(name))
 
     repeated = structure.repeated_articles(found).select(F.col("law").alias("id"), F.array_join("repeated", ", ").alias("repeated"))
-    unread = listed(read.where("text is null"), ["file"], says(rules.SAYS_NO_SUPPLEMENT, F.col("url"), says(rules.SAYS_NO_FILE, F.col("url"))), "unread")
+    unread = listed(read.where("text is null"), ["file"], says(rules.SAYS_NO_SUPPLEMENT, F.col("url"), F.col("why")), "unread")
     filled = listed(added.withColumnRenamed("law", "id"), ["file", "pos"], F.col("arthro"), "filled")
     failed = listed(tries.where("outcome != 'done'"), ["nth"], F.struct("source_type", "message"), "failed")
 

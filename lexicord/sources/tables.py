@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,14 +26,27 @@ RECORD = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "nomothe
 ENTRY = "checksum_pigis string, checksum_keimenou string, plithos_arthron long, plithos_paragrafon long, pigi_url string, epalithevmeno_fek boolean"
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, or the one that is set; one is made only where Spark runs on one machine."""
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
+    return root.rstrip("/")
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A place below the shared folder that no one else uses."""
+    return f"{shared_root(spark)}/corpus-{uuid.uuid4().hex}"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows from the shared checkpoint folder; lineage ends there."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not sc.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        sc.setCheckpointDir(folder or "file://" + tempfile.mkdtemp(prefix="spark-shared-"))
+    shared_root(df.sparkSession)
     return df.checkpoint()
 
 

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lexicord.operators import changes
+from lexicord.sources.buckets import BucketTable
+
+ENTRY = "id string, checksum_keimenou string"
 
 
 def checksums(texts: DataFrame) -> DataFrame:
@@ -17,28 +20,28 @@ def checksums(texts: DataFrame) -> DataFrame:
     return last.select("id", F.sha2(F.encode("text", "UTF-8"), 256).alias("checksum_keimenou"))
 
 
-def merge_available(spark: SparkSession, source: str, schema: str, state: str, checkpoint: str, report: Callable[[DataFrame, int], None]) -> StreamingQuery:
-    """Read what is new below `source` (parquet with id, text, seen), merge it into the manifest below `state`, report material changes.
+def manifest_table(spark: SparkSession, state: str, buckets: int = 64) -> BucketTable:
+    return BucketTable(spark, state, ENTRY, key="id", buckets=buckets)
 
-    Each batch writes a new version of the manifest under its number, so a batch
-    that runs again after a failure starts from the same version and writes the
-    same one.
-    """
 
-    def old(batch: int) -> DataFrame:
-        # the numbers of written versions are few; the latest before this batch is the base
-        sc = spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(state)
-        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
-        done = sorted(int(p.getPath().getName()[1:]) for p in (fs.listStatus(path) if fs.exists(path) else []) if p.getPath().getName()[0] == "v")
-        base = [v for v in done if v < batch]
-        return spark.read.parquet(f"{state}/v{base[-1]}") if base else spark.createDataFrame([], "id string, checksum_keimenou string")
+def merge_available(spark: SparkSession, source: str, schema: str, state: str, checkpoint: str, report: Callable[[DataFrame, int], None], buckets: int = 64, keep: int = 10) -> StreamingQuery:
+    """Read what is new below `source` (parquet with id, text, seen), merge it into the manifest table below `state`, report material changes.
+
+    A batch's number is its version, and only the buckets that its ids hit are read
+    and written, so a batch costs what it holds.  A batch that runs again after a
+    failure finds its version there, or writes the same one; it is reported again,
+    since the report may not have come through.
+    """
+    table = manifest_table(spark, state, buckets)
 
     def merge(rows: DataFrame, batch: int) -> None:
-        before, new = old(batch), checksums(rows)
-        merged = changes.upsert(before, new)
-        merged.write.mode("overwrite").parquet(f"{state}/v{batch}")
-        report(changes.material(changes.diff(before, spark.read.parquet(f"{state}/v{batch}"))), batch)
+        table.merge(checksums(rows), batch, changes.upsert)
+        before = [v for v in table.versions() if v < batch]
+        ids = rows.select("id").distinct()
+        now, _ = table.hit(ids, batch)
+        was = table.hit(ids, before[-1])[0] if before else now.limit(0)
+        report(changes.material(changes.diff(was, now)), batch)
+        table.clean(keep)
 
     stream = spark.readStream.schema(schema).parquet(source)
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

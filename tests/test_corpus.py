@@ -1,3 +1,4 @@
+import json
 import struct
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from lexicord.functions import names, rules
 from lexicord.operators import changes, fallback, links, pages, records, registry, structure
 from lexicord.plans import pipelines
-from lexicord.sources import extract, tables
+from lexicord.sources import cache, extract, lawfiles, tables
 from lexicord.streaming import incremental
 
 TEXT = """Εισαγωγή
@@ -394,3 +395,98 @@ def test_a_compound_file_that_points_to_itself_ends():
     body[68:72] = struct.pack("<I", 0)  # the list of further sectors is sector 0,
     body[512 + 508 : 512 + 512] = struct.pack("<I", 0)  # which names itself as its next
     assert extract.file_text(bytes(body))[1]
+
+
+def manifest_rows(spark, first, last, mark):
+    return spark.range(first, last).selectExpr("concat('d', id) AS id", f"concat('{mark}', id) AS checksum_keimenou")
+
+
+def test_a_merge_rewrites_only_what_it_hits(spark, tmp_path):
+    table = incremental.manifest_table(spark, f"{tmp_path}/state", buckets=64)
+    assert table.read().count() == 0 and table.versions() == []
+    assert table.merge(manifest_rows(spark, 0, 6400, "a"), 0, changes.upsert)
+    batch = manifest_rows(spark, 10, 12, "b").unionByName(manifest_rows(spark, 9000, 9001, "b"))
+    assert table.merge(batch, 1, changes.upsert)
+    assert spark.read.parquet(f"{tmp_path}/state/data/v1").count() < 400  # three buckets of some hundred rows
+    assert not table.merge(manifest_rows(spark, 0, 50, "c"), 1, changes.upsert)  # replayed: as it was
+    rows = {r.id: r.checksum_keimenou for r in table.read().collect()}
+    assert len(rows) == 6401 and rows["d10"] == "b10" and rows["d12"] == "a12" and rows["d9000"] == "b9000"
+    assert table.read(0).count() == 6400 and {r.checksum_keimenou[0] for r in table.read(0).collect()} == {"a"}
+    with pytest.raises(ValueError):
+        incremental.manifest_table(spark, f"{tmp_path}/state", buckets=8).read()
+    table.clean(keep=1)
+    assert table.versions() == [1] and {r.id: r.checksum_keimenou for r in table.read().collect()} == rows
+
+
+def test_a_merge_that_failed_before_its_log_is_run_again(spark, tmp_path):
+    table = incremental.manifest_table(spark, f"{tmp_path}/state", buckets=4)
+    table.merge(manifest_rows(spark, 0, 10, "a"), 0, changes.upsert)
+    manifest_rows(spark, 0, 3, "half").withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{tmp_path}/state/data/v1")
+    assert {r.checksum_keimenou[0] for r in table.read().collect()} == {"a"}
+    table.clean(keep=2)  # leaves what may be going on
+    table.merge(manifest_rows(spark, 0, 3, "b"), 1, changes.upsert)
+    assert sorted(r.checksum_keimenou for r in table.read().collect())[-3:] == ["b0", "b1", "b2"] and table.read().count() == 10
+
+
+def test_cache_asks_and_keeps(spark, tmp_path):
+    store = cache.ResponseCache(spark, f"{tmp_path}/cache", buckets=4)
+    schema = "url string, attempt int, status int, etag string, last_modified string, content_type string, content binary, error string"
+    urls = spark.createDataFrame([("a",), ("b",), ("a",)], "url string")
+    assert {(r.url, r.etag) for r in store.requests(urls).collect()} == {("a", None), ("b", None)}
+    store.store(spark.createDataFrame([("a", 0, 200, "e1", None, "t", b"old", None), ("b", 0, 503, None, None, None, None, None), ("b", 1, 200, None, "Mon", None, b"b", None)], schema), 1)
+    assert {(r.url, r.etag, r.last_modified) for r in store.requests(urls).collect()} == {("a", "e1", ""), ("b", "", "Mon")}
+    assert {r.etag for r in store.requests(urls, fresh=True).collect()} == {None}
+    answers = spark.createDataFrame([("a", 0, 304, None, None, None, None, None), ("b", 0, 200, None, None, None, b"", None), ("c", 0, 304, None, None, None, None, None)], schema)
+    assert {(r.url, bytes(r.content), r.from_cache) for r in store.answered(answers).collect()} == {("a", b"old", True)}
+    store.store(answers, 2)
+    assert {(r.url, bytes(r.content)) for r in store.read().collect()} == {("a", b"old"), ("b", b"b")}
+
+
+def test_files_missing_unreadable_and_good_in_one_read(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "good.pdf").write_bytes(b"%PDF-1")
+    (tmp_path / "odd").symlink_to(tmp_path / "odd")  # a name that leads nowhere
+    rows = {r.url: r for r in lawfiles.read_files(spark, str(tmp_path), ["file:d/good.pdf", "file:/d/none.html", "d", "odd"]).collect()}
+    assert bytes(rows["file:d/good.pdf"].content) == b"%PDF-1" and rows["file:d/good.pdf"].content_type == "application/pdf" and rows["file:d/good.pdf"].error is None
+    assert rows["file:/d/none.html"].error == rules.SAYS_NO_FILE % f"{tmp_path}/d/none.html" and rows["file:/d/none.html"].content_type == "text/html"
+    assert rows["d"].error and rows["odd"].error and len(rows) == 4
+    assert lawfiles.read_files(spark, str(tmp_path), []).count() == 0
+    assert lawfiles.LawFileReader("r", list("x" * 130)).partitions()[2].urls == ["x", "x"]
+
+
+def test_a_run_from_files_to_files(spark, laws, tmp_path):
+    (tmp_path / "u2").write_text(page(1, 2), encoding="utf-8")
+    files = lawfiles.read_files(spark, str(tmp_path), ["u1", "u2", "s"])
+    run = pipelines.built(laws, files)
+    told = {r.id: r for r in run.told.collect()}
+    assert told["a"].proeidopoiiseis == [rules.SAYS_LOCAL_COPY % "u2", rules.SAYS_UNVERIFIED, rules.SAYS_NO_SUPPLEMENT % ("s", rules.SAYS_NO_FILE % f"{tmp_path}/s")]
+    full = laws.join(run.manifest, "id").withColumn("anaktithike", F.lit("2025-01-01"))
+    found = run.manifest.select("id", F.col("epalithevmeno_fek").alias("epalithevmeno"))
+    documents = records.full_markdown(run.articles, full, found)
+    lines = records.paragraph_records(run.articles, full, found, placed=True)
+    for _ in range(2):  # a second run replaces the files
+        lawfiles.write_law_files(f"{tmp_path}/corpus", documents, lines, records.law_meta(full, found))
+    lawfiles.write_export_files(pipelines.export(run.articles, laws), laws, f"{tmp_path}/export")
+    assert sorted(str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*.*") if p.is_file() and not p.name.startswith(".")) == ["corpus/kok/a/articles.jsonl", "corpus/kok/a/full.md", "corpus/kok/a/meta.json", "export/kok/a.md"]
+    own = [json.loads(x) for x in (tmp_path / "corpus/kok/a/articles.jsonl").read_text(encoding="utf-8").splitlines()]
+    assert [(x["id"], x["keimeno"], x["celex"]) for x in own] == [("a:art-1:par-1", "Κείμενο 1.", None), ("a:art-2:par-1", "Κείμενο 2.", None)] and len(own[0]) == 20
+    meta = (tmp_path / "corpus/kok/a/meta.json").read_text(encoding="utf-8")
+    assert meta == json.dumps(json.loads(meta), ensure_ascii=False, indent=2) + "\n" and len(json.loads(meta)) == 16 and json.loads(meta)["epalithevmeno"] is False
+    line = (tmp_path / "corpus/kok/a/articles.jsonl").read_text(encoding="utf-8").splitlines()[0]
+    assert line == json.dumps(json.loads(line), ensure_ascii=False)
+    assert (tmp_path / "corpus/kok/a/full.md").read_text(encoding="utf-8").count("#### Άρθρο") == 2
+
+
+def test_lost_attempts_leave_no_file(tmp_path):
+    from pyspark.sql import Row
+
+    writer = lawfiles.LawFileWriter(str(tmp_path))
+    lost = writer.write(iter([Row(path="t/a.md", text="half")]))
+    kept = writer.write(iter([Row(path="t/a.md", text="one\n"), Row(path="t/a.md", text="two\n"), Row(path="t/b.md", text=None)]))
+    assert lost.files and not (tmp_path / "t").exists()
+    writer.commit([kept])
+    assert (tmp_path / "t/a.md").read_text() == "one\ntwo\n" and (tmp_path / "t/b.md").read_text() == "" and not list((tmp_path / "_staging").iterdir())
+    other = lawfiles.LawFileWriter(str(tmp_path))
+    other.write(iter([Row(path="t/a.md", text="never")]))
+    other.abort([])
+    assert (tmp_path / "t/a.md").read_text() == "one\ntwo\n" and not list((tmp_path / "_staging").iterdir())
