@@ -28,12 +28,16 @@ DATABASE_TRACES = (
     r"(?U)Προισχύσασες\s+μορφές\s+άρθρου\s*:\s*\d+",
     r"(?U)Κατ['΄’]?\s*Εξουσιοδότηση\s+εκδοθείσα\s+Νομοθεσία\s*:\s*\d+",
 )
+# A database's marker of an article, and an article's own heading below it (before and after its number).
+ARTICLE_MARKER = r"[ΆΑ]ρθρο\s*:\s*(\d+)"
+OWN_HEADING = (r"^[ \t]*[ΆΑ]ρθρο[νΝ]?[ \t]+", r"[ \t]*[.:]?[ \t]*$")
 #: How far below a database marker the article's own heading is looked for.
 HEADING_REACH = 300
 
 # Part and Chapter numerals.
 ORDINALS = "ΠΡΩΤΟ|ΔΕΥΤΕΡΟ|ΤΡΙΤΟ|ΤΕΤΑΡΤΟ|ΠΕΜΠΤΟ|ΕΚΤΟ|ΕΒΔΟΜΟ|ΟΓΔΟΟ|ΕΝΑΤΟ|ΔΕΚΑΤΟ"
 NUMERAL = rf"{ORDINALS}|[Α-Ω]{{1,4}}[΄']?"
+# The words and forms of headings and numbered paragraphs, and how far a title goes on.
 ARTICLE_WORD = "[ΆΑ]ρθρο[νΝ]?|[ΆΑ]ΡΘΡΟ[Ν]?"
 #: A heading line of any kind; groups: Part, Chapter, article number, article letter.
 HEADING = rf"(?Umd)^\s*(?:ΜΕΡΟΣ\s+({NUMERAL})|ΚΕΦΑΛΑΙΟ\s+({NUMERAL})|(?:{ARTICLE_WORD})\s+(\d+)\s*([Α-Ωα-ω])?\s*[.:]?)\s*$"

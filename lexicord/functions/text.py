@@ -2,15 +2,15 @@
 
 Java's regular expressions need (?U) for word classes beyond ASCII, (?iu) for
 case-blind Greek and (?d) so that `$` knows no line end but the newline.
-Only Unicode normal forms, and the database marker with its look-ahead over a
-slice of the text, are Arrow-batched functions; everything else stays in the JVM.
+Only Unicode normal forms are Arrow-batched functions, for texts that need them;
+everything else stays in the JVM.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from functools import reduce
+from functools import lru_cache, reduce
 from itertools import chain
 
 import pandas as pd
@@ -38,26 +38,61 @@ def search_key_any(text: pd.Series) -> pd.Series:
     return text.map(key, na_action="ignore")
 
 
-@F.pandas_udf(T.StringType())
-def article_markers(text: pd.Series) -> pd.Series:
-    """Database markers of articles become headings, unless the article's own heading follows within reach; number 0 none."""
-    marker = re.compile(r"[ΆΑ]ρθρο\s*:\s*(\d+)")
+#: All white space, as strip() takes it off.
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
+@lru_cache(maxsize=1)
+def not_composed() -> str:
+    """A pattern of the characters that composing may change: marks, second parts of pairs, and those that have another form alone.
+
+    Plain letters are left out first, so that usual texts are read once.
+    """
+    found = set(range(0x1160, 0x1200))  # medial and final Hangul letters
+    for k in range(0xC0, 0x30000):
+        c = chr(k)
+        if not 0xAC00 <= k < 0xE000:
+            parts = unicodedata.decomposition(c)
+            if unicodedata.combining(c) or (parts and parts[0] != "<" and unicodedata.normalize("NFC", c) != c):
+                found.add(k)
+            if parts and parts[0] != "<" and " " in parts:
+                found.add(int(parts.split(" ")[1], 16))
+    ranges: list[list[int]] = []
+    for k in sorted(found):
+        if ranges and ranges[-1][1] == k - 1:
+            ranges[-1][1] = k
+        else:
+            ranges.append([k, k])
+    return "[[^\\x{0}-\\x{2FF}\\x{388}-\\x{3CE}\\x{2010}-\\x{2027}]&&[\\p{M}" + "".join(f"\\x{{{a:X}}}-\\x{{{z:X}}}" for a, z in ranges) + "]]"
+
+
+def composed(c: Column) -> Column:
+    """Composed form.  Only texts that hold a character which composing may change go to a Python worker, others pass as null."""
+    return F.coalesce(nfc(F.when(c.rlike(not_composed()), c)), c)
+
+
+def article_markers(c: Column) -> Column:
+    """Database markers of articles become headings, unless the article's own heading follows within reach; number 0 none.
+
+    A look-ahead takes what is in reach of each marker, where its cut counts as the
+    line's end; the text is put together from what stands between markers.
+    """
+    seen = f"(?Us){rules.ARTICLE_MARKER}(?=(.{{0,{rules.HEADING_REACH}}}))"
+    marker = f"(?U){rules.ARTICLE_MARKER}"
+    before, after = rules.OWN_HEADING
 
-    def turned(t: str) -> str:
-        parts, done = [], 0
-        for m in marker.finditer(t):
-            number, below = m.group(1), t[m.end() : m.end() + rules.HEADING_REACH]
-            own = number == "0" or re.search(rf"(?m)^[ \t]*[ΆΑ]ρθρο[νΝ]?[ \t]+{number}[ \t]*[.:]?[ \t]*$", below)
-            parts += [t[done : m.start()], "\n" if own else f"\nΆρθρο {number}\n"]
-            done = m.end()
-        return "".join(parts) + t[done:]
+    def turned(number: Column, below: Column) -> Column:
+        own = (number == "0") | F.rlike(below, F.concat(F.lit(f"(?md){before}"), number, F.lit(after)))
+        return F.when(own, "\n").otherwise(F.concat(F.lit("\nΆρθρο "), number, F.lit("\n")))
 
-    return text.map(turned, na_action="ignore")
+    heads = F.zip_with(F.regexp_extract_all(c, F.lit(seen), F.lit(1)), F.regexp_extract_all(c, F.lit(seen), F.lit(2)), turned)
+    whole = F.zip_with(F.split(c, marker), F.concat(heads, F.array(F.lit(""))), lambda part, head: F.concat(part, head))
+    return F.when(c.rlike(marker), F.array_join(whole, "")).otherwise(c)
 
 
 def strip(c: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def replace_characters(c: Column) -> Column:
@@ -71,9 +106,13 @@ def join_hyphens(c: Column) -> Column:
     return F.regexp_replace(c, "(?U)(\\w)[-­]\\n(\\w)", "$1$2")
 
 
+#: All kinds of page noise as one alternation, each with its own flags.
+NOISE = "|".join(re.sub(r"^\(\?(\w+)\)(.*)$", r"(?\1:\2)", p) for p in rules.PAGE_NOISE)
+
+
 def is_noise(line: Column) -> Column:
     """Page headers, page numbers and blank lines."""
-    return reduce(lambda a, b: a | b, [line.rlike(p) for p in rules.PAGE_NOISE])
+    return line.rlike(NOISE)
 
 
 def drop_noise(c: Column) -> Column:
@@ -87,7 +126,9 @@ def drop_database_traces(c: Column) -> Column:
 def repair_lookalikes(c: Column) -> Column:
     """Latin letters inside words that hold a Greek letter become the Greek ones they look like."""
     words = F.regexp_extract_all(c, F.lit(r"(?U)([^\W\d_]+|[\W\d_]+)"), F.lit(1))
-    return F.array_join(F.transform(words, lambda w: F.when(w.rlike("[Ͱ-Ͽἀ-῿]"), F.translate(w, rules.LOOKALIKES_LATIN, rules.LOOKALIKES_GREEK)).otherwise(w)), "")
+    repaired = F.array_join(F.transform(words, lambda w: F.when(w.rlike("[Ͱ-Ͽἀ-῿]"), F.translate(w, rules.LOOKALIKES_LATIN, rules.LOOKALIKES_GREEK)).otherwise(w)), "")
+    # only a text with both scripts, next to each other in a word, is taken apart
+    return F.when(c.rlike(f"[{rules.LOOKALIKES_LATIN}]\\p{{L}}*[Ͱ-Ͽἀ-῿]|[Ͱ-Ͽἀ-῿]\\p{{L}}*[{rules.LOOKALIKES_LATIN}]"), repaired).otherwise(c)
 
 
 def collapse_blanks(c: Column) -> Column:
@@ -102,7 +143,7 @@ def tidy(c: Column) -> Column:
 
 def normalise(c: Column, noise: bool = True, unicode_forms: bool = True) -> Column:
     """The whole normalisation; the order matters.  Without unicode_forms it assumes composed text without database traces."""
-    out = replace_characters(nfc(c) if unicode_forms else c)
+    out = replace_characters(composed(c) if unicode_forms else c)
     out = join_hyphens(out)
     if noise:
         out = drop_noise(drop_database_traces(out) if unicode_forms else out)
@@ -115,6 +156,15 @@ def search_key(c: Column) -> Column:
     return F.translate(F.lower(c), accented, "αεηιουωιυιυσaaaaaaceeeeiiiinooooouuuuyy")
 
 
+#: Texts that search_key() turns as search_key_any() does: monotonic Greek, Latin-1, usual marks.
+PLAIN = r"^[\x{0}-\x{7F}\x{A0}-\x{FF}\x{386}\x{388}-\x{3CE}\x{2010}-\x{2027}]*$"
+
+
+def search_key_of(c: Column) -> Column:
+    """The search key of any text; only those with other characters than PLAIN go to a Python worker."""
+    return F.coalesce(search_key_any(F.when(~c.rlike(PLAIN), c)), search_key(c))
+
+
 def gazette_verified(raw: Column, number: Column, year: Column) -> Column:
     """Number and year both occur in the first 8000 characters; false without a gazette."""
     key = search_key(normalise(F.left(raw, F.lit(8000)), noise=False, unicode_forms=False))

@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from lexicord.functions import rules
 from lexicord.functions.names import article_order
 from lexicord.functions.text import one_line, strip
+from lexicord.operators import scan
 
 MARK, FIELD = "\u0001", "\u0002"
 
@@ -47,9 +48,8 @@ def paragraphs(body: Column) -> Column:
     pieces = F.split(F.regexp_replace(strip(body), rules.PARAGRAPH, f"{MARK}$1{FIELD}"), MARK)
 
     def made(piece: Column) -> Column:
-        fields = F.split(piece, FIELD, 2)
-        numbered = F.size(fields) == 2
-        return F.struct(F.when(numbered, fields[0]).otherwise("").alias("arithmos"), one_line(F.when(numbered, F.get(fields, F.lit(1))).otherwise(piece)).alias("keimeno"))
+        numbered = F.contains(piece, F.lit(FIELD))
+        return F.struct(F.when(numbered, F.substring_index(piece, FIELD, 1)).otherwise("").alias("arithmos"), one_line(F.when(numbered, F.substring_index(piece, FIELD, -1)).otherwise(piece)).alias("keimeno"))
 
     return F.filter(F.transform(pieces, made), lambda p: p["keimeno"] != "")
 
@@ -62,22 +62,28 @@ def headings(laws: DataFrame, law: str = "law", text: str = "text") -> DataFrame
     return rows.select("law", "pos", *[F.nullif(fields[k], F.lit("")).alias(n) for k, n in enumerate(("part", "chapter", "article", "letter"))], fields[4].alias("body"))
 
 
-def articles(laws: DataFrame, law: str = "law", text: str = "text") -> DataFrame:
+def articles(laws: DataFrame, law: str = "law", text: str = "text", segment: int | None = None) -> DataFrame:
     """(law, pos, arthro, titlos, meros, meros_titlos, kefalaio, kefalaio_titlos, paragrafoi) of every article.
 
-    A new Part ends the Chapter.  A law without article headings gives no row.
+    A new Part ends the Chapter.  A law without article headings gives no row.  A
+    law's headings are carried forward in one task, or, if `segment` is given, in
+    pieces of that many headings over as many tasks as they need.
     """
     section = F.when(F.col("part").isNotNull() | F.col("chapter").isNotNull(), section_title(F.col("body")))
     bare = F.regexp_replace(F.coalesce("part", "chapter"), "[΄']+$", "")
     rows = headings(laws, law, text).withColumn("section", F.struct(bare.alias("n"), section.alias("t")))
-    before = Window.partitionBy("law").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    within = Window.partitionBy("law", "part_seq").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = (
-        rows.withColumn("part_seq", F.count("part").over(before))
-        .withColumn("m", F.last(F.when(F.col("part").isNotNull(), F.col("section")), True).over(before))
-        .withColumn("k", F.last(F.when(F.col("chapter").isNotNull(), F.col("section")), True).over(within))
-        .where("article is not null")
-    )
+    part = F.when(F.col("part").isNotNull(), F.col("section"))
+    # a Part is a Chapter of no name
+    chapter = F.when(F.col("chapter").isNotNull(), F.col("section")).when(F.col("part").isNotNull(), F.struct(F.lit(None).cast("string").alias("n"), F.lit(None).cast("string").alias("t")))
+    if segment:
+        from lexicord.sources.tables import checkpointed
+
+        rows = checkpointed(rows.withColumn("segment", F.floor(F.col("pos") / segment)))
+        rows = scan.carried(rows, "law", "pos", {"m": part, "k": chapter}).drop("segment")
+    else:
+        before = Window.partitionBy("law").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        rows = rows.withColumns({"m": F.last(part, True).over(before), "k": F.last(chapter, True).over(before)})
+    rows = rows.where("article is not null")
     lines = F.split(strip(F.col("body")), "\n")
     rows = rows.withColumn("lines", lines).withColumn("counted", title_lines(F.col("lines")))
     rest = F.array_join(F.expr("slice(lines, counted + 1, size(lines))"), "\n")

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexicord.functions import names, text
-from lexicord.operators import pages, records, structure
+from lexicord.operators import pages, records, scan, structure
 from lexicord.plans import synth
 from lexicord.sources.extract import page_text as extracted_page_text
+from lexicord.sources.tables import checkpointed
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -153,6 +154,58 @@ SELECT doc_id, length(t) AS n_chars, sha256(t) AS text_sha256 FROM c
 """
 
 
+def composed_keys(spark, sf_dir):
+    """Documents with letters taken apart into letter and mark, composed again, and their search keys."""
+    apart = F.replace(F.replace("text", F.lit("é"), F.lit("e\u0301")), F.lit("ü"), F.lit("u\u0308"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, apart).otherwise(F.col("text")).alias("text"))
+    return docs.select("doc_id", F.sha2(F.encode(text.composed(F.col("text")), "UTF-8"), 256).alias("text_sha256"), F.sha2(F.encode(text.search_key_of(F.col("text")), "UTF-8"), 256).alias("key_sha256"))
+
+
+COMPOSED = """
+WITH d AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN replace(replace(text, 'é', 'e' || chr(769)), 'ü', 'u' || chr(776)) ELSE text END AS t FROM documents)
+SELECT doc_id, sha256(nfc_normalize(t)) AS text_sha256, sha256(replace(strip_accents(nfc_normalize(lower(t))), 'ς', 'σ')) AS key_sha256 FROM d
+"""
+
+
+def database_markers(spark, sf_dir):
+    """Documents whose lines follow a database's markers and traces, some with the article's own heading within reach."""
+    marker = lambda i: F.concat(F.lit("Άρθρο :"), (i % 4).cast("string"))
+    own = lambda i: F.when(i % 3 == 1, F.concat(F.lit("\nΆρθρο "), (i % 4).cast("string"), F.lit(".\n"))).otherwise("")
+    lines = F.transform(F.split("text", "\n"), lambda x, i: F.concat(F.lit("Προισχύσασες μορφές άρθρου : 3"), marker(i), x, own(i)))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.array_join(lines, "\n").alias("text"))
+    out = text.drop_database_traces(F.col("text"))
+    return docs.select("doc_id", F.length(out).cast("long").alias("n_chars"), F.sha2(F.encode(out, "UTF-8"), 256).alias("text_sha256"))
+
+
+# A marker's reach is the 300 characters after it: its own line's heading is in them, or a later line's of the same number.
+MARKERS = r"""
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
+p AS (SELECT doc_id, i, (i - 1) % 4 AS n, l[i] AS x, l[i] || CASE WHEN (i - 1) % 3 = 1 THEN chr(10) || 'Άρθρο ' || ((i - 1) % 4) || '.' || chr(10) ELSE '' END AS below FROM l, unnest(generate_series(1, len(l))) AS t(i)),
+q AS (SELECT *, left(below || coalesce(chr(10) || string_agg(chr(10) || 'Άρθρο :' || n || below, chr(10)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 1 FOLLOWING AND 300 FOLLOWING), ''), 300) AS reach FROM p),
+r AS (SELECT doc_id, i, chr(10) || CASE WHEN n = 0 OR regexp_matches(reach, '(?m)^[ 	]*Άρθρο[ 	]+' || n || '[ 	]*[.:]?[ 	]*$') THEN chr(10) ELSE chr(10) || 'Άρθρο ' || n || chr(10) END || below AS piece FROM q),
+t AS (SELECT doc_id, string_agg(piece, chr(10) ORDER BY i) AS t FROM r GROUP BY doc_id)
+SELECT doc_id, length(t) AS n_chars, sha256(t) AS text_sha256 FROM t
+"""
+
+
+def segmented_runs(spark, sf_dir):
+    """Runs of equal events of each user, scanned by day, and the last purchase before each, summed up."""
+    events = checkpointed(table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", F.struct("ts", "event_id").alias("at"), F.date_trunc("day", "ts").alias("segment")))
+    rows = scan.adjacent_groups(events, "user_id", "event_type", "at")
+    bought = scan.carried(events, "user_id", "at", {"bought": F.when(F.col("event_type") == "purchase", F.col("event_id"))})
+    one = rows.groupBy("user_id").agg(F.max("run").alias("runs"), F.sum(F.col("run") * (F.col("event_id") % 97)).alias("run_sum"))
+    two = bought.groupBy("user_id").agg(F.sum("bought").alias("bought_sum"), F.count("bought").alias("with_purchase"))
+    return one.join(two, one["user_id"].eqNullSafe(two["user_id"])).select(one["user_id"], "runs", "run_sum", "bought_sum", "with_purchase")
+
+
+SEGMENTED = """
+WITH a AS (SELECT *, CASE WHEN event_type IS DISTINCT FROM lag(event_type) OVER w OR lag(1) OVER w IS NULL THEN 1 ELSE 0 END AS s,
+    last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS bought FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+b AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM a)
+SELECT user_id, CAST(max(run) AS BIGINT) AS runs, CAST(sum(run * (event_id % 97)) AS BIGINT) AS run_sum, CAST(sum(bought) AS BIGINT) AS bought_sum, count(bought) AS with_purchase FROM b GROUP BY user_id
+"""
+
+
 def homoglyph_repair(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", F.translate("text", "eu", "ευ").alias("text"))
     return docs.select("doc_id", F.sha2(F.encode(text.repair_lookalikes(F.col("text")), "UTF-8"), 256).alias("text_sha256"))
@@ -315,6 +368,9 @@ QUERIES = {
     "supplement_fill": (supplement_fill, SUPPLEMENT),
     "numeric_suffix_order": (numeric_suffix_order, NUMERIC_SUFFIX),
     "normalised_texts": (normalised_texts, NORMALISED),
+    "composed_keys": (composed_keys, COMPOSED),
+    "database_markers": (database_markers, MARKERS),
+    "segmented_runs": (segmented_runs, SEGMENTED),
     "homoglyph_repair": (homoglyph_repair, HOMOGLYPHS),
     "search_keys": (search_keys, SEARCH_KEYS),
     "gazette_verified": (gazette_verified, GAZETTE),

@@ -3,9 +3,10 @@ import struct
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lexicord.functions import names, rules
-from lexicord.operators import changes, fallback, links, pages, records, registry, structure
+from lexicord.operators import changes, fallback, links, pages, records, registry, scan, structure
 from lexicord.plans import pipelines
 from lexicord.sources import cache, extract, lawfiles, tables
 from lexicord.streaming import incremental
@@ -490,3 +491,26 @@ def test_lost_attempts_leave_no_file(tmp_path):
     other.write(iter([Row(path="t/a.md", text="never")]))
     other.abort([])
     assert (tmp_path / "t/a.md").read_text() == "one\ntwo\n" and not list((tmp_path / "_staging").iterdir())
+
+
+def test_segmented_scans_equal_windows(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(rng.choice(("a", "b", None)), k, rng.choice(("x", "y", None)), rng.choice((None, None, None, k))) for k in range(600)]
+    df = spark.createDataFrame(rows, "law string, pos int, key string, v int").withColumn("segment", F.floor(F.col("pos") / 7))
+    w = Window.partitionBy("law").orderBy("pos")
+    want = records.adjacent_groups(df, "law", "key", "pos").withColumn("last", F.last("v", True).over(w))
+    got = scan.carried(scan.adjacent_groups(df, "law", "key", "pos"), "law", "pos", {"last": F.col("v")})
+    columns = ["law", "pos", "key", "v", "run", "last"]
+    assert sorted(map(tuple, got.select(*columns).collect()), key=repr) == sorted(map(tuple, want.select(*columns).collect()), key=repr)
+
+
+def test_a_long_law_in_segments_equals_one_window(spark):
+    kinds = ["ΜΕΡΟΣ {a}\nΤίτλος {k}\n", "ΚΕΦΑΛΑΙΟ {a}\nΤίτλος {k}\n", "Άρθρο {k}\nΤίτλος\n1. Κείμενο {k}.\n", "Άρθρο {k}\nκείμενο\n", "Άρθρο {k}\nΛέξη\n"]
+    import random
+
+    rng = random.Random(3)
+    texts = [(f"l{n}", "".join(rng.choice(kinds if rng.random() < 0.1 else kinds[2:]).format(a="ΑΒΓΔ"[k % 4], k=k) for k in range(size))) for n, size in enumerate((3000, 40, 1))]
+    df = spark.createDataFrame(texts, "law string, text string")
+    assert sorted(map(str, structure.articles(df, segment=100).collect())) == sorted(map(str, structure.articles(df).collect()))

@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,3 +70,40 @@ def test_names(spark):
 def test_gazette(spark):
     rows = spark.createDataFrame([("Τεύχος Α΄100/13.06.2025", 100, 2025), ("Τεύχος Α΄100/13.06.2025", 101, 2025), ("x", None, None)], "t string, n int, y int")
     assert [r[0] for r in rows.select(text.gazette_verified(F.col("t"), F.col("n"), F.col("y"))).collect()] == [True, False, False]
+
+
+def test_markers_equal_a_plain_version(spark):
+    rng = random.Random(2)
+    bits = ["Άρθρο :1", "Αρθρο: 2", "Άρθρο : 0", "Άρθρο 1", "\n", "\nΆρθρο 1.\n", "\n Άρθρον 2 :\n", "\nΆρθρο 12\n", " ", "λέξη ", "x" * 90, "x" * 280, "😀" * 140, "\nΆρθρο 1", "\t"]
+    rows = [("".join(rng.choice(bits) for _ in range(rng.randint(1, 12))),) for _ in range(800)]
+
+    def plain(t):
+        def turned(m):
+            number, below = m.group(1), t[m.end() : m.end() + 300]
+            own = number == "0" or re.search(rf"(?m)^[ \t]*[ΆΑ]ρθρο[νΝ]?[ \t]+{number}[ \t]*[.:]?[ \t]*$", below)
+            return "\n" if own else f"\nΆρθρο {number}\n"
+
+        return re.sub(r"[ΆΑ]ρθρο\s*:\s*(\d+)", turned, t)
+
+    got = spark.createDataFrame(rows, "t string").select(text.article_markers(F.col("t")).alias("u"))
+    assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
+    assert [r.u for r in got.collect()] == [plain(t) for t, in rows]
+
+
+def test_every_character_is_composed_as_python_does(spark):
+    char = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    rows = spark.range(1, 0x110000).where("id < 55296 or id > 57343").select(F.concat(F.lit("e"), char).alias("t"))
+    assert rows.where(text.composed(F.col("t")) != text.nfc(F.col("t"))).count() == 0
+    turned = rows.select(text.search_key_of(F.col("t")).alias("a"), text.search_key_any(F.col("t")).alias("b"))
+    assert turned.where("a != b").count() == 0
+
+
+def test_only_texts_that_need_it_go_to_python(spark):
+    rows = spark.createDataFrame([("απλό κείμενο",), ("e\u0301",), (None,)], "t string")
+    assert [r[0] for r in rows.select(text.composed(F.col("t"))).collect()] == ["απλό κείμενο", "é", None]
+    plan = rows.select(text.composed(F.col("t")))._jdf.queryExecution().executedPlan().toString()
+    assert "CASE WHEN RLIKE" in plan and "ArrowEvalPython" in plan
+
+
+def test_strip_takes_all_white_space(spark):
+    assert one(spark, text.strip, "\u3000\x85\n\t a\u2003b \u00a0\u2029") == "a\u2003b"
