@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexicord.plans import build_queries, table_queries, text_queries
+from lexicord.plans import build_queries, document_queries, table_queries, text_queries
 
-ALL = text_queries.QUERIES | table_queries.QUERIES | build_queries.QUERIES
+ALL = text_queries.QUERIES | table_queries.QUERIES | build_queries.QUERIES | document_queries.QUERIES
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
