@@ -21,6 +21,7 @@ different lengths.  Rows that repeat id, vector and label count once.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from math import comb, erf, sqrt
 
 import numpy as np
@@ -50,7 +51,9 @@ def calibrated(threshold: float, projections: int, width: float, recall: float)
     return width * sqrt(2 - 2 * threshold), count
 
 
+@lru_cache(maxsize=8)
 def directions(length: int, projections: int) -> np.ndarray:
+    """The same for all workers; one matrix for each length of vectors."""
     return np.random.default_rng([SEED, length]).standard_normal((length, projections))
 
 
