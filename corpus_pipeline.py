@@ -13,11 +13,12 @@ folder and reads it again as the next stage's docs.
 4. decontamination: documents that hold a passage of the benchmark go.
 5. tokens: the ids of what is left, and the text they decode to.
 
-In every stage null text counts as empty, rows without id stay unless their own
-text is rejected or contaminated, repeated rows are judged alike (in `lines` and
-`near_duplicates` rows of one id are no copies of each other), columns beyond
-those of documents pass through all stages but the last, and an empty table gives
-an empty table.
+In every stage null text counts as empty, columns beyond those of documents pass
+through (all stages but the last), and an empty table gives an empty table.  Rows
+without id are judged by their own text in `quality` and `decontamination`, come
+last in `lines`, where copies go, and stay in `near_duplicates`.  Repeated rows are
+judged alike; in `lines` and `near_duplicates` rows of one id are no copies of each
+other.
 """
 
 from __future__ import annotations
