@@ -191,9 +191,13 @@ def speak_letters(c: Column) -> Column:
     spoken = dict(rules.LETTER_NAMES) | {k.upper(): v.capitalize() for k, v in rules.LETTER_NAMES.items() if len(k) == 1}
     names = F.create_map(*[F.lit(x) for x in chain(*spoken.items())])
     apart = F.regexp_replace(c, f"(?U)({marked})(?=[^\\W\\d_])", "$1 ")
-    parts = F.regexp_extract_all(apart, F.lit(f"(?Us)({marked}|(?:(?!{marked}).)+)"), F.lit(1))
-    said = F.transform(parts, lambda x: F.when(x.rlike(f"(?U)^{marked}$"), F.coalesce(F.try_element_at(names, F.regexp_replace(x, "[΄'`]$", "")), x)).otherwise(x))
-    return F.when(c.rlike("[΄'`]"), F.array_join(said, "")).otherwise(c)
+
+    def said(t: Column) -> Column:
+        found = F.regexp_extract_all(t, F.lit(f"(?U){marked}"), F.lit(0))
+        spoken_ = F.transform(found, lambda x: F.coalesce(F.try_element_at(names, F.regexp_replace(x, "[΄'`]$", "")), x))
+        return F.array_join(F.zip_with(F.split(t, f"(?U){marked}"), F.concat(spoken_, F.array(F.lit(""))), lambda between, letter: F.concat(between, letter)), "")
+
+    return F.when(c.rlike(f"(?U){marked}"), bound(apart, said)).otherwise(c)
 
 
 def speak_numbers(c: Column) -> Column:
