@@ -86,7 +86,7 @@ def article_markers(c: Column) -> Column:
         return F.when(own, "\n").otherwise(F.concat(F.lit("\nΆρθρο "), number, F.lit("\n")))
 
     heads = F.zip_with(F.regexp_extract_all(c, F.lit(seen), F.lit(1)), F.regexp_extract_all(c, F.lit(seen), F.lit(2)), turned)
-    whole = F.zip_with(F.split(c, marker), F.concat(heads, F.array(F.lit(""))), lambda part, head: F.concat(part, head))
+    whole = F.zip_with(between(c, marker), F.concat(heads, F.array(F.lit(""))), lambda part, head: F.concat(part, head))
     return F.when(c.rlike(marker), F.array_join(whole, "")).otherwise(c)
 
 
@@ -127,8 +127,8 @@ def repair_lookalikes(c: Column) -> Column:
     """Latin letters inside words that hold a Greek letter become the Greek ones they look like."""
     words = F.regexp_extract_all(c, F.lit(r"(?U)([^\W\d_]+|[\W\d_]+)"), F.lit(1))
     repaired = F.array_join(F.transform(words, lambda w: F.when(w.rlike("[Ͱ-Ͽἀ-῿]"), F.translate(w, rules.LOOKALIKES_LATIN, rules.LOOKALIKES_GREEK)).otherwise(w)), "")
-    # only a text with both scripts, next to each other in a word, is taken apart
-    return F.when(c.rlike(f"[{rules.LOOKALIKES_LATIN}]\\p{{L}}*[Ͱ-Ͽἀ-῿]|[Ͱ-Ͽἀ-῿]\\p{{L}}*[{rules.LOOKALIKES_LATIN}]"), repaired).otherwise(c)
+    # only a text with both scripts is taken apart
+    return F.when(c.rlike("[Ͱ-Ͽἀ-῿]") & c.rlike(f"[{rules.LOOKALIKES_LATIN}]"), repaired).otherwise(c)
 
 
 def collapse_blanks(c: Column) -> Column:
@@ -181,6 +181,16 @@ def bound(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def between(c: Column, pattern: str) -> Column:
+    """What stands between the matches of a pattern.
+
+    split() makes its pattern anew for each text, so matches become one control
+    character first, unless the text holds that itself.
+    """
+    cut = F.split(F.regexp_replace(c, pattern, "\u0001"), "\u0001")
+    return F.when(F.contains(c, F.lit("\u0001")), F.split(c, pattern)).otherwise(cut)
+
+
 def speak_letters(c: Column) -> Column:
     """A letter with a tonos mark becomes its name, with a blank if a letter follows.
 
@@ -195,7 +205,7 @@ def speak_letters(c: Column) -> Column:
     def said(t: Column) -> Column:
         found = F.regexp_extract_all(t, F.lit(f"(?U){marked}"), F.lit(0))
         spoken_ = F.transform(found, lambda x: F.coalesce(F.try_element_at(names, F.regexp_replace(x, "[΄'`]$", "")), x))
-        return F.array_join(F.zip_with(F.split(t, f"(?U){marked}"), F.concat(spoken_, F.array(F.lit(""))), lambda between, letter: F.concat(between, letter)), "")
+        return F.array_join(F.zip_with(between(t, f"(?U){marked}"), F.concat(spoken_, F.array(F.lit(""))), lambda part, letter: F.concat(part, letter)), "")
 
     return F.when(c.rlike(f"(?U){marked}"), bound(apart, said)).otherwise(c)
 
