@@ -128,7 +128,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, groups: int = 4
     based = copies.withColumn("base", F.xxhash64("label", F.size("v")))
     points = written(based.mapInArrow(project, f"label {label_type}, v array<double>, id long, times long, base long, at array<smallint>, scale double, norm double"))
     cut = min(size, max(1, ceil(log(max(1, points.count()) / FEW) / log(4))))  # about four cells hold what one projection spreads
-    passed = written(meetings(points, step, groups, size, cut))
+    passed = written(meetings(points, step, groups, size, cut).distinct())  # a pair is verified once, however many groups it hits
 
     def end(name: str, mark: str) -> DataFrame:
         return points.select(F.col("id").alias(name), *(F.col(c).alias(c + mark) for c in ("label", "v", "at", "scale", "norm")))
