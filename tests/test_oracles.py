@@ -36,3 +36,14 @@ def test_query_equals_its_sql(spark, sf_dir, duck, name):
 def test_queries_without_sql_give_rows(spark, sf_dir):
     for name in set(catalogue.queries()) - set(catalogue.oracle_sql()):
         assert catalogue.queries()[name](spark, sf_dir).count() > 0
+
+
+def test_markers_before_lines_that_begin_with_figures(spark, tmp_path):
+    from lexicord.plans import text_queries
+
+    texts = [(1, "12 a\n3\n2b\nc"), (2, "0\n1\n\n07\n4x"), (3, None), (4, ""), (5, "\n".join(f"{k} {'z' * 40}" for k in range(30)))]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = text_queries.database_markers(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == sorted(con.sql(text_queries.MARKERS).fetchall())
