@@ -144,8 +144,9 @@ def law_file_texts(spark, sf_dir):
     lines = docs.select(F.concat(place, F.lit("/full.md")).alias("path"), F.posexplode("lines").alias("seq", "line")).select("path", "seq", F.concat("line", F.lit("\n")).alias("text"))
     facts = docs.select("doc_id", "source", F.size("lines").alias("plithos_paragrafon"), F.lit(None).cast("string").alias("celex"))
     meta = facts.select(F.concat(folder_of(F.col("source"), F.col("doc_id")), F.lit("/meta.json")).alias("path"), F.lit(0).alias("seq"), F.concat(json_text(["doc_id", "source", "plithos_paragrafon", "celex"], ",\n  ", "\n  ", "\n"), F.lit("\n")).alias("text"))
-    names = docs.select(F.lit("addresses").alias("path"), F.col("doc_id").cast("int").alias("seq"), F.concat(F.lit("file:"), place, F.lit("/full.md\nfile:/"), place, F.lit("/meta.json\n"), F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("file:"), place, F.lit("/none.pdf\n"))).otherwise("")).alias("text"))
-    write_files(lines.unionByName(meta).unionByName(names), root)
+    names = docs.select(F.concat(F.lit("file:"), place, F.lit("/full.md\nfile:/"), place, F.lit("/meta.json\n"), F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("file:"), place, F.lit("/none.pdf\n"))).otherwise("")).alias("text"))
+    write_files(lines.unionByName(meta), root)
+    names.write.text(f"{root}/addresses")
     read = read_files(spark, root, listed="addresses")
     return read.select("url", "content_type", F.sha2("content", 256).alias("content_sha256"), F.col("error").isNotNull().alias("failed"))
 

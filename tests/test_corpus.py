@@ -493,6 +493,24 @@ def test_lost_attempts_leave_no_file(tmp_path):
     assert (tmp_path / "t/a.md").read_text() == "one\ntwo\n" and not list((tmp_path / "_staging").iterdir())
 
 
+def test_listed_addresses_may_lie_in_a_folder(spark, tmp_path):
+    texts = spark.range(300).select(F.concat(F.lit("d/"), F.col("id").cast("string")).alias("path"), F.lit(0).alias("seq"), F.col("id").cast("string").alias("text"))
+    lawfiles.write_files(texts, str(tmp_path))
+    lawfiles.write_files(texts.where("path = 'd/7'").withColumn("text", F.lit("again")), str(tmp_path))
+    spark.range(301).repartition(3).select(F.concat(F.lit("file:d/"), F.col("id").cast("string"), F.lit("\n"))).write.text(f"{tmp_path}/list")
+    rows = {r.url: r for r in lawfiles.read_files(spark, str(tmp_path), listed="list").collect()}
+    assert len(rows) == 301 and rows["file:d/300"].error and bytes(rows["file:d/7"].content) == b"again"
+    assert all(bytes(rows[f"file:d/{k}"].content) == str(k).encode() for k in range(300) if k != 7) and not list((tmp_path / "_staging").iterdir())
+
+
+def test_a_second_attempt_finds_files_in_place(tmp_path):
+    files = list(lawfiles.set_aside(str(tmp_path), "j", [("t/a.md", "one")]))
+    assert lawfiles.put_in_place(str(tmp_path), files) == lawfiles.put_in_place(str(tmp_path), files) == 1
+    assert (tmp_path / "t/a.md").read_text() == "one"
+    with pytest.raises(OSError):
+        lawfiles.put_in_place(str(tmp_path), [(f"{tmp_path}/none", f"{tmp_path}/t/b.md")])
+
+
 def test_segmented_scans_equal_windows(spark):
     import random
 
