@@ -12,7 +12,8 @@ from lexicord.functions.text import pronounce, strip
 
 def flatten(articles: DataFrame) -> DataFrame:
     """One row for each paragraph, with its place `seq` in the law."""
-    rows = articles.select("*", F.posexplode("paragrafoi").alias("par", "p")).drop("paragrafoi")
+    # the plain generator's filter of empty arrays would be pushed below and parse each law again
+    rows = articles.select("*", F.posexplode_outer("paragrafoi").alias("par", "p")).where("p is not null").drop("paragrafoi")
     return rows.select("*", F.col("p.arithmos").alias("paragrafos"), F.col("p.keimeno").alias("keimeno"), F.struct("pos", "par").alias("seq")).drop("p", "par")
 
 

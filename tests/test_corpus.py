@@ -532,3 +532,14 @@ def test_a_long_law_in_segments_equals_one_window(spark):
     texts = [(f"l{n}", "".join(rng.choice(kinds if rng.random() < 0.1 else kinds[2:]).format(a="ΑΒΓΔ"[k % 4], k=k) for k in range(size))) for n, size in enumerate((3000, 40, 1))]
     df = spark.createDataFrame(texts, "law string, text string")
     assert sorted(map(str, structure.articles(df, segment=100).collect())) == sorted(map(str, structure.articles(df).collect()))
+
+
+def planned(df, pattern):
+    return df._jdf.queryExecution().optimizedPlan().toString().count(pattern)
+
+
+def test_paragraphs_are_made_once_for_all_their_rows(spark):
+    articles = structure.articles(spark.createDataFrame([("l", TEXT)], "law string, text string").repartition(2))
+    assert planned(records.flatten(articles), r"(\d{1,3})\.") == planned(articles, r"(\d{1,3})\.")
+    rows = spark.createDataFrame([("l", [("1", "a"), ("", "b")]), ("m", []), ("n", None)], "law string, paragrafoi array<struct<arithmos:string,keimeno:string>>").withColumn("pos", F.lit(1))
+    assert sorted((r.law, r.seq.par, r.paragrafos, r.keimeno) for r in records.flatten(rows).collect()) == [("l", 0, "1", "a"), ("l", 1, "", "b")]
