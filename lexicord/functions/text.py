@@ -207,12 +207,13 @@ def speak_letters(c: Column) -> Column:
         spoken_ = F.transform(found, lambda x: F.coalesce(F.try_element_at(names, F.regexp_replace(x, "[΄'`]$", "")), x))
         return F.array_join(F.zip_with(between(t, f"(?U){marked}"), F.concat(spoken_, F.array(F.lit(""))), lambda part, letter: F.concat(part, letter)), "")
 
-    return F.when(c.rlike(f"(?U){marked}"), bound(apart, said)).otherwise(c)
+    # word boundaries of all scripts are slow, so the mark after a letter is looked for first
+    return F.when(c.rlike("[Α-Ωα-ω][΄'`]") & c.rlike(f"(?U){marked}"), bound(apart, said)).otherwise(c)
 
 
 def speak_numbers(c: Column) -> Column:
     """237/1986 becomes 237 του 1986."""
-    return F.regexp_replace(c, r"(?U)\b(\d{1,5})/((?:19|20)\d{2})\b", "$1 του $2")
+    return F.when(F.contains(c, F.lit("/")), F.regexp_replace(c, r"(?U)\b(\d{1,5})/((?:19|20)\d{2})\b", "$1 του $2")).otherwise(c)
 
 
 def pronounce(c: Column) -> Column:
@@ -224,8 +225,10 @@ def pronounce(c: Column) -> Column:
     # a step's pattern is searched only in texts that hold its plain letters
     plain = [re.sub(r"\\b$|\\\.\?$", "", p).replace("\\", "") for p, _ in (*rules.ACTS, *rules.NUMBERED, *rules.ALONE)]
     turned = lambda letters, step: lambda t: F.when(F.contains(t, F.lit(letters)), F.regexp_replace(t, *step)).otherwise(t)
-    out = reduce(lambda t, s: bound(t, turned(*s)), zip(plain, steps), c)
-    out = speak_numbers(bound(out, speak_letters))
+    # nor any of them in a text without a Greek letter before a point or stroke, or the plain letters of the others
+    likely = "|".join(["[α-ω][./]", *(re.escape(p) for p in plain if not re.search("[α-ω][./]", p))])
+    out = bound(c, lambda whole: F.when(whole.rlike(likely), reduce(lambda t, s: bound(t, turned(*s)), zip(plain, steps), whole)).otherwise(whole))
+    out = bound(bound(out, speak_letters), speak_numbers)
     out = F.replace(F.replace(out, F.lit("%"), F.lit(" τοις εκατό")), F.lit("€"), F.lit(" ευρώ"))
     return strip(collapse_blanks(out))
 

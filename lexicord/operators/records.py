@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lexicord.functions import names, rules
-from lexicord.functions.text import pronounce, strip
+from lexicord.functions.text import bound, pronounce, strip
 
 
 def flatten(articles: DataFrame) -> DataFrame:
@@ -171,7 +171,7 @@ def spoken_export(records: DataFrame, laws: DataFrame) -> DataFrame:
         F.when(F.coalesce("prosochi", F.lit("")) != "", pronounce(F.col("prosochi"))).alias("caution"),
         names.identity(F.col("typos"), F.col("arithmos"), F.col("etos"), fek["teuxos"], fek["arithmos"], fek["imerominia"], F.col("isxys_apo")).alias("identity"),
     )
-    said = F.when(F.col("paragrafos") != "", F.concat(F.lit("Παράγραφος "), "paragrafos", F.lit(". "), pronounce(F.col("keimeno")))).otherwise(pronounce(F.col("keimeno")))
+    said = F.concat(F.when(F.col("paragrafos") != "", F.concat(F.lit("Παράγραφος "), "paragrafos", F.lit(". "))).otherwise(""), pronounce(F.col("keimeno")))
     rows = adjacent_groups(records, "law", "arthro", "seq").withColumn("said", said)
     blocks = rows.groupBy("law", "run").agg(
         F.min_by(F.struct("arthro", "titlos", "meros_titlos", "kefalaio_titlos"), "seq").alias("a"),
@@ -179,7 +179,7 @@ def spoken_export(records: DataFrame, laws: DataFrame) -> DataFrame:
     )
     place = F.concat_ws(" — ", *[F.when(F.coalesce(F.col(c), F.lit("")) != "", pronounce(F.col(c))) for c in ("a.meros_titlos", "a.kefalaio_titlos")])
     title = F.when(F.col("a.titlos") != "", F.concat(F.lit(": "), pronounce(F.col("a.titlos")))).otherwise("")
-    block = F.concat(F.lit("## "), "spoken", F.lit(" — Άρθρο "), "a.arthro", title, F.lit("\n\n"), "identity", F.lit("\n"), F.when(place != "", F.concat(place, F.lit("\n"))).otherwise(""), F.lit("\n"), "body")
+    block = F.concat(F.lit("## "), "spoken", F.lit(" — Άρθρο "), "a.arthro", title, F.lit("\n\n"), "identity", F.lit("\n"), bound(place, lambda p: F.when(p != "", F.concat(p, F.lit("\n"))).otherwise("")), F.lit("\n"), "body")
     texts = blocks.join(meta, "law").withColumn("block", block)
     docs = texts.groupBy("law").agg(F.first("law_title").alias("t"), F.first("identity").alias("i"), F.first("about").alias("d"), F.first("caution").alias("c"), F.count("*").alias("articles"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("run", "block"))), lambda x: x["block"]), "\n").alias("all"))
     top = F.concat(F.lit("# "), "t", F.lit("\n\n"), "i", F.lit("\n\n"), "d", F.lit("\n\n"), F.when(F.col("c").isNotNull(), F.concat(F.lit("## Προσοχή\n\n"), "c", F.lit("\n\n"))).otherwise(""))

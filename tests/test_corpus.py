@@ -543,3 +543,12 @@ def test_paragraphs_are_made_once_for_all_their_rows(spark):
     assert planned(records.flatten(articles), r"(\d{1,3})\.") == planned(articles, r"(\d{1,3})\.")
     rows = spark.createDataFrame([("l", [("1", "a"), ("", "b")]), ("m", []), ("n", None)], "law string, paragrafoi array<struct<arithmos:string,keimeno:string>>").withColumn("pos", F.lit(1))
     assert sorted((r.law, r.seq.par, r.paragrafos, r.keimeno) for r in records.flatten(rows).collect()) == [("l", 0, "1", "a"), ("l", 1, "", "b")]
+
+
+def test_a_place_is_pronounced_once(spark):
+    columns = "law string, seq int, arthro string, titlos string, meros_titlos string, kefalaio_titlos string, paragrafos string, keimeno string"
+    rows = spark.createDataFrame([("l", 0, "1", "", "χ", "", "1", "ν. 5")], columns).repartition(2)
+    meta = "id string, titlos string, syntomos_titlos string, typos string, arithmos string, etos int, fek struct<teuxos:string,arithmos:int,imerominia:date>, katastasi string, isxys_apo date, perigrafi string, prosochi string"
+    laws = spark.createDataFrame([("l", "t", None, "nomos", "5", 2000, None, "isxyon", None, None, None)], meta).repartition(2)
+    assert planned(records.spoken_export(rows, laws), "νομοθετικού διατάγματος") <= 10  # a use of pronounce() each
+    assert "χ\n\nΠαράγραφος 1. νόμου 5\n" in records.spoken_export(rows, laws).first().document
