@@ -68,7 +68,9 @@ def not_composed() -> str:
 
 def composed(c: Column) -> Column:
     """Composed form.  Only texts that hold a character which composing may change go to a Python worker, others pass as null."""
-    return F.coalesce(nfc(F.when(c.rlike(not_composed()), c)), c)
+    # a text of usual characters alone is one greedy run, which is read faster than a search
+    usual = c.rlike(r"^[\x{0}-\x{2FF}\x{386}\x{388}-\x{3CE}\x{2010}-\x{2027}]*+\z")
+    return F.coalesce(nfc(F.when(usual, F.lit(None).cast("string")).when(c.rlike(not_composed()), c)), c)
 
 
 def article_markers(c: Column) -> Column:
@@ -106,8 +108,8 @@ def join_hyphens(c: Column) -> Column:
     return F.regexp_replace(c, "(?U)(\\w)[-­]\\n(\\w)", "$1$2")
 
 
-#: All kinds of page noise as one alternation, each with its own flags.
-NOISE = "|".join(re.sub(r"^\(\?(\w+)\)(.*)$", r"(?\1:\2)", p) for p in rules.PAGE_NOISE)
+#: All kinds of page noise as one alternation, each with its own flags, tried at a line's start only.
+NOISE = "^(?:" + "|".join(re.sub(r"^\(\?(\w+)\)(.*)$", r"(?\1:\2)", p) for p in rules.PAGE_NOISE) + ")"
 
 
 def is_noise(line: Column) -> Column:
@@ -120,15 +122,17 @@ def drop_noise(c: Column) -> Column:
 
 
 def drop_database_traces(c: Column) -> Column:
-    return article_markers(reduce(lambda t, p: F.regexp_replace(t, p, "\n"), rules.DATABASE_TRACES, c))
+    return bound(reduce(lambda t, p: F.regexp_replace(t, p, "\n"), rules.DATABASE_TRACES, c), article_markers)
 
 
 def repair_lookalikes(c: Column) -> Column:
     """Latin letters inside words that hold a Greek letter become the Greek ones they look like."""
     words = F.regexp_extract_all(c, F.lit(r"(?U)([^\W\d_]+|[\W\d_]+)"), F.lit(1))
     repaired = F.array_join(F.transform(words, lambda w: F.when(w.rlike("[Ͱ-Ͽἀ-῿]"), F.translate(w, rules.LOOKALIKES_LATIN, rules.LOOKALIKES_GREEK)).otherwise(w)), "")
-    # only a text with both scripts is taken apart
-    return F.when(c.rlike("[Ͱ-Ͽἀ-῿]") & c.rlike(f"[{rules.LOOKALIKES_LATIN}]"), repaired).otherwise(c)
+    # only a text with both scripts in one word is taken apart; each word is looked at from its start
+    letter = r"[^\W\d_]"
+    mixed = rf"(?U)(?<!{letter})(?={letter}*?[Ͱ-Ͽἀ-῿]){letter}*?[{rules.LOOKALIKES_LATIN}]"
+    return F.when(c.rlike(mixed), repaired).otherwise(c)
 
 
 def collapse_blanks(c: Column) -> Column:
@@ -147,7 +151,7 @@ def normalise(c: Column, noise: bool = True, unicode_forms: bool = True) -> Colu
     out = join_hyphens(out)
     if noise:
         out = drop_noise(drop_database_traces(out) if unicode_forms else out)
-    return tidy(repair_lookalikes(out))
+    return tidy(bound(out, repair_lookalikes))
 
 
 def search_key(c: Column) -> Column:
@@ -168,7 +172,7 @@ def search_key_of(c: Column) -> Column:
 def gazette_verified(raw: Column, number: Column, year: Column) -> Column:
     """Number and year both occur in the first 8000 characters; false without a gazette."""
     key = search_key(normalise(F.left(raw, F.lit(8000)), noise=False, unicode_forms=False))
-    return F.coalesce(F.contains(key, number.cast("string")) & F.contains(key, year.cast("string")), F.lit(False))
+    return F.coalesce(bound(key, lambda k: F.contains(k, number.cast("string")) & F.contains(k, year.cast("string"))), F.lit(False))
 
 
 def one_line(c: Column) -> Column:

@@ -107,3 +107,10 @@ def test_only_texts_that_need_it_go_to_python(spark):
 
 def test_strip_takes_all_white_space(spark):
     assert one(spark, text.strip, "\u3000\x85\n\t a\u2003b \u00a0\u2029") == "a\u2003b"
+
+
+def test_normalising_reads_a_text_once(spark):
+    rows = spark.createDataFrame([("Άρθρο 1\nΚΑTΑ plain oxo",)], "t string").repartition(2)
+    out = rows.select(text.normalise(F.col("t")).alias("u"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Προισχύσασες") == 1
+    assert out.first().u == "Άρθρο 1\nΚΑΤΑ plain oxo"
