@@ -7,16 +7,33 @@ The only shuffle deals rows by law, for carrying Part and Chapter forward.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lexicord.functions import rules
 from lexicord.functions.names import article_order
-from lexicord.functions.text import one_line, strip
+from lexicord.functions.text import bound, one_line, strip
 from lexicord.operators import scan
 
 MARK, FIELD = "\u0001", "\u0002"
+#: How a text's own marks are written while it is cut at marks; no pattern takes them for anything else.
+OWN_MARKS = {"\u0003": "\u0003c", MARK: "\u0003a", FIELD: "\u0003b"}
+
+
+def guarded(text: Column) -> Column:
+    """The text with its own marks written out, so that they cut nothing."""
+    written = reduce(lambda t, x: F.replace(t, F.lit(x[0]), F.lit(x[1])), OWN_MARKS.items(), text)
+    own = reduce(lambda a, b: a | b, [F.contains(text, F.lit(x)) for x in OWN_MARKS])
+    return F.when(own, written).otherwise(text)
+
+
+def restored(text: Column) -> Column:
+    """A piece of a guarded text as it was."""
+    plain = reduce(lambda t, x: F.replace(t, F.lit(x[1]), F.lit(x[0])), reversed(OWN_MARKS.items()), text)
+    return F.when(F.contains(text, F.lit("\u0003")), plain).otherwise(text)
 
 
 def section_title(body: Column) -> Column:
@@ -45,21 +62,21 @@ def title_lines(lines: Column) -> Column:
 
 def paragraphs(body: Column) -> Column:
     """Array of (arithmos, keimeno): what stands before the first number keeps an empty number; empty ones go."""
-    pieces = F.split(F.regexp_replace(strip(body), rules.PARAGRAPH, f"{MARK}$1{FIELD}"), MARK)
+    pieces = F.split(F.regexp_replace(bound(strip(body), guarded), rules.PARAGRAPH, f"{MARK}$1{FIELD}"), MARK)
 
     def made(piece: Column) -> Column:
         numbered = F.contains(piece, F.lit(FIELD))
-        return F.struct(F.when(numbered, F.substring_index(piece, FIELD, 1)).otherwise("").alias("arithmos"), one_line(F.when(numbered, F.substring_index(piece, FIELD, -1)).otherwise(piece)).alias("keimeno"))
+        return F.struct(F.when(numbered, F.substring_index(piece, FIELD, 1)).otherwise("").alias("arithmos"), one_line(bound(F.when(numbered, F.substring_index(piece, FIELD, -1)).otherwise(piece), restored)).alias("keimeno"))
 
     return F.filter(F.transform(pieces, made), lambda p: p["keimeno"] != "")
 
 
 def headings(laws: DataFrame, law: str = "law", text: str = "text") -> DataFrame:
     """(law, pos, part, chapter, article, letter, body) of every heading, in order of place."""
-    marked = F.regexp_replace(F.translate(F.col(text), MARK + FIELD, ""), rules.HEADING, f"{MARK}$1{FIELD}$2{FIELD}$3{FIELD}$4{FIELD}")
+    marked = F.regexp_replace(bound(F.col(text), guarded), rules.HEADING, f"{MARK}$1{FIELD}$2{FIELD}$3{FIELD}$4{FIELD}")
     fields = F.split("piece", FIELD, 5)
     rows = laws.select(F.col(law).alias("law"), F.posexplode(F.split(marked, MARK)).alias("pos", "piece")).where("pos > 0")
-    return rows.select("law", "pos", *[F.nullif(fields[k], F.lit("")).alias(n) for k, n in enumerate(("part", "chapter", "article", "letter"))], fields[4].alias("body"))
+    return rows.select("law", "pos", *[F.nullif(fields[k], F.lit("")).alias(n) for k, n in enumerate(("part", "chapter", "article", "letter"))], bound(fields[4], restored).alias("body"))
 
 
 def articles(laws: DataFrame, law: str = "law", text: str = "text", segment: int | None = None) -> DataFrame:

@@ -47,3 +47,16 @@ def test_markers_before_lines_that_begin_with_figures(spark, tmp_path):
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     got = text_queries.database_markers(spark, str(tmp_path)).collect()
     assert sorted(map(tuple, got)) == sorted(con.sql(text_queries.MARKERS).fetchall())
+
+
+def test_control_characters_stay_in_paragraphs(spark, tmp_path):
+    from lexicord.plans import document_queries, text_queries
+
+    texts = [(1, "a\x01b\n\x01\nc\x02\x02d\n\x03\x03a\n\x03c\x01\x02\x03b"), (2, "\x02"), (3, "\n".join(["1.\x01x", "\x021. y", "z\x03a", "w\x03", "\x01Άρθρο 9", "-\x01"] * 3)), (4, "none")]
+    docs = spark.createDataFrame([(i, t, "web") for i, t in texts], "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    for query, sql in (text_queries.QUERIES["paragraph_records"], document_queries.QUERIES["paragraph_rows"], document_queries.QUERIES["parsed_laws"]):
+        got = query(spark, str(tmp_path)).collect()
+        assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, con.sql(sql).fetchall()))
