@@ -17,8 +17,9 @@ fitted on documents scored by the model that has not seen them (at most
 Counting and estimation are grouping and joining in Spark over all labelled
 texts; the tables of events and contexts grow with the texts and lose nothing.
 Texts are scored where they are read if the tables have at most `most_sent` rows
-(16 bytes each) and can be sent out; larger ones are joined to the documents'
-distinct words, with the same result.
+(16 bytes each) and can be sent out; larger ones are joined to the distinct
+words, the most frequent of which are sent out and the rest joined to the
+documents, with the same result.
 
 Edge cases: null, empty and wordless texts have no evidence and get the score of
 zero evidence; without labels of both classes all scores are the share of toxic
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexicord.llm.folds import fold, labelled, logistic, sampled
-from lexicord.llm.shared import dropped, written
+from lexicord.llm.shared import dropped, in_waves, written
 from lexicord.llm.textarrays import LOWER, mix, pieces, range_hashes, spans
 
 #: Symbols of an event.
@@ -49,8 +50,8 @@ KINDS = ("o0", "t0", "o1", "t1")
 NOISE = (1.0, 2.5)
 PARTS = 1 + len(NOISE)
 
-#: Distinct events that a task counts before it hands them on.
-HELD = 400_000
+#: Distinct events or words that a task counts before it hands them on, and bytes of words.
+HELD, HELD_BYTES = 400_000, 32_000_000
 
 WORD = np.zeros(256, bool)
 WORD[48:58] = WORD[65:91] = WORD[97:123] = WORD[128:] = True
@@ -189,7 +190,7 @@ def evidence(texts: DataFrame, model: DataFrame, most_sent: int) -> DataFrame:
     """The rows without `text`, with (evidence array<double>, n_words): sums over words, plain and lessened, under both models."""
     columns = [c for c in texts.columns if c != "text"]
     if model.count() > most_sent:
-        return joined_evidence(texts, model, columns)
+        return joined_evidence(texts, model, columns, most_sent * 2 // 3)  # of 24 bytes
     sent = texts.sparkSession.sparkContext.broadcast(Tables(model.toArrow()))  # `most_sent` rows of 16 bytes
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in texts.schema if f.name != "text") + ", evidence array<double>, n_words long"
 
@@ -209,31 +210,108 @@ def evidence(texts: DataFrame, model: DataFrame, most_sent: int) -> DataFrame:
     return texts.select(*columns, "text").mapInArrow(score, schema)
 
 
-def joined_evidence(texts: DataFrame, model: DataFrame, columns: list[str]) -> DataFrame:
-    """The same where the tables are too large to send: distinct words meet them by joins, and documents meet their words."""
+def vocabulary(texts: DataFrame) -> DataFrame:
+    """(spelt, n): the distinct words of the texts, with the number of rows that hold them."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def merged(parts: list[tuple[np.ndarray, np.ndarray, pa.Array]]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        hashes, at, number = np.unique(np.concatenate([h for h, _, _ in parts]), return_index=True, return_inverse=True)
+        n = np.bincount(number, np.concatenate([n for _, n, _ in parts]), len(hashes)).astype(np.int64)
+        return hashes, n, pa.concat_arrays([x for _, _, x in parts]).take(pa.array(at))
+
+    def rows(n: np.ndarray, spelt: pa.Array) -> pa.RecordBatch:
+        return pa.record_batch([spelt.cast(pa.binary()), pa.array(n)], ["spelt", "n"])
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
         for batch, body, starts in pieces(batches, most=1_000_000):
             low, begins, ends, hashes, number, firsts = distinct_words(body, starts)
-            keys, places = events(low, begins, ends)
+            if not len(begins):
+                continue
             row = np.repeat(np.arange(batch.num_rows), np.diff(firsts))
-            pair, times = np.unique(row * max(1, len(hashes)) + number, return_counts=True)
-            row, word = np.divmod(pair, max(1, len(hashes)))
-            lists = pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(keys.view(np.int64)))
-            yield pa.record_batch([batch.column(c).take(pa.array(row)) for c in ("a", "b")] + [pa.array(hashes[word].view(np.int64)), pa.array(times), lists.take(pa.array(word))], ["a", "b", "word", "times", "keys"])
-
-    name = (F.xxhash64("text").alias("a"), F.xxhash64(F.reverse("text")).alias("b"))
-    held = written(texts.select(*name, "text").dropDuplicates(["a", "b"]).mapInArrow(cut, "a long, b long, word long, times long, keys array<long>"))
-    places = held.dropDuplicates(["word"]).select("word", F.explode("keys").alias("event"))
+            n = np.bincount(np.unique(row * len(hashes) + number) % len(hashes), minlength=len(hashes))
+            sizes = ends - begins
+            at = np.append(0, np.cumsum(sizes))
+            letters = low[np.arange(at[-1]) + np.repeat(begins - at[:-1], sizes)]
+            held.append((hashes, n, pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(hashes), [None, pa.py_buffer(at), pa.py_buffer(letters)])))
+            if sum(len(h) for h, _, _ in held) > HELD or sum(x.nbytes for _, _, x in held) > HELD_BYTES:
+                held = [merged(held)]
+                if len(held[0][0]) > HELD // 2 or held[0][2].nbytes > HELD_BYTES // 2:
+                    yield rows(*held[0][1:])
+                    held = []
+        if held:
+            yield rows(*merged(held)[1:])
+
+    return texts.select("text").mapInArrow(found, "spelt binary, n long").groupBy("spelt").agg(F.sum("n").alias("n"))
+
+
+def word_sums(words: DataFrame, model: DataFrame) -> DataFrame:
+    """(word, often, s0, s1): the differences of (spelt, often) under both models."""
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, body, starts in pieces(batches, "spelt", most=300_000):
+            low, begins, ends, hashes, number, _ = distinct_words(body, starts)
+            keys, places = events(low, begins, ends)
+            often = np.zeros(len(hashes), bool)
+            often[number] = batch.column("often").to_numpy(zero_copy_only=False)
+            yield pa.record_batch([pa.array(np.repeat(x, np.diff(places))) for x in (hashes.view(np.int64), often)] + [pa.array(keys.view(np.int64))], ["word", "often", "event"])
+
+    places = words.select("spelt", "often").mapInArrow(spell, "word long, often boolean, event long")
     known = model.where("is_event").select(F.col("key").alias("event"), "r0", "r1")
     before = model.where("not is_event").select(F.col("key").alias("before"), F.col("r0").alias("b0"), F.col("r1").alias("b1"))
     met = places.join(known, "event", "left").join(before, context(F.col("event")) == F.col("before"), "left")
-    words = met.groupBy("word").agg(*[F.sum(F.coalesce(f"r{k}", f"b{k}", F.lit(0.0)).cast("double")).alias(f"s{k}") for k in (0, 1)])
+    return met.groupBy("word", "often").agg(*[F.sum(F.coalesce(f"r{k}", f"b{k}", F.lit(0.0)).cast("double")).alias(f"s{k}") for k in (0, 1)])
+
+
+def joined_evidence(texts: DataFrame, model: DataFrame, columns: list[str], most_words: int) -> DataFrame:
+    """The same where the tables are too large to send: distinct words meet them by joins, and documents meet their words.
+
+    The words of the most rows, at most `most_words`, are sent to the documents.
+    Places of the others, which are rare, meet their sums by a join; so what is
+    shuffled grows with the vocabulary and not with the texts.
+    """
+    words = written(vocabulary(texts))
+    step = F.floor(F.log2("n") * 16)
+    least, sent_words, all_words = None, 0, 0
+    for at, count in sorted(words.groupBy(step.alias("at")).count().collect(), reverse=True):  # at most 1,024 rows
+        all_words += count
+        if all_words <= most_words:
+            least, sent_words = at, all_words
+    often = step >= least if least is not None else F.lit(False)
+    sums = in_waves(words.select("spelt", often.alias("often"), F.xxhash64("spelt").alias("deal")), "deal", lambda rows: word_sums(rows, model))
+    told = sums.where("often").select("word", "s0", "s1").toArrow()  # `most_words` rows of 24 bytes
+    dropped(words)
+    keys = told.column("word").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    sent = texts.sparkSession.sparkContext.broadcast((keys[order], np.stack([told.column(f"s{k}").to_numpy()[order] for k in (0, 1)], axis=1)))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, s = sent.value
+        for batch, body, starts in pieces(batches, most=1_000_000):
+            _, _, _, hashes, number, firsts = distinct_words(body, starts)
+            own, hit = np.zeros((len(hashes), 2)), np.zeros(len(hashes), bool)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                hit = known[at] == hashes
+                own[hit] = s[at[hit]]
+            total = np.zeros((len(number) + 1, 2, PARTS))
+            np.cumsum(lessened(own)[number], axis=0, out=total[1:])
+            rows = (total[firsts[1:]] - total[firsts[:-1]]).reshape(batch.num_rows, -1)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * 2 * PARTS, pa.int32()), pa.array(rows.ravel()))
+            other = ~hit[number]
+            ends = np.append(0, np.cumsum(other))[firsts]
+            rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes[number[other]].view(np.int64)))
+            yield pa.record_batch([batch.column(c) for c in columns] + [batch.column("at"), lists, pa.array(np.diff(firsts)), rest], [*columns, "at", "evidence", "n_words", "rest"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in texts.schema if f.name != "text") + ", at long, evidence array<double>, n_words long, rest array<long>"
+    scored = texts.select(*columns, "text", F.monotonically_increasing_id().alias("at")).mapInArrow(score, schema)
+    if sent_words == all_words:
+        return scored.select(*columns, "evidence", "n_words")
+    scored = written(scored)
+    met = scored.select("at", F.explode("rest").alias("word")).join(sums.where("not often"), "word").select("at", "s0", "s1")
     shaped = [F.signum(f"s{k}") * F.greatest(F.abs(f"s{k}") - t, F.lit(0.0)) for k in (0, 1) for t in (0.0, *NOISE)]
-    sums = held.join(words, "word").groupBy("a", "b").agg(F.array(*[F.sum(F.col("times") * x) for x in shaped]).alias("evidence"), F.sum("times").alias("n_words"))
-    none = F.array_repeat(F.lit(0.0), 2 * PARTS)
-    rows = texts.select(*columns, *name).join(sums, ["a", "b"], "left")
-    return rows.select(*columns, F.coalesce("evidence", none).alias("evidence"), F.coalesce("n_words", F.lit(0)).alias("n_words"))
+    more = met.repartition("at").groupBy("at").agg(F.array(*[F.sum(x) for x in shaped]).alias("more"))
+    added = F.when(F.col("more").isNull(), F.col("evidence")).otherwise(F.zip_with("evidence", "more", lambda a, b: a + b))
+    return scored.drop("rest").join(more, "at", "left").select(*columns, added.alias("evidence"), "n_words")
 
 
 def features(total: np.ndarray, n_words: np.ndarray) -> np.ndarray:

@@ -152,6 +152,27 @@ def test_joined_evidence_equals_that_sent_out(spark, docs):
     assert len(one) == more.count() and sorted(map(key, one)) == sorted(map(key, two))
 
 
+def test_joined_evidence_keeps_no_row_for_each_word_of_a_text(spark, monkeypatch):
+    common = " ".join(f"common{chr(97 + k)}word" for k in range(20))
+    rows = [(i, i % 2, i // 2 % 2, f"{common} rare{i}thing {'ÉÜ' * (i % 3)} {common if i % 5 else ''}") for i in range(120)]
+    texts = spark.createDataFrame([*rows, (120, 0, 0, None), (121, 1, 1, "")], "doc_id long, half int, label int, text string")
+    model = toxicity.estimated(toxicity.counted(texts.where("doc_id % 3 != 0"))).cache()
+    sizes, write = [], toxicity.written
+
+    def seen(df):
+        out = write(df)
+        sizes.append(out.count() + (out.agg(F.sum(F.size("rest"))).first()[0] if "rest" in out.columns else 0))
+        return out
+
+    monkeypatch.setattr(toxicity, "written", seen)
+    sent, joined, none = ({r.doc_id: r for r in toxicity.evidence(texts, model, n).collect()} for n in (10**6, 60, 0))
+    assert len(sent) == 122 and sent.keys() == joined.keys() == none.keys()
+    for k, r in sent.items():
+        for other in (joined[k], none[k]):
+            assert r.n_words == other.n_words and all(abs(a - b) < 1e-9 for a, b in zip(r.evidence, other.evidence, strict=True))
+    assert 0 < max(sizes[:2]) < 500  # the words, and the rows with their rare words; 120 rows hold 21 words or more each
+
+
 def test_contaminated_rows_without_id_and_of_one_id(spark, sf_dir):
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     item = max(bench.collect(), key=lambda r: len(r.text.split()))
